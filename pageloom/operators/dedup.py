@@ -6,7 +6,7 @@ task: survivors are chosen by aggregates with map-side combine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import fingerprint
@@ -36,8 +36,6 @@ def dedup_segments(df: DataFrame, order: list[str], text: str, max_repeats: int,
     keyed = df.where(long_enough).withColumn("_digest", digest)
     place = F.struct(*rank)
     salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*rank), F.lit(64)))
-    from pyspark.sql import Window
-
     part = Window.partitionBy("_digest", "_salt").orderBy(place)
     whole = Window.partitionBy("_digest").orderBy(place)
     kept = (

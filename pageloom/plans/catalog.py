@@ -9,6 +9,8 @@ from pageloom.plans.registry import REGISTRY, Query
 MODULES = (
     "url_queries",
     "text_queries",
+    "markup_queries",
+    "prune_queries",
 )
 
 

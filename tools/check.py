@@ -84,7 +84,7 @@ def main() -> int:
     con = connect(sf_dir)
     bad = 0
     for entry in catalog.all_queries().values():
-        if args.names and not any(n in entry.name or n == entry.survey for n in args.names):
+        if args.names and not any(n in entry.name or n == entry.survey.rstrip("0123456789") or n == entry.survey for n in args.names):
             continue
         try:
             ok, text, n, took = compare(spark, con, entry, sf_dir)
