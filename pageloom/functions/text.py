@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Named and numeric entities decoded by `unescape`, `&amp;` last.
 ENTITIES = (
@@ -40,9 +41,55 @@ ENTITIES = (
 
 SPACE_RUN = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]+"
 CONTROL = r"[\x00-\x08\x0e-\x1b\x7f-\x{84}\x{86}-\x{9f}\p{Cf}\p{Co}]"
+LINE_END = r"\r\n|\n|\r"
+LONG_WORD = r"[\p{L}\p{N}_]{5,}"
 MAX_FIELD = 10000
 
 
+def rx(pattern: str) -> str:
+    """A regular expression as a raw SQL string literal."""
+    return "r'" + pattern.replace("'", r"\x27") + "'"
+
+
+def sql_list(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+# The sql_* builders return SQL text for `selectExpr`: one parsed expression instead of
+# hundreds of Column calls where a rule is applied many times.
+def sql_trim_ws(c: str) -> str:
+    return f"trim(regexp_replace({c}, {rx(SPACE_RUN)}, ' '))"
+
+
+def sql_unescape(c: str) -> str:
+    for entity, char in ENTITIES:
+        shown = "chr(39)" if char == "'" else f"'{char}'"
+        c = f"replace({c}, '{entity}', {shown})"
+    return c
+
+
+def sql_clean_line(c: str) -> str:
+    c = f"replace(replace(replace({c}, '&#13;', chr(13)), '&#10;', chr(10)), '&nbsp;', chr(160))"
+    return sql_trim_ws(f"regexp_replace({c}, {rx(CONTROL)}, '')")
+
+
+def sql_sanitize(c: str) -> str:
+    lines = f"transform(split({c}, {rx(LINE_END)}), line -> {sql_clean_line('line')})"
+    return f"array_join(filter({lines}, line -> line <> ''), chr(10))"
+
+
+def sql_first_of(*cols: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(trim({c}), '')" for c in cols) + ")"
+
+
+def sql_reading_time(c: str) -> str:
+    return f"cast(ceil(length({c}) / 5 / 250) as bigint) * 60"
+
+
+def sql_fingerprint(c: str) -> str:
+    return f"base64(unhex(sha1(array_join(regexp_extract_all(lower({c}), {rx(LONG_WORD)}, 0), ' '))))"
+
+
 def trim_ws(c: Column) -> Column:
     """Collapse every run of white space to one blank and trim."""
     return F.trim(F.regexp_replace(c, SPACE_RUN, " "))
@@ -65,11 +112,11 @@ def clean_line(c: Column) -> Column:
 
 def sanitize(c: Column) -> Column:
     """Clean line by line and drop the lines that end up empty."""
-    lines = F.transform(F.split(c, r"\r\n|\n|\r"), clean_line)
+    lines = F.transform(F.split(c, LINE_END), clean_line)
     return F.array_join(F.filter(lines, lambda line: F.length(line) > 0), "\n")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize_nfc(s: pd.Series) -> pd.Series:
     """Unicode normal form C; Spark has no built-in for it."""
     return s.str.normalize("NFC")
@@ -77,7 +124,7 @@ def normalize_nfc(s: pd.Series) -> pd.Series:
 
 def fingerprint(c: Column) -> Column:
     """base64(SHA-1) over the lower-cased words of five characters and more."""
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}_]{5,}"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(c), F.lit(LONG_WORD), F.lit(0))
     return F.base64(F.unhex(F.sha1(F.array_join(words, " "))))
 
 

@@ -9,10 +9,9 @@ so a page group is bounded by the size of one stored response.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from pageloom.functions.text import trim_ws, unescape
+from pageloom.functions.text import rx, sql_list, sql_trim_ws, sql_unescape
 
 # Block tags whose end tag authors always write; depth is counted on these.
 CONTAINERS = (
@@ -38,7 +37,6 @@ TRACKED = {
     "figure": ("figure",),
 }
 
-MARK = "\x1e"
 COMMENT = r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:>|\z)"
 SCRIPT = r"(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
 BLOCK_TAG = r"(?i)<(/?(?:" + "|".join(CONTAINERS + LEAVES) + r")(?:\s[^>]*|/)?>)"
@@ -55,18 +53,18 @@ SHORT_LINK_PRECISE = 50
 
 
 def attr_pattern(name: str) -> str:
-    return rf"(?is)\s{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    return rf"(?is)\s{name}\s*=\s*(?:\x22([^\x22]*)\x22|\x27([^\x27]*)\x27|([^\s\x22\x27>]+))"
 
 
-def attr(tag: Column, name: str) -> Column:
+def sql_attr(tag: str, name: str) -> str:
     """Value of an attribute of a raw tag, empty if absent."""
-    return F.concat(*[F.regexp_extract(tag, attr_pattern(name), g) for g in (1, 2, 3)])
+    return "concat(" + ", ".join(f"regexp_extract({tag}, {rx(attr_pattern(name))}, {g})" for g in (1, 2, 3)) + ")"
 
 
-def strip_noise(html: Column) -> Column:
+def sql_strip_noise(html: str) -> str:
     """HTML without comments, processing instructions, scripts and styles."""
-    plain = F.regexp_replace(F.replace(html, F.lit(MARK), F.lit("")), COMMENT, "")
-    return F.regexp_replace(plain, SCRIPT, "")
+    plain = f"regexp_replace(replace({html}, chr(30), ''), {rx(COMMENT)}, '')"
+    return f"regexp_replace({plain}, {rx(SCRIPT)}, '')"
 
 
 def by_page(pages: DataFrame) -> DataFrame:
@@ -76,52 +74,40 @@ def by_page(pages: DataFrame) -> DataFrame:
 
 def tokens(pages: DataFrame) -> DataFrame:
     """(page_id, pos, token, tag, kind): every tag and every text run of a page."""
-    found = F.regexp_extract_all(strip_noise(F.col("html")), F.lit(TOKEN), F.lit(0))
-    rows = pages.select("page_id", F.posexplode(found).alias("pos", "token"))
-    tag = F.lower(F.regexp_extract("token", LEAD, 2))
-    return rows.select(
+    rows = pages.selectExpr(
+        "page_id", f"posexplode(regexp_extract_all({sql_strip_noise('html')}, {rx(TOKEN)}, 0)) AS (pos, token)"
+    )
+    tag = f"lower(regexp_extract(token, {rx(LEAD)}, 2))"
+    return rows.selectExpr(
         "page_id",
-        F.col("pos").cast("bigint").alias("pos"),
+        "cast(pos as bigint) AS pos",
         "token",
-        tag.alias("tag"),
-        F.when(~F.startswith("token", F.lit("<")), "text")
-        .when(tag == "", "other")
-        .when(F.startswith("token", F.lit("</")), "close")
-        .otherwise("open")
-        .alias("kind"),
+        f"{tag} AS tag",
+        f"""case when not startswith(token, '<') then 'text' when {tag} = '' then 'other'
+            when startswith(token, '</') then 'close' else 'open' end AS kind""",
     )
 
 
 def segments(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, tag, closing, open_tag, cls, inner): one row per block tag."""
-    cut = F.regexp_replace(strip_noise(F.col("html")), BLOCK_TAG, MARK + "<$1")
-    rows = by_page(pages).select("page_id", F.posexplode(F.split(cut, MARK)).alias("pos", "seg"))
-    lead = F.regexp_extract("seg", LEAD_TAG, 0)
-    tag = F.lower(F.regexp_extract("seg", LEAD, 2))
-    closing = F.regexp_extract("seg", LEAD, 1) == "/"
-    named = F.lower(F.trim(F.concat(attr(lead, "class"), F.lit(" "), attr(lead, "id"))))
-    return rows.select(
+    """(page_id, pos, tag, closing, open_tag, cls, inner_html): one row per block tag."""
+    cut = f"split(regexp_replace({sql_strip_noise('html')}, {rx(BLOCK_TAG)}, concat(chr(30), '<$1')), chr(30))"
+    rows = by_page(pages).selectExpr("page_id", f"posexplode({cut}) AS (pos, seg)")
+    led = rows.selectExpr(
         "page_id",
-        F.col("pos").cast("bigint").alias("pos"),
-        tag.alias("tag"),
-        closing.alias("closing"),
-        lead.alias("open_tag"),
-        F.when(closing, F.lit("")).otherwise(named).alias("cls"),
-        F.regexp_replace("seg", LEAD_TAG, "").alias("inner"),
-    )
-
-
-def page_window(*extra: str) -> Window:
-    return (
-        Window.partitionBy("page_id", *extra)
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        "cast(pos as bigint) AS pos",
+        f"lower(regexp_extract(seg, {rx(LEAD)}, 2)) AS tag",
+        f"regexp_extract(seg, {rx(LEAD)}, 1) = '/' AS closing",
+        f"regexp_extract(seg, {rx(LEAD_TAG)}, 0) AS open_tag",
+        f"regexp_replace(seg, {rx(LEAD_TAG)}, '') AS inner_html",
     )
+    names = f"lower(trim(concat({sql_attr('open_tag', 'class')}, ' ', {sql_attr('open_tag', 'id')})))"
+    return led.selectExpr("*", f"case when closing then '' else {names} end AS cls")
 
 
-def _signed(tags) -> Column:
-    step = F.when(F.col("closing"), -1).otherwise(1)
-    return F.when(F.col("tag").isin(*tags), step).otherwise(0)
+OVER_PAGE = "OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+OVER_BEFORE = "OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+OVER_LEVEL = "OVER (PARTITION BY page_id, depth ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+BY_POS = "OVER (PARTITION BY page_id ORDER BY pos)"
 
 
 def with_context(segs: DataFrame) -> DataFrame:
@@ -130,43 +116,32 @@ def with_context(segs: DataFrame) -> DataFrame:
     Depth is the running sum of +1/-1 minus its running minimum, which is what a counter
     that ignores end tags at zero would show. All sums share one window and one sort.
     """
-    w = page_window()
     groups = {"depth": tuple(CONTAINERS)} | {f"in_{k}": v for k, v in TRACKED.items()}
-    last_link = F.try_element_at(
-        F.regexp_extract_all("inner", F.lit(LINK_EVENT), F.lit(1)), F.lit(-1)
-    )
-    before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    ends_head = (F.col("tag") == "body") | ((F.col("tag") == "head") & F.col("closing"))
-    sums = segs.withColumns(
-        {f"_s_{name}": F.sum(_signed(tags)).over(w) for name, tags in groups.items()}
-        | {
-            "_link": F.last(last_link, ignorenulls=True).over(before),
-            "_head": F.max((F.col("tag") == "head").cast("int")).over(w),
-            "_past": F.max(ends_head.cast("int")).over(w),
-        }
+    sums = segs.selectExpr(
+        "*",
+        *[
+            f"sum(case when tag in {sql_list(tags)} then case when closing then -1 else 1 end else 0 end) {OVER_PAGE} AS _s_{name}"
+            for name, tags in groups.items()
+        ],
+        f"last_value(try_element_at(regexp_extract_all(inner_html, {rx(LINK_EVENT)}, 1), -1)) IGNORE NULLS {OVER_BEFORE} AS _link",
+        f"max(tag = 'head') {OVER_PAGE} AS _head",
+        f"max(tag = 'body' or (tag = 'head' and closing)) {OVER_PAGE} AS _past",
     )
-    depths = sums.withColumns(
-        {
-            name: F.col(f"_s_{name}") - F.least(F.lit(0), F.min(f"_s_{name}").over(w))
-            for name in groups
-        }
+    depths = sums.selectExpr(
+        *segs.columns,
+        *[f"_s_{n} - least(0, min(_s_{n}) {OVER_PAGE}) AS {n}" for n in groups],
+        "_head and not _past AS in_head",
+        "coalesce(_link = '', false) AS in_link",
     )
-    is_container = F.col("tag").isin(*CONTAINERS)
-    prev_depth = F.lag("depth", 1, 0).over(Window.partitionBy("page_id").orderBy("pos"))
-    prev_table = F.lag("in_table", 1, 0).over(Window.partitionBy("page_id").orderBy("pos"))
-    return (
-        depths.withColumns(
-            {
-                "opens": is_container & ~F.col("closing"),
-                "closes": is_container & F.col("closing") & (prev_depth > F.col("depth")),
-                "in_head": (F.col("_head") == 1) & (F.col("_past") == 0),
-                "in_link": F.coalesce(F.col("_link") == "", F.lit(False)),
-                "_table_start": ((F.col("in_table") == 1) & (prev_table == 0)).cast("int"),
-            }
-        )
-        .withColumn("table_no", F.when(F.col("in_table") > 0, F.sum("_table_start").over(w)).otherwise(0))
-        .drop("_link", "_head", "_past", "_table_start", *[f"_s_{n}" for n in groups])
+    marked = depths.selectExpr(
+        "*",
+        f"tag in {sql_list(CONTAINERS)} and not closing AS opens",
+        f"tag in {sql_list(CONTAINERS)} and closing and lag(depth, 1, 0) {BY_POS} > depth AS closes",
+        f"case when in_table = 1 and lag(in_table, 1, 0) {BY_POS} = 0 then 1 else 0 end AS _table_start",
     )
+    return marked.selectExpr(
+        "*", f"case when in_table > 0 then sum(_table_start) {OVER_PAGE} else 0 end AS table_no"
+    ).drop("_table_start")
 
 
 def with_containers(ctx: DataFrame) -> DataFrame:
@@ -175,89 +150,64 @@ def with_containers(ctx: DataFrame) -> DataFrame:
     The innermost container of a row at depth d is the last one opened at depth d. Its
     parent is the container of the row just before it opened. Any depth works.
     """
-    level = page_window("depth")
-    flat = Window.partitionBy("page_id").orderBy("pos")
     return (
-        ctx.withColumn(
-            "container_id",
-            F.coalesce(F.last(F.when(F.col("opens"), F.col("pos")), ignorenulls=True).over(level), F.lit(-1)),
-        )
-        .withColumn("_up", F.when(F.col("opens"), F.lag("container_id", 1, -1).over(flat)))
-        .withColumn("parent_id", F.coalesce(F.last("_up", ignorenulls=True).over(level), F.lit(-1)))
+        ctx.selectExpr("*", f"coalesce(last_value(case when opens then pos end) IGNORE NULLS {OVER_LEVEL}, -1) AS container_id")
+        .selectExpr("*", f"case when opens then lag(container_id, 1, -1) {BY_POS} end AS _up")
+        .selectExpr("*", f"coalesce(last_value(_up) IGNORE NULLS {OVER_LEVEL}, -1) AS parent_id")
         .drop("_up")
     )
 
 
-def flow(inner: Column, in_link: Column) -> Column:
-    """Inline markup of a row, with a link left open by an earlier row re-opened."""
-    return F.regexp_replace(F.when(in_link, F.concat(F.lit("<a>"), inner)).otherwise(inner), EMBED, "")
-
-
-def inline_text(markup: Column) -> Column:
+def sql_inline_text(markup: str) -> str:
     """Text of inline markup: tags out, entities decoded, white space collapsed."""
-    return trim_ws(unescape(F.regexp_replace(F.regexp_replace(markup, LINE_BREAK, " "), ANY_TAG, "")))
+    bare = f"regexp_replace(regexp_replace({markup}, {rx(LINE_BREAK)}, ' '), {rx(ANY_TAG)}, '')"
+    return sql_trim_ws(sql_unescape(bare))
 
 
-def block_role() -> Column:
-    tag = F.col("tag")
-    return (
-        F.when(F.col("closing"), "div")
-        .when(tag == "p", "p")
-        .when(tag.isin("li", "dd", "dt"), "item")
-        .when(tag.isin("h1", "h2", "h3", "h4", "h5", "h6", "summary"), "head")
-        .when(tag.isin("blockquote", "pre"), "quote")
-        .when(tag.isin("td", "th"), "cell")
-        .when(tag.isin("figcaption", "caption"), "caption")
-        .otherwise("div")
-    )
+ROLE = """case when closing then 'div' when tag = 'p' then 'p' when tag in ('li', 'dd', 'dt') then 'item'
+  when tag in ('h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'summary') then 'head' when tag in ('blockquote', 'pre') then 'quote'
+  when tag in ('td', 'th') then 'cell' when tag in ('figcaption', 'caption') then 'caption' else 'div' end"""
 
 
 def blocks(ctx: DataFrame) -> DataFrame:
-    """Text and link measures of every body row."""
-    body = ctx.where(~F.col("in_head") & ~F.col("tag").isin("title", "head", "html", ""))
-    markup = flow(F.col("inner"), F.col("in_link"))
-    lens = F.transform(
-        F.regexp_extract_all("_flow", F.lit(LINK), F.lit(1)), lambda t: F.length(inline_text(t))
-    )
-    named = F.filter("_lens", lambda n: n > 0)
-
-    def count(arr: Column, limit: int) -> Column:
-        return F.size(F.filter(arr, lambda n: (n > 0) & (n < limit)))
+    """Text and link measures of every body row.
 
+    A link left open by an earlier row is re-opened, so its text still counts as link text.
+    """
+    body = ctx.where("not in_head and tag not in ('title', 'head', 'html', '')")
+    flow = f"regexp_replace(case when in_link then concat('<a>', inner_html) else inner_html end, {rx(EMBED)}, '')"
+    lens = f"transform(regexp_extract_all(flow, {rx(LINK)}, 1), t -> length({sql_inline_text('t')}))"
     return (
-        body.withColumn("_flow", markup)
-        .withColumns({"text": inline_text(F.col("_flow")), "_lens": lens})
-        .withColumns(
-            {
-                "role": block_role(),
-                "text_len": F.length("text"),
-                "n_links": F.size("_lens"),
-                "n_named": F.size(named),
-                "link_len": F.aggregate("_lens", F.lit(0), lambda a, n: a + n),
-                "n_short": count(F.col("_lens"), SHORT_LINK),
-                "n_short_precise": count(F.col("_lens"), SHORT_LINK_PRECISE),
-            }
+        body.selectExpr("*", f"{flow} AS flow", f"{ROLE} AS role")
+        .selectExpr("*", f"{sql_inline_text('flow')} AS text", f"{lens} AS _lens")
+        .selectExpr(
+            "*",
+            "length(text) AS text_len",
+            "size(_lens) AS n_links",
+            "size(filter(_lens, n -> n > 0)) AS n_named",
+            "aggregate(_lens, 0, (a, n) -> a + n) AS link_len",
+            f"size(filter(_lens, n -> n > 0 and n < {SHORT_LINK})) AS n_short",
+            f"size(filter(_lens, n -> n > 0 and n < {SHORT_LINK_PRECISE})) AS n_short_precise",
         )
         .drop("_lens")
-        .withColumnRenamed("_flow", "flow")
     )
 
 
 def drop_containers(df: DataFrame, tables: bool = True, images: bool = False) -> DataFrame:
     """Rows outside navigation, footer, aside and form; tables and figures optional."""
-    keep = (F.col("in_nav") == 0) & (F.col("in_footer") == 0) & (F.col("in_aside") == 0) & (F.col("in_form") == 0)
+    keep = "in_nav = 0 and in_footer = 0 and in_aside = 0 and in_form = 0"
     if not tables:
-        keep = keep & (F.col("in_table") == 0)
+        keep += " and in_table = 0"
     if not images:
-        keep = keep & (F.col("in_figure") == 0)
+        keep += " and in_figure = 0"
     return df.where(keep)
 
 
 def drop_empty(df: DataFrame) -> DataFrame:
-    return df.where(F.col("text_len") > 0)
+    return df.where("text_len > 0")
 
 
 def size_guard(rows: DataFrame, limit: int) -> DataFrame:
     """Rows of pages with at most ``limit`` rows."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("page_id"))
-    return rows.withColumn("_n", n).where(F.col("_n") <= limit).drop("_n")
+    sized = rows.selectExpr("*", "count(1) OVER (PARTITION BY page_id) AS _n")
+    return sized.where(f"_n <= {limit}").drop("_n")

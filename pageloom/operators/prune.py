@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from pageloom.operators.markup import blocks, page_window, segments, with_containers, with_context
+from pageloom.functions.text import rx, sql_list
+from pageloom.operators.markup import OVER_PAGE, blocks, segments, with_containers, with_context
 
 
 @dataclass(frozen=True)
@@ -62,73 +62,65 @@ REGIONS = [n for n in RULES if n.startswith("region")]
 COMMENT_AREAS = [n for n in RULES if n.startswith("comment_area")]
 
 
-def starts_section(rule: Rule) -> Column:
+def sql_starts(rule: Rule) -> str:
     parts = []
     if rule.names:
-        named = F.col("cls").rlike(rule.names)
-        parts.append(named & ~F.col("cls").rlike(rule.names_unless) if rule.names_unless else named)
+        named = f"cls rlike {rx(rule.names)}"
+        parts.append(f"({named} and not cls rlike {rx(rule.names_unless)})" if rule.names_unless else named)
     if rule.raw:
-        parts.append(F.col("open_tag").rlike(rule.raw))
+        parts.append(f"open_tag rlike {rx(rule.raw)}")
     if rule.tags == ("main",):
-        hit = (F.col("tag") == "main") | parts[0]
+        hit = f"(tag = 'main' or {parts[0]})"
     elif parts:
-        hit = parts[0] | parts[1] if len(parts) > 1 else parts[0]
-        if rule.tags:
-            hit = hit & F.col("tag").isin(*rule.tags)
+        hit = "(" + " or ".join(parts) + ")" + (f" and tag in {sql_list(rule.tags)}" if rule.tags else "")
     else:
-        hit = F.col("tag").isin(*rule.tags)
-    return hit & ~F.col("closing")
+        hit = f"tag in {sql_list(rule.tags)}"
+    return f"{hit} and not closing"
 
 
-def _bit(mask: str, name: str) -> Column:
-    return F.shiftright(F.col(mask), BIT[name]).bitwiseAND(1)
-
-
-def with_sections(ctx: DataFrame) -> DataFrame:
-    """Add ``in_<rule>`` (0 = outside) for every rule.
+def with_sections(ctx: DataFrame, *names: str) -> DataFrame:
+    """Add ``in_<rule>`` (0 = outside) for the named rules, all by default.
 
     Each opening row carries the matching rules as a bit mask. The end row of a container
     takes the mask of the last container opened at its level, so a section is a running
     sum of +bit and -bit and works at any depth. `first_only` rules keep the first
     outermost section of the page.
     """
-    mask = F.lit(0)
-    for name, rule in RULES.items():
-        mask = mask + F.when(starts_section(rule), F.lit(1 << BIT[name])).otherwise(0)
-    w = page_window()
-    leveled = ctx.withColumn("_mask", mask).withColumn("_lvl", F.col("depth") + F.col("closes").cast("int"))
-    carried = leveled.withColumn(
-        "_end", F.last(F.when(F.col("opens"), F.col("_mask")), ignorenulls=True).over(page_window("_lvl"))
-    )
+    rules = {n: RULES[n] for n in names or RULES}
+    bits = {n: i for i, n in enumerate(rules)}
+    first = [n for n, r in rules.items() if r.first_only]
+    mask = " + ".join(f"case when {sql_starts(r)} then {1 << bits[n]} else 0 end" for n, r in rules.items())
+
+    def bit(c: str, n: str) -> str:
+        return f"(shiftright({c}, {bits[n]}) & 1)"
 
-    def delta(name: str) -> Column:
-        return F.when(F.col("opens"), _bit("_mask", name)).when(F.col("closes"), -_bit("_end", name)).otherwise(0)
-
-    # An end tag that closes nothing, or a container row, has no span of its own.
-    own = F.when(F.col("opens") | F.col("closing"), 0)
-    held = carried.withColumns({f"_h_{n}": F.sum(delta(n)).over(w) for n in RULES})
-    first = [n for n, r in RULES.items() if r.first_only]
-    order = held.withColumns(
-        {
-            f"_o_{n}": F.sum(
-                F.when(F.col("opens") & (_bit("_mask", n) == 1) & (F.col(f"_h_{n}") == 1), 1).otherwise(0)
-            ).over(w)
+    ends = (
+        "last_value(case when opens then _mask end) IGNORE NULLS OVER (PARTITION BY page_id, depth + cast(closes as int) "
+        "ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    )
+    held = ctx.selectExpr("*", f"{mask} AS _mask").selectExpr("*", f"{ends} AS _end").selectExpr(
+        "*",
+        *[
+            f"sum(case when opens then {bit('_mask', n)} when closes then -{bit('_end', n)} else 0 end) {OVER_PAGE} AS _h_{n}"
+            for n in rules
+        ],
+    )
+    ordered = held.selectExpr(
+        "*",
+        *[
+            f"sum(case when opens and {bit('_mask', n)} = 1 and _h_{n} = 1 then 1 else 0 end) {OVER_PAGE} AS _o_{n}"
             for n in first
-        }
+        ],
     )
-    out = order.withColumns(
-        {
-            f"in_{n}": F.when((F.col(f"_h_{n}") > 0) & (F.col(f"_o_{n}") == 1), 1).otherwise(0)
+    return ordered.selectExpr(
+        *ctx.columns,
+        *[
+            f"case when _h_{n} > 0 and _o_{n} = 1 then 1 else 0 end AS in_{n}"
             if n in first
-            else F.col(f"_h_{n}") + own.otherwise(_bit("_mask", n))
-            for n in RULES
-        }
+            else f"_h_{n} + case when opens or closing then 0 else {bit('_mask', n)} end AS in_{n}"
+            for n in rules
+        ],
     )
-    return out.drop("_mask", "_lvl", "_end", *[f"_h_{n}" for n in RULES], *[f"_o_{n}" for n in first])
-
-
-def whole_page() -> Window:
-    return Window.partitionBy("page_id")
 
 
 def drop_sections(df: DataFrame, *families: str, guard: bool = False) -> DataFrame:
@@ -136,83 +128,57 @@ def drop_sections(df: DataFrame, *families: str, guard: bool = False) -> DataFra
 
     With the guard, a page keeps all its rows if at most 1/7 of its text would remain.
     """
-    inside = F.lit(False)
-    for family in families:
-        inside = inside | (F.col(f"in_{family}") > 0)
+    inside = "(" + " or ".join(f"in_{f} > 0" for f in families) + ")"
     if not guard:
-        return df.where(~inside)
-    w = whole_page()
-    left = F.sum(F.when(inside, 0).otherwise(F.col("text_len"))).over(w)
-    total = F.sum("text_len").over(w)
-    return (
-        df.withColumn("_drop", inside & (left * 7 > total))
-        .where(~F.col("_drop"))
-        .drop("_drop")
-    )
-
-
-def is_link_heavy(limit: Column, precision: bool) -> Column:
-    """Short row whose links are most of it, mostly short, or all empty."""
-    short = F.col("n_short_precise" if precision else "n_short")
-    return (
-        (F.col("n_links") > 0)
-        & (F.col("text_len") < limit)
-        & (
-            (F.col("n_named") == 0)
-            | (F.col("link_len") > 0.8 * F.col("text_len"))
-            | (short > 0.8 * F.col("n_named"))
-        )
-    )
-
-
-def link_limit(precision: bool) -> Column:
-    """Length up to which links count against a row: 25 for p (100 in precision mode), 300
-    for the last row of its container, otherwise 100."""
-    last = F.lead("pos").over(Window.partitionBy("page_id", "container_id").orderBy("pos")).isNull()
-    return F.when(F.col("role") == "p", 100 if precision else 25).when(last, 300).otherwise(100)
+        return df.where(f"not {inside}")
+    left = f"sum(case when {inside} then 0 else text_len end) OVER (PARTITION BY page_id)"
+    drop = f"{inside} and {left} * 7 > sum(text_len) OVER (PARTITION BY page_id)"
+    return df.selectExpr("*", f"{drop} AS _drop").where("not _drop").drop("_drop")
 
 
 def link_density_filter(
     df: DataFrame, roles: tuple[str, ...] = ("div", "p", "item"), precision: bool = False
 ) -> DataFrame:
-    """Drop link-heavy rows of the given roles."""
+    """Drop short rows whose links are most of it, mostly short, or all empty.
+
+    A row counts as short below 25 characters for p (100 in precision mode), 300 for the
+    last row of its container, otherwise 100.
+    """
+    short = "n_short"
     if precision:
-        roles = (*roles, "head", "quote")
+        roles, short = (*roles, "head", "quote"), "n_short_precise"
+    limit = (
+        f"case when role = 'p' then {100 if precision else 25} "
+        "when lead(pos) OVER (PARTITION BY page_id, container_id ORDER BY pos) is null then 300 else 100 end"
+    )
+    heavy = f"(n_named = 0 or link_len > 0.8D * text_len or {short} > 0.8D * n_named)"
     return (
-        df.withColumn("_limit", link_limit(precision))
-        .where(~(F.col("role").isin(*roles) & is_link_heavy(F.col("_limit"), precision)))
+        df.selectExpr("*", f"{limit} AS _limit")
+        .where(f"not (role in {sql_list(roles)} and n_links > 0 and text_len < _limit and {heavy})")
         .drop("_limit")
     )
 
 
 def repeated_links_filter(df: DataFrame, precision: bool = False) -> DataFrame:
     """Drop div rows with links whose short text occurs three times on the page."""
-    candidate = (
-        (F.col("role") == "div")
-        & (F.col("n_named") > 0)
-        & F.col("text_len").between(1, (200 if precision else 100) - 1)
+    longest = (200 if precision else 100) - 1
+    marked = df.selectExpr("*", f"role = 'div' and n_named > 0 and text_len between 1 and {longest} AS _cand")
+    return (
+        marked.selectExpr("*", "count_if(_cand) OVER (PARTITION BY page_id, text) AS _n")
+        .where("not (_cand and _n >= 3)")
+        .drop("_cand", "_n")
     )
-    n = F.sum(candidate.cast("int")).over(Window.partitionBy("page_id", "text"))
-    return df.withColumn("_n", n).where(~(candidate & (F.col("_n") >= 3))).drop("_n")
 
 
 def link_table_filter(df: DataFrame) -> DataFrame:
     """Drop the rows of long tables that are mostly links."""
-    w = Window.partitionBy("page_id", "table_no")
-    size, links, named, linked = (
-        F.sum(c).over(w) for c in ("text_len", "n_links", "n_named", "link_len")
-    )
+    w = "OVER (PARTITION BY page_id, table_no)"
+    sums = {"_size": "text_len", "_links": "n_links", "_named": "n_named", "_linked": "link_len"}
     heavy = (
-        (F.col("table_no") > 0)
-        & (links > 0)
-        & (size > 250)
-        & (
-            (named == 0)
-            | ((size < 1000) & (linked > 0.8 * size))
-            | ((size > 1000) & (linked > 0.5 * size))
-        )
+        "table_no > 0 and _links > 0 and _size > 250 and (_named = 0 or (_size < 1000 and _linked > 0.8D * _size) "
+        "or (_size > 1000 and _linked > 0.5D * _size))"
     )
-    return df.withColumn("_heavy", heavy).where(~F.col("_heavy")).drop("_heavy")
+    return df.selectExpr("*", *[f"sum({c}) {w} AS {n}" for n, c in sums.items()]).where(f"not ({heavy})").drop(*sums)
 
 
 # Lines that only name a sharing service or a page tool.
@@ -222,16 +188,14 @@ HAS_WORD = r"[\p{L}\p{N}_]"
 
 def text_filter(df: DataFrame) -> DataFrame:
     """Rows with a word character that are not a sharing line."""
-    return df.where(F.col("text").rlike(HAS_WORD) & ~F.col("text").rlike(SHARE_LINE))
+    return df.where(f"text rlike {rx(HAS_WORD)} and not text rlike {rx(SHARE_LINE)}")
 
 
 def trim_tail(df: DataFrame) -> DataFrame:
     """Drop headings and rows that are nothing but links from the end of the page."""
-    dangling = (F.col("role") == "head") | (
-        (F.col("n_named") > 0) & (F.col("link_len") >= F.col("text_len"))
-    )
-    last = F.max(F.when(~dangling & (F.col("text_len") > 0), F.col("pos"))).over(whole_page())
-    return df.withColumn("_last", last).where(F.col("pos") <= F.col("_last")).drop("_last")
+    dangling = "(role = 'head' or (n_named > 0 and link_len >= text_len))"
+    last = f"max(case when not {dangling} and text_len > 0 then pos end) OVER (PARTITION BY page_id)"
+    return df.selectExpr("*", f"{last} AS _last").where("pos <= _last").drop("_last")
 
 
 def main_region(df: DataFrame) -> DataFrame:
@@ -239,22 +203,17 @@ def main_region(df: DataFrame) -> DataFrame:
 
     Adds ``region`` (1..5); pages without such a region drop out.
     """
-    w = whole_page()
-    best = F.coalesce(
-        *[
-            F.when(F.sum(F.when((F.col(f"in_{r}") > 0) & (F.col("text_len") > 0), 1).otherwise(0)).over(w) > 1, i + 1)
-            for i, r in enumerate(REGIONS)
-        ]
+    counts = ", ".join(
+        f"case when count_if(in_{r} > 0 and text_len > 0) OVER (PARTITION BY page_id) > 1 then {i} end"
+        for i, r in enumerate(REGIONS, 1)
     )
-    inside = F.lit(0)
-    for i, r in enumerate(REGIONS):
-        inside = F.when(F.col("region") == i + 1, F.col(f"in_{r}")).otherwise(inside)
-    return df.withColumn("region", best).where(F.col("region").isNotNull() & (inside > 0))
+    inside = " ".join(f"when {i} then in_{r}" for i, r in enumerate(REGIONS, 1))
+    return df.selectExpr("*", f"coalesce({counts}) AS region").where(f"case region {inside} else 0 end > 0")
 
 
-def page_blocks(pages: DataFrame) -> DataFrame:
+def page_blocks(pages: DataFrame, *rules: str) -> DataFrame:
     """segments -> context -> containers -> sections -> blocks, the start of every page query.
 
     Columns nothing reads later are pruned from the windows by the optimizer.
     """
-    return blocks(with_sections(with_containers(with_context(segments(pages)))))
+    return blocks(with_sections(with_containers(with_context(segments(pages))), *rules))

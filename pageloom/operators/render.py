@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.functions.text import sanitize, trim_ws, unescape
+from pageloom.functions.text import rx, sql_sanitize, sql_trim_ws, sql_unescape
 from pageloom.functions.urls import IMAGE_FILE
-from pageloom.operators.markup import ANY_TAG, LINE_BREAK, MARK, attr, page_window, strip_noise
+from pageloom.operators.markup import ANY_TAG, LINE_BREAK, sql_attr, sql_strip_noise
 
+TARGET = r"\]\((.+?)\)"
 IMG_TAG = r"(?i)<img(?:\s[^>]*)?>"
 LEAD_IMG = r"(?i)^<img(?:\s[^>]*)?>"
 LINK_OPEN = r"(?i)<(a(?:\s[^>]*)?>)"
@@ -27,118 +28,111 @@ def emphasis_pattern(tags: str) -> str:
     return rf"(?is)<(?:{tags})(?:\s[^>]*)?>(.*?)(?:</(?:{tags})\s*>|\z)"
 
 
-def image_source(tag: Column) -> Column:
+def sql_image_source(tag: str) -> str:
     """Image file of a tag, the lazy-load attribute first; ``//`` becomes ``http://``."""
-    lazy, src = attr(tag, "data-src"), attr(tag, "src")
-    found = F.when(lazy.rlike(IMAGE_FILE), lazy).when(src.rlike(IMAGE_FILE), src)
-    return F.regexp_replace(found, "^//", "http://")
-
-
-def _image_text(part: Column) -> Column:
-    tag = F.regexp_extract(part, LEAD_IMG, 0)
-    label = F.trim(F.concat(attr(tag, "title"), F.lit(" "), attr(tag, "alt")))
-    shown = F.concat(F.lit("!["), label, F.lit("]("), F.coalesce(image_source(tag), F.lit("")), F.lit(")"))
-    return F.when(tag == "", part).otherwise(F.concat(shown, F.regexp_replace(part, LEAD_IMG, "")))
-
-
-def _link_text(part: Column) -> Column:
-    tag = F.regexp_extract(part, LINK_PART, 1)
-    words = F.regexp_extract(part, LINK_PART, 2)
-    rest = F.regexp_extract(part, LINK_PART, 3)
-    target = attr(tag, "href")
-    goal = F.when(target == "", F.lit("")).otherwise(F.concat(F.lit("("), target, F.lit(")")))
-    shown = F.when(trim_ws(F.regexp_replace(words, ANY_TAG, "")) == "", words).otherwise(
-        F.concat(F.lit("["), words, F.lit("]"), goal)
-    )
-    return F.when(tag == "", part).otherwise(F.concat(shown, rest))
+    lazy, src = sql_attr(tag, "data-src"), sql_attr(tag, "src")
+    found = f"case when {lazy} rlike {rx(IMAGE_FILE)} then {lazy} when {src} rlike {rx(IMAGE_FILE)} then {src} end"
+    return f"regexp_replace({found}, '^//', 'http://')"
+
+
+def _per_part(markup: str, cut: str, show: str) -> str:
+    """Cut markup before each matching tag and rewrite the parts (lambda variable ``x``)."""
+    parts = f"split(regexp_replace({markup}, {rx(cut)}, concat(chr(30), '<$1')), chr(30))"
+    return f"array_join(transform({parts}, x -> {show}), '')"
 
 
-def _per_part(markup: Column, cut: str, show) -> Column:
-    parts = F.split(F.regexp_replace(markup, cut, MARK + "<$1"), MARK)
-    return F.array_join(F.transform(parts, show), "")
+def _image_text() -> str:
+    tag = f"regexp_extract(x, {rx(LEAD_IMG)}, 0)"
+    label = f"trim(concat({sql_attr(tag, 'title')}, ' ', {sql_attr(tag, 'alt')}))"
+    rest = f"regexp_replace(x, {rx(LEAD_IMG)}, '')"
+    return f"case when {tag} = '' then x else concat('![', {label}, '](', coalesce({sql_image_source(tag)}, ''), ')', {rest}) end"
+
+
+def _link_text() -> str:
+    tag, words, rest = (f"regexp_extract(x, {rx(LINK_PART)}, {g})" for g in (1, 2, 3))
+    target = sql_attr(tag, "href")
+    bare = sql_trim_ws(f"regexp_replace({words}, {rx(ANY_TAG)}, '')")
+    goal = f"case when {target} = '' then '' else concat('(', {target}, ')') end"
+    return (
+        f"case when {tag} = '' then x when {bare} = '' then concat({words}, {rest}) "
+        f"else concat('[', {words}, ']', {goal}, {rest}) end"
+    )
 
 
-def render_inline(markup: Column, formatting: bool = True, links: bool = True, images: bool = False) -> Column:
+def sql_render_inline(markup: str, formatting: bool = True, links: bool = True, images: bool = False) -> str:
     """Inline markup as text with link, emphasis and image marks."""
     if images:
-        markup = _per_part(markup, r"(?i)<(img(?:\s[^>]*)?>)", _image_text)
+        markup = _per_part(markup, r"(?i)<(img(?:\s[^>]*)?>)", _image_text())
     if links:
-        markup = _per_part(markup, LINK_OPEN, _link_text)
+        markup = _per_part(markup, LINK_OPEN, _link_text())
     if formatting:
         for tags, mark in EMPHASIS:
-            markup = F.regexp_replace(markup, emphasis_pattern(tags), f"{mark}$1{mark}")
-    markup = F.regexp_replace(F.regexp_replace(markup, LINE_BREAK, "\n"), ANY_TAG, "")
-    return unescape(sanitize(markup))
-
-
-def render_line(formatting: bool = True, links: bool = True, images: bool = False) -> Column:
-    """One block row as text."""
-    text = render_inline(F.col("flow"), formatting, links, images)
-    level = F.when(F.col("tag").rlike("^h[1-6]$"), F.substring("tag", 2, 1).cast("int")).otherwise(2)
-    bars = F.repeat(F.lit("="), level)
-    out = F.when(F.col("role") == "item", F.concat(F.lit("- "), text)).when(
-        F.col("role") == "cell", F.concat(F.lit("|"), text, F.lit("|"))
-    )
-    if formatting:
-        out = out.when(F.col("role") == "head", F.concat(bars, F.lit(" "), text, F.lit(" "), bars))
-    return F.when(text == "", F.lit("")).otherwise(out.otherwise(text))
+            markup = f"regexp_replace({markup}, {rx(emphasis_pattern(tags))}, '{mark}$1{mark}')"
+    markup = f"regexp_replace(regexp_replace({markup}, {rx(LINE_BREAK)}, chr(10)), {rx(ANY_TAG)}, '')"
+    return sql_unescape(sql_sanitize(markup))
+
 
+def render_lines(df: DataFrame, formatting: bool = True, links: bool = True, images: bool = False) -> DataFrame:
+    """Add ``line``: the block row as text."""
+    bars = "repeat('=', case when tag rlike '^h[1-6]$' then cast(substring(tag, 2, 1) as int) else 2 end)"
+    head = f"when role = 'head' then concat({bars}, ' ', _shown, ' ', {bars})" if formatting else ""
+    return df.selectExpr("*", f"{sql_render_inline('flow', formatting, links, images)} AS _shown").selectExpr(
+        "*",
+        f"""case when _shown = '' then '' when role = 'item' then concat('- ', _shown)
+          when role = 'cell' then concat('|', _shown, '|') {head} else _shown end AS line""",
+    ).drop("_shown")
 
-def ordered_text(value: Column, sep: str = "\n", order: str = "pos") -> Column:
+
+def sql_ordered_text(value: str, sep: str = "chr(10)", order: str = "pos") -> str:
     """Aggregate: values of a group joined in row order."""
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v"))))
-    return F.array_join(F.transform(rows, lambda r: r["v"]), sep)
+    rows = f"array_sort(collect_list(named_struct('o', {order}, 'v', {value})))"
+    return f"array_join(transform({rows}, r -> r.v), {sep})"
 
 
 def render(df: DataFrame, formatting: bool = True, links: bool = True, images: bool = False) -> DataFrame:
     """(page_id, text): block rows of each page as one text, empty lines dropped."""
-    lines = df.select("page_id", "pos", render_line(formatting, links, images).alias("line"))
-    return lines.where(F.col("line") != "").groupBy("page_id").agg(ordered_text(F.col("line")).alias("text"))
+    lines = render_lines(df, formatting, links, images).where("line <> ''")
+    return lines.groupBy("page_id").agg(F.expr(sql_ordered_text("line")).alias("text"))
 
 
 def neighbors(df: DataFrame, key: str = "page_id", text: str = "text") -> DataFrame:
     """(key, n, target): link targets of a rendered text, in order."""
-    found = F.regexp_extract_all(F.col(text), F.lit(r"\]\((.+?)\)"), F.lit(1))
-    return df.select(key, F.posexplode(found).alias("n", "target"))
+    return df.selectExpr(key, f"posexplode(regexp_extract_all({text}, {rx(TARGET)}, 1)) AS (n, target)")
 
 
 def images(pages: DataFrame) -> DataFrame:
     """(page_id, n, src, alt, title) of the images that name an image file."""
-    found = F.regexp_extract_all(strip_noise(F.col("html")), F.lit(IMG_TAG), F.lit(0))
-    rows = pages.select("page_id", F.posexplode(found).alias("n", "tag"))
-    return rows.select(
-        "page_id",
-        "n",
-        image_source(F.col("tag")).alias("src"),
-        attr(F.col("tag"), "alt").alias("alt"),
-        attr(F.col("tag"), "title").alias("title"),
-    ).where(F.col("src").isNotNull())
+    found = f"posexplode(regexp_extract_all({sql_strip_noise('html')}, {rx(IMG_TAG)}, 0)) AS (n, img)"
+    return (
+        pages.selectExpr("page_id", found)
+        .selectExpr(
+            "page_id",
+            "n",
+            f"{sql_image_source('img')} AS src",
+            f"{sql_attr('img', 'alt')} AS alt",
+            f"{sql_attr('img', 'title')} AS title",
+        )
+        .where("src is not null")
+    )
 
 
 def table_cells(df: DataFrame) -> DataFrame:
     """(page_id, table_no, row_no, col_no, role, text); a table ends at the first table inside it."""
-    w = page_window("table_no")
-    tag, closing = F.col("tag"), F.col("closing")
-    rows = df.where(F.col("table_no") > 0).withColumns(
-        {
-            "_nested": F.max((F.col("in_table") > 1).cast("int")).over(w),
-            "row_no": F.sum(((tag == "tr") & ~closing).cast("int")).over(w),
-            "_cell": F.sum((tag.isin("td", "th") & ~closing).cast("int")).over(w),
-            "_open": F.last(
-                F.when(tag.isin("td", "th"), ~closing).when(tag.isin("tr", "table"), False), ignorenulls=True
-            ).over(w),
-        }
-    )
-    cells = rows.where((F.col("_nested") == 0) & F.col("_open"))
-    by_cell = cells.groupBy("page_id", "table_no", "row_no", "_cell").agg(
-        F.max(F.when(tag == "th", "head").otherwise("cell")).alias("role"),
-        trim_ws(ordered_text(F.col("text"), " ")).alias("text"),
+    w = "OVER (PARTITION BY page_id, table_no ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    rows = df.where("table_no > 0").selectExpr(
+        "page_id", "pos", "tag", "text", "table_no",
+        f"max(in_table > 1) {w} AS _nested",
+        f"count_if(tag = 'tr' and not closing) {w} AS row_no",
+        f"count_if(tag in ('td', 'th') and not closing) {w} AS _cell",
+        f"last_value(case when tag in ('td', 'th') then not closing when tag in ('tr', 'table') then false end) IGNORE NULLS {w} AS _open",
     )
-    return by_cell.select(
-        "page_id",
-        "table_no",
-        "row_no",
-        (F.col("_cell") - F.min("_cell").over(Window.partitionBy("page_id", "table_no", "row_no")) + 1).alias("col_no"),
-        "role",
-        "text",
+    cells = (
+        rows.where("not _nested and _open")
+        .groupBy("page_id", "table_no", "row_no", "_cell")
+        .agg(
+            F.expr("max(case when tag = 'th' then 'head' else 'cell' end)").alias("role"),
+            F.expr(sql_trim_ws(sql_ordered_text("text", "' '"))).alias("text"),
+        )
     )
+    col_no = "_cell - min(_cell) OVER (PARTITION BY page_id, table_no, row_no) + 1 AS col_no"
+    return cells.selectExpr("page_id", "table_no", "row_no", col_no, "role", "text")

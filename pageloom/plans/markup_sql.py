@@ -10,12 +10,8 @@ from pageloom.plans.registry import cte
 from pageloom.plans.text_queries import d_sanitize, d_trim_ws, d_unescape
 
 
-def sql_str(p: str) -> str:
-    return p.replace("'", "''")
-
-
 def d_attr(tag: str, name: str) -> str:
-    p = sql_str(m.attr_pattern(name))
+    p = m.attr_pattern(name)
     return "(" + " || ".join(f"regexp_extract({tag}, '{p}', {g})" for g in (1, 2, 3)) + ")"
 
 
