@@ -62,10 +62,12 @@ def sql_trim_ws(c: str) -> str:
 
 
 def sql_unescape(c: str) -> str:
+    """Decode entities; texts without an ampersand pass untouched."""
+    out = "x"
     for entity, char in ENTITIES:
         shown = "chr(39)" if char == "'" else f"'{char}'"
-        c = f"replace({c}, '{entity}', {shown})"
-    return c
+        out = f"replace({out}, '{entity}', {shown})"
+    return f"transform(array({c}), x -> case when instr(x, '&') > 0 then {out} else x end)[0]"
 
 
 def sql_clean_line(c: str) -> str:

@@ -101,7 +101,8 @@ def segments(pages: DataFrame) -> DataFrame:
         f"regexp_replace(seg, {rx(LEAD_TAG)}, '') AS inner_html",
     )
     names = f"lower(trim(concat({sql_attr('open_tag', 'class')}, ' ', {sql_attr('open_tag', 'id')})))"
-    return led.selectExpr("*", f"case when closing then '' else {names} end AS cls")
+    # Most block tags have no attributes; skip the attribute patterns for those.
+    return led.selectExpr("*", f"case when closing or instr(open_tag, '=') = 0 then '' else {names} end AS cls")
 
 
 OVER_PAGE = "OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -161,7 +162,7 @@ def with_containers(ctx: DataFrame) -> DataFrame:
 def sql_inline_text(markup: str) -> str:
     """Text of inline markup: tags out, entities decoded, white space collapsed."""
     bare = f"regexp_replace(regexp_replace({markup}, {rx(LINE_BREAK)}, ' '), {rx(ANY_TAG)}, '')"
-    return sql_trim_ws(sql_unescape(bare))
+    return sql_trim_ws(sql_unescape(f"(case when instr({markup}, '<') > 0 then {bare} else {markup} end)"))
 
 
 ROLE = """case when closing then 'div' when tag = 'p' then 'p' when tag in ('li', 'dd', 'dt') then 'item'

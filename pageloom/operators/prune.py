@@ -89,7 +89,13 @@ def with_sections(ctx: DataFrame, *names: str) -> DataFrame:
     rules = {n: RULES[n] for n in names or RULES}
     bits = {n: i for i, n in enumerate(rules)}
     first = [n for n, r in rules.items() if r.first_only]
-    mask = " + ".join(f"case when {sql_starts(r)} then {1 << bits[n]} else 0 end" for n, r in rules.items())
+    terms = {n: f"case when {sql_starts(r)} then {1 << bits[n]} else 0 end" for n, r in rules.items()}
+    by_tag = [n for n, r in rules.items() if not r.names]
+    by_name = " + ".join(t for n, t in terms.items() if n not in by_tag) or "0"
+    # Rules on names look at rows with attributes only, a small share of all rows.
+    mask = " + ".join(
+        [f"case when length(open_tag) > length(tag) + 2 then {by_name} else 0 end", *[terms[n] for n in by_tag]]
+    )
 
     def bit(c: str, n: str) -> str:
         return f"(shiftright({c}, {bits[n]}) & 1)"
@@ -214,6 +220,8 @@ def main_region(df: DataFrame) -> DataFrame:
 def page_blocks(pages: DataFrame, *rules: str) -> DataFrame:
     """segments -> context -> containers -> sections -> blocks, the start of every page query.
 
-    Columns nothing reads later are pruned from the windows by the optimizer.
+    Only the named section rules are computed; context columns nothing reads later are
+    pruned from the windows by the optimizer.
     """
-    return blocks(with_sections(with_containers(with_context(segments(pages))), *rules))
+    tree = with_containers(with_context(segments(pages)))
+    return blocks(with_sections(tree, *rules) if rules else tree)

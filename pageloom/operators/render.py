@@ -61,6 +61,7 @@ def _link_text() -> str:
 
 def sql_render_inline(markup: str, formatting: bool = True, links: bool = True, images: bool = False) -> str:
     """Inline markup as text with link, emphasis and image marks."""
+    plain = markup
     if images:
         markup = _per_part(markup, r"(?i)<(img(?:\s[^>]*)?>)", _image_text())
     if links:
@@ -69,7 +70,7 @@ def sql_render_inline(markup: str, formatting: bool = True, links: bool = True,
         for tags, mark in EMPHASIS:
             markup = f"regexp_replace({markup}, {rx(emphasis_pattern(tags))}, '{mark}$1{mark}')"
     markup = f"regexp_replace(regexp_replace({markup}, {rx(LINE_BREAK)}, chr(10)), {rx(ANY_TAG)}, '')"
-    return sql_unescape(sql_sanitize(markup))
+    return sql_unescape(sql_sanitize(f"(case when instr({plain}, '<') > 0 then {markup} else {plain} end)"))
 
 
 def render_lines(df: DataFrame, formatting: bool = True, links: bool = True, images: bool = False) -> DataFrame:

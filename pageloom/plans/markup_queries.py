@@ -17,8 +17,8 @@ def rich(spark, sf_dir):
     return load(spark, sf_dir, "rich_pages")
 
 
-def rich_blocks(spark, sf_dir):
-    return prune.page_blocks(rich(spark, sf_dir))
+def rich_blocks(spark, sf_dir, *rules):
+    return prune.page_blocks(rich(spark, sf_dir), *rules)
 
 
 @query(

@@ -26,7 +26,9 @@ def q_section_flags(spark, sf_dir):
 WHERE not (b and enough)""",
 )
 def q_drop_sections_guarded(spark, sf_dir):
-    return prune.drop_sections(rich_blocks(spark, sf_dir), "boilerplate", guard=True).select("page_id", "pos", "text")
+    return prune.drop_sections(
+        rich_blocks(spark, sf_dir, "boilerplate"), "boilerplate", guard=True
+    ).select("page_id", "pos", "text")
 
 
 @query(
@@ -35,7 +37,8 @@ def q_drop_sections_guarded(spark, sf_dir):
     "SELECT page_id, pos, text FROM blk WHERE in_paywall = 0 and in_teaser = 0 and in_caption = 0 and in_extras = 0 and in_comments = 0",
 )
 def q_drop_sections(spark, sf_dir):
-    df = prune.drop_sections(rich_blocks(spark, sf_dir), "paywall", "teaser", "caption", "extras", "comments")
+    families = ("paywall", "teaser", "caption", "extras", "comments")
+    df = prune.drop_sections(rich_blocks(spark, sf_dir, *families), *families)
     return df.select("page_id", "pos", "text")
 
 
@@ -51,7 +54,7 @@ def d_main_region(source: str) -> str:
 
 @query("main_region", "D7", f"SELECT page_id, pos, region, text FROM ({d_main_region('blk')})")
 def q_main_region(spark, sf_dir):
-    return prune.main_region(rich_blocks(spark, sf_dir)).select("page_id", "pos", "region", "text")
+    return prune.main_region(rich_blocks(spark, sf_dir, *prune.REGIONS)).select("page_id", "pos", "region", "text")
 
 
 def d_link_density(source: str, roles: str = "'div', 'p', 'item'", precision: bool = False) -> str:

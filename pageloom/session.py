@@ -20,6 +20,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
     )
     for key, value in conf.items():
