@@ -10,16 +10,17 @@ so a page group is bounded by the size of one stored response.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pageloom.functions.text import rx, sql_list, sql_trim_ws, sql_unescape
 
 # Block tags whose end tag authors always write; depth is counted on these.
 CONTAINERS = (
     "address article aside blockquote body details div dl fieldset figure footer form "
-    "header main nav ol pre section table ul"
+    "header main nav ol section table ul"
 ).split()
 # Block tags that end at the next block tag.
-LEAVES = "html head title p li dd dt h1 h2 h3 h4 h5 h6 summary caption figcaption thead tbody tfoot tr td th".split()
+LEAVES = "html head title p pre li dd dt h1 h2 h3 h4 h5 h6 summary caption figcaption thead tbody tfoot tr td th".split()
 # Elements dropped with their content inside a block.
 EMBEDDED = "button select textarea object svg video audio canvas iframe noscript template".split()
 
@@ -33,7 +34,7 @@ TRACKED = {
     "header": ("header",),
     "table": ("table",),
     "list": ("ul", "ol", "dl"),
-    "quote": ("blockquote", "pre"),
+    "quote": ("blockquote",),
     "figure": ("figure",),
 }
 
@@ -159,6 +160,22 @@ def with_containers(ctx: DataFrame) -> DataFrame:
     )
 
 
+def sql_mark(df: DataFrame, flag: str | None, keep: str, **helpers: str) -> DataFrame:
+    """Apply a row rule: narrow the boolean column ``flag``, or filter if none is named.
+
+    ``helpers`` are columns computed before the rule; in both they see ``{on}``, the
+    condition that a row is still in. Narrowing leaves the row stream whole, so several
+    extractions can be carried over one pass.
+    """
+    on = flag or "true"
+    if helpers:
+        df = df.selectExpr("*", *[f"{e.replace('{on}', on)} AS {n}" for n, e in helpers.items()])
+    rule = keep.replace("{on}", on)
+    if flag is None:
+        return df.where(rule).drop(*helpers)
+    return df.withColumn(flag, F.expr(f"{flag} and coalesce({rule}, false)")).drop(*helpers)
+
+
 def sql_inline_text(markup: str) -> str:
     """Text of inline markup: tags out, entities decoded, white space collapsed."""
     bare = f"regexp_replace(regexp_replace({markup}, {rx(LINE_BREAK)}, ' '), {rx(ANY_TAG)}, '')"
@@ -194,18 +211,20 @@ def blocks(ctx: DataFrame) -> DataFrame:
     )
 
 
-def drop_containers(df: DataFrame, tables: bool = True, images: bool = False) -> DataFrame:
+def drop_containers(
+    df: DataFrame, tables: bool = True, images: bool = False, flag: str | None = None
+) -> DataFrame:
     """Rows outside navigation, footer, aside and form; tables and figures optional."""
     keep = "in_nav = 0 and in_footer = 0 and in_aside = 0 and in_form = 0"
     if not tables:
         keep += " and in_table = 0"
     if not images:
         keep += " and in_figure = 0"
-    return df.where(keep)
+    return sql_mark(df, flag, keep)
 
 
-def drop_empty(df: DataFrame) -> DataFrame:
-    return df.where("text_len > 0")
+def drop_empty(df: DataFrame, flag: str | None = None) -> DataFrame:
+    return sql_mark(df, flag, "text_len > 0")
 
 
 def size_guard(rows: DataFrame, limit: int) -> DataFrame:

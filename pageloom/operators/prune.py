@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from pageloom.functions.text import rx, sql_list
-from pageloom.operators.markup import OVER_PAGE, blocks, segments, with_containers, with_context
+from pageloom.operators.markup import OVER_PAGE, blocks, segments, sql_mark, with_containers, with_context
 
 
 @dataclass(frozen=True)
@@ -129,21 +129,29 @@ def with_sections(ctx: DataFrame, *names: str) -> DataFrame:
     )
 
 
-def drop_sections(df: DataFrame, *families: str, guard: bool = False) -> DataFrame:
+def drop_sections(df: DataFrame, *families: str, guard: bool = False, flag: str | None = None) -> DataFrame:
     """Drop rows inside the named sections.
 
     With the guard, a page keeps all its rows if at most 1/7 of its text would remain.
     """
     inside = "(" + " or ".join(f"in_{f} > 0" for f in families) + ")"
     if not guard:
-        return df.where(f"not {inside}")
-    left = f"sum(case when {inside} then 0 else text_len end) OVER (PARTITION BY page_id)"
-    drop = f"{inside} and {left} * 7 > sum(text_len) OVER (PARTITION BY page_id)"
-    return df.selectExpr("*", f"{drop} AS _drop").where("not _drop").drop("_drop")
+        return sql_mark(df, flag, f"not {inside}")
+    w = "OVER (PARTITION BY page_id)"
+    return sql_mark(
+        df,
+        flag,
+        f"not ({inside} and _left * 7 > _all)",
+        _left=f"sum(case when {{on}} and not {inside} then text_len else 0 end) {w}",
+        _all=f"sum(case when {{on}} then text_len else 0 end) {w}",
+    )
 
 
 def link_density_filter(
-    df: DataFrame, roles: tuple[str, ...] = ("div", "p", "item"), precision: bool = False
+    df: DataFrame,
+    roles: tuple[str, ...] = ("div", "p", "item"),
+    precision: bool = False,
+    flag: str | None = None,
 ) -> DataFrame:
     """Drop short rows whose links are most of it, mostly short, or all empty.
 
@@ -153,30 +161,26 @@ def link_density_filter(
     short = "n_short"
     if precision:
         roles, short = (*roles, "head", "quote"), "n_short_precise"
-    limit = (
-        f"case when role = 'p' then {100 if precision else 25} "
-        "when lead(pos) OVER (PARTITION BY page_id, container_id ORDER BY pos) is null then 300 else 100 end"
-    )
     heavy = f"(n_named = 0 or link_len > 0.8D * text_len or {short} > 0.8D * n_named)"
-    return (
-        df.selectExpr("*", f"{limit} AS _limit")
-        .where(f"not (role in {sql_list(roles)} and n_links > 0 and text_len < _limit and {heavy})")
-        .drop("_limit")
+    return sql_mark(
+        df,
+        flag,
+        f"not (role in {sql_list(roles)} and n_links > 0 and text_len < _limit and {heavy})",
+        _limit=f"case when role = 'p' then {100 if precision else 25} when lead(pos) OVER "
+        "(PARTITION BY page_id, container_id, {on} ORDER BY pos) is null then 300 else 100 end",
     )
 
 
-def repeated_links_filter(df: DataFrame, precision: bool = False) -> DataFrame:
+def repeated_links_filter(df: DataFrame, precision: bool = False, flag: str | None = None) -> DataFrame:
     """Drop div rows with links whose short text occurs three times on the page."""
     longest = (200 if precision else 100) - 1
-    marked = df.selectExpr("*", f"role = 'div' and n_named > 0 and text_len between 1 and {longest} AS _cand")
-    return (
-        marked.selectExpr("*", "count_if(_cand) OVER (PARTITION BY page_id, text) AS _n")
-        .where("not (_cand and _n >= 3)")
-        .drop("_cand", "_n")
+    cand = f"({{on}} and role = 'div' and n_named > 0 and text_len between 1 and {longest})"
+    return sql_mark(
+        df, flag, f"not ({cand} and _n >= 3)", _n=f"count_if({cand}) OVER (PARTITION BY page_id, text)"
     )
 
 
-def link_table_filter(df: DataFrame) -> DataFrame:
+def link_table_filter(df: DataFrame, flag: str | None = None) -> DataFrame:
     """Drop the rows of long tables that are mostly links."""
     w = "OVER (PARTITION BY page_id, table_no)"
     sums = {"_size": "text_len", "_links": "n_links", "_named": "n_named", "_linked": "link_len"}
@@ -184,7 +188,9 @@ def link_table_filter(df: DataFrame) -> DataFrame:
         "table_no > 0 and _links > 0 and _size > 250 and (_named = 0 or (_size < 1000 and _linked > 0.8D * _size) "
         "or (_size > 1000 and _linked > 0.5D * _size))"
     )
-    return df.selectExpr("*", *[f"sum({c}) {w} AS {n}" for n, c in sums.items()]).where(f"not ({heavy})").drop(*sums)
+    return sql_mark(
+        df, flag, f"not ({heavy})", **{n: f"sum(case when {{on}} then {c} end) {w}" for n, c in sums.items()}
+    )
 
 
 # Lines that only name a sharing service or a page tool.
@@ -192,29 +198,49 @@ SHARE_LINE = r"(?i)^[^\p{L}\p{N}]*(e-?mail|print|pdf|facebook|twitter|linkedin|w
 HAS_WORD = r"[\p{L}\p{N}_]"
 
 
-def text_filter(df: DataFrame) -> DataFrame:
+def text_filter(df: DataFrame, flag: str | None = None) -> DataFrame:
     """Rows with a word character that are not a sharing line."""
-    return df.where(f"text rlike {rx(HAS_WORD)} and not text rlike {rx(SHARE_LINE)}")
+    return sql_mark(df, flag, f"text rlike {rx(HAS_WORD)} and not text rlike {rx(SHARE_LINE)}")
 
 
-def trim_tail(df: DataFrame) -> DataFrame:
+def trim_tail(df: DataFrame, flag: str | None = None) -> DataFrame:
     """Drop headings and rows that are nothing but links from the end of the page."""
     dangling = "(role = 'head' or (n_named > 0 and link_len >= text_len))"
-    last = f"max(case when not {dangling} and text_len > 0 then pos end) OVER (PARTITION BY page_id)"
-    return df.selectExpr("*", f"{last} AS _last").where("pos <= _last").drop("_last")
+    last = f"max(case when {{on}} and not {dangling} and text_len > 0 then pos end) OVER (PARTITION BY page_id)"
+    return sql_mark(df, flag, "pos <= _last", _last=last)
+
+
+def first_area(df: DataFrame, areas: list[str], least: int, name: str, flag: str | None = None) -> DataFrame:
+    """Add ``name``: number of the first area rule with at least ``least`` rows of text."""
+    on = flag or "true"
+    found = ", ".join(
+        f"case when count_if({on} and in_{a} > 0 and text_len > 0) OVER (PARTITION BY page_id) >= {least} then {i} end"
+        for i, a in enumerate(areas, 1)
+    )
+    return df.selectExpr("*", f"coalesce({found}) AS {name}")
+
 
+def sql_in_area(areas: list[str], name: str) -> str:
+    inside = " ".join(f"when {i} then in_{a} > 0" for i, a in enumerate(areas, 1))
+    return f"coalesce(case {name} {inside} end, false)"
 
-def main_region(df: DataFrame) -> DataFrame:
+
+def main_region(df: DataFrame, flag: str | None = None) -> DataFrame:
     """Rows of the first region rule that yields more than one row with text.
 
-    Adds ``region`` (1..5); pages without such a region drop out.
+    Adds ``region`` (1..5); pages without such a region have no rows in.
     """
-    counts = ", ".join(
-        f"case when count_if(in_{r} > 0 and text_len > 0) OVER (PARTITION BY page_id) > 1 then {i} end"
-        for i, r in enumerate(REGIONS, 1)
-    )
-    inside = " ".join(f"when {i} then in_{r}" for i, r in enumerate(REGIONS, 1))
-    return df.selectExpr("*", f"coalesce({counts}) AS region").where(f"case region {inside} else 0 end > 0")
+    return sql_mark(first_area(df, REGIONS, 2, "region", flag), flag, sql_in_area(REGIONS, "region"))
+
+
+def comment_rows(df: DataFrame, flag: str | None = None) -> DataFrame:
+    """Rows of the page's comment area, without forms, reply links and author lines.
+
+    Adds ``comment_area`` (1..4), the first area rule that holds text.
+    """
+    quiet = "(in_comment_noise = 0 and text_len > 0)"
+    found = first_area(df, COMMENT_AREAS, 1, "comment_area", quiet)
+    return sql_mark(found, flag, f"{quiet} and {sql_in_area(COMMENT_AREAS, 'comment_area')}")
 
 
 def page_blocks(pages: DataFrame, *rules: str) -> DataFrame:

@@ -11,6 +11,7 @@ MODULES = (
     "text_queries",
     "markup_queries",
     "prune_queries",
+    "score_queries",
 )
 
 
