@@ -12,6 +12,7 @@ MODULES = (
     "markup_queries",
     "prune_queries",
     "score_queries",
+    "extract_queries",
 )
 
 
