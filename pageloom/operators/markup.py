@@ -69,8 +69,13 @@ def sql_strip_noise(html: str) -> str:
 
 
 def by_page(pages: DataFrame) -> DataFrame:
-    """The one exchange of the page operators: raw rows hashed on the page key."""
-    return pages.select("page_id", "html").repartition("page_id")
+    """The one exchange of the page operators: raw rows hashed on the page key.
+
+    The partition count is given, because runtime coalescing would size partitions by the
+    raw bytes, while the work and the rows grow many times in the explode that follows.
+    """
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pages.select("page_id", "html").repartition(n, "page_id")
 
 
 def tokens(pages: DataFrame) -> DataFrame:
