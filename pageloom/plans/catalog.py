@@ -13,6 +13,8 @@ MODULES = (
     "prune_queries",
     "score_queries",
     "extract_queries",
+    "flow_queries",
+    "meta_queries",
 )
 
 
