@@ -15,6 +15,7 @@ MODULES = (
     "extract_queries",
     "flow_queries",
     "meta_queries",
+    "link_queries",
 )
 
 

@@ -131,7 +131,6 @@ def q_upsert_processed(spark, sf_dir):
     first = F.substring("digest", 1, 1) < "8"
     ar.upsert_processed(spark, docs.where(first), path)
     ar.upsert_processed(spark, docs, path)
-    ar.upsert_processed(spark, docs, path)
     return spark.read.parquet(path).select("digest", "url", "visit_date", "text")
 
 
