@@ -183,3 +183,26 @@ def same_domain(link: Column, domain: Column) -> Column:
     """Link stays on ``domain``, or goes to a known blog platform."""
     host = hostname(link)
     return (domain_of_host(host) == domain) | host.rlike(BLOG_PLATFORM)
+
+
+def with_clean_link(df: DataFrame, base: str, link: str, out: str) -> DataFrame:
+    """Add ``out``: ``link`` resolved against the site of ``base`` and cleaned.
+
+    Each step is its own column, so no part of the chain is repeated in the plan. The last
+    one comes out of `inline`, which keeps later filters from being pushed below it: there
+    they would repeat the whole chain once per use.
+    """
+    staged = (
+        df.withColumn("_base", base_url(F.col(base)))
+        .withColumn("_full", resolve_url(F.col("_base"), F.col(link)))
+        .withColumn("_query", strip_tracking(query_string(F.trim("_full"))))
+        .withColumn(
+            out,
+            F.concat(
+                base_url(F.trim("_full")),
+                F.regexp_replace(path(F.trim("_full")), "/+$", ""),
+                F.when(F.col("_query") == "", F.lit("")).otherwise(F.concat(F.lit("?"), "_query")),
+            ),
+        )
+    )
+    return staged.select(*df.columns, F.inline(F.array(F.struct(F.col(out)))))

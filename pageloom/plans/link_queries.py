@@ -188,7 +188,7 @@ UNION SELECT e.link, w.depth + 1 FROM recursive_walk w JOIN states_any e ON e.ur
 def q_expand_sitemaps(spark, sf_dir):
     bodies = sitemap_mix(spark, sf_dir)
     seeds = load(spark, sf_dir, "sitemaps").where("url like '%/sitemap.xml'").select("url")
-    return L.expand_sitemaps(seeds, L.sitemap_edges(bodies))
+    return L.expand_sitemaps(seeds, L.sitemap_edges(bodies).persist())
 
 
 @query(
