@@ -16,6 +16,7 @@ MODULES = (
     "flow_queries",
     "meta_queries",
     "link_queries",
+    "corpus_queries",
 )
 
 
