@@ -19,26 +19,30 @@ def sql_words(c: str = "text", lang: str = "en") -> str:
     return f"filter(regexp_extract_all(lower({c}), {rx(WORD)}, 0), w -> w not in {sql_list(stop_words(lang))})"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, computed once per row.
+
+    A column would do the same until a filter is pushed below it and repeats its
+    expression inside the lambdas, once per word.
+    """
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def with_terms(docs: DataFrame, ngrams: int = 1) -> DataFrame:
     """Add ``terms``: array of (term, tf) per document.
 
     The counts come from run lengths in the sorted word array of the row, so no word is
     shuffled to count it.
     """
-    words = docs.selectExpr("*", f"{sql_words()} AS _words")
+    grams = "w"
     if ngrams == 2:
-        pairs = "case when size(_words) > 1 then transform(sequence(0, size(_words) - 2), i -> concat(_words[i], ' ', _words[i + 1])) else array() end"
-        words = words.selectExpr(*docs.columns, f"concat(_words, {pairs}) AS _words")
-    ordered = words.selectExpr(*docs.columns, "array_sort(_words) AS _s")
-    starts = ordered.selectExpr(
-        "*",
-        "filter(sequence(0, greatest(size(_s) - 1, 0)), i -> i < size(_s) and (i = 0 or _s[i] <> _s[i - 1])) AS _at",
-    )
-    terms = (
-        "transform(_at, (a, j) -> named_struct('term', _s[a], 'tf', "
-        "case when j + 1 < size(_at) then _at[j + 1] else size(_s) end - a))"
-    )
-    return starts.selectExpr(*docs.columns, f"{terms} AS terms")
+        pairs = "transform(sequence(0, size(w) - 2), i -> concat(w[i], ' ', w[i + 1]))"
+        grams = f"case when size(w) > 1 then concat(w, {pairs}) else w end"
+    run = "named_struct('term', s[a], 'tf', case when j + 1 < size(at) then at[j + 1] else size(s) end - a)"
+    starts = "filter(sequence(0, greatest(size(s) - 1, 0)), i -> i < size(s) and (i = 0 or s[i] <> s[i - 1]))"
+    counted = _let(starts, "at", f"transform(at, (a, j) -> {run})")
+    terms = _let(sql_words(), "w", _let(f"array_sort({grams})", "s", counted))
+    return docs.selectExpr("*", f"{terms} AS terms")
 
 
 def _bounded(counts: DataFrame, docs: DataFrame) -> DataFrame:

@@ -215,3 +215,22 @@ def extract_pages(pages: DataFrame, o: Options = Options()) -> DataFrame:
             f"{sql_fingerprint('text')} AS fingerprint",
         )
     )
+
+
+def page_digest(pages: DataFrame) -> DataFrame:
+    """(page_id, digest, title, text, blocks, seconds, fingerprint): the short cascade.
+
+    Main region only, no scoring and no recovery. One exchange of the raw rows.
+    """
+    rows = prune.page_blocks(pages, "boilerplate", *prune.REGIONS)
+    rows = prune.drop_sections(markup.drop_containers(rows, images=True), "boilerplate").where("text_len > 0 and role <> 'caption'")
+    found = prune.main_region(rows).groupBy("page_id").agg(
+        F.expr(gather("true", "text")).alias("text"),
+        F.expr("min(case when tag = 'h1' and not closing then named_struct('o', pos, 'v', text) end).v").alias("title"),
+        F.count(F.lit(1)).alias("blocks"),
+    )
+    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    urls = pages.selectExpr("page_id", "md5(url) AS digest").repartition(n, "page_id")
+    return found.join(urls, "page_id").selectExpr(
+        "page_id", "digest", "title", "text", "blocks", f"{sql_reading_time('text')} AS seconds", f"{sql_fingerprint('text')} AS fingerprint"
+    )

@@ -244,3 +244,22 @@ LEFT JOIN (SELECT page_id, string_agg(text, chr(10) ORDER BY pos) AS text FROM c
 )
 def q_extract_pages(spark, sf_dir):
     return extract.extract_pages(rich(spark, sf_dir))
+
+
+cte("plain_region", d_main_region(f"(SELECT * FROM plain_blk WHERE {KEEP} and in_boilerplate = 0 and text_len > 0 and role <> 'caption')"))
+cte(
+    "plain_digest",
+    """SELECT page_id, string_agg(text, chr(10) ORDER BY pos) AS text, arg_min(text, pos) FILTER (tag = 'h1') AS title, count(*) AS blocks FROM plain_region GROUP BY page_id""",
+)
+
+
+@query(
+    "page_digest",
+    "D27",
+    f"SELECT t.page_id, md5(p.url) AS digest, title, text, blocks, {d_reading_time('text')} AS seconds, {d_fingerprint('text')} AS fingerprint "
+    "FROM plain_digest t JOIN pages p ON p.page_id = t.page_id",
+)
+def q_page_digest(spark, sf_dir):
+    """Given pages -> rows -> main region -> title, text, reading time, fingerprint."""
+    pages = load(spark, sf_dir, "pages")
+    return extract.page_digest(pages)
