@@ -77,7 +77,7 @@ def d_normalize_authors(candidates: str, start: str = "[]::varchar[]") -> str:
     names = (
         f"list_filter(list_transform({split}, lambda a: {clean}), lambda a: a <> '' and (contains(a, ' ') or contains(a, '-') or length(a) < 50))"
     )
-    words = "array_to_string(list_transform(string_split(p, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+    words = "array_to_string(list_transform(string_split(p, ' '), lambda w: case when w[1] = 'ß' then 'Ss' else upper(w[1]) end || lower(w[2:])), ' ')"
     cased = (
         f"list_transform({names}, lambda a: case when regexp_matches(a, '^[^A-ZÄÖÜÉÈÁÍÓÚÑÇ]') then "
         f"array_to_string(list_transform(string_split(a, '-'), lambda p: {words}), '-') else a end)"

@@ -8,6 +8,7 @@ from pageloom.operators import markup, prune, render
 from pageloom.plans import markup_sql as d
 from pageloom.plans.markup_queries import KEEP, rich, rich_blocks
 from pageloom.plans.registry import cte, query
+from pageloom.plans.tables import load
 
 RULE_COLS = [f"in_{n}" for n in prune.RULES]
 
@@ -178,3 +179,9 @@ def d_trim_tail(source: str) -> str:
 def q_trim_tail(spark, sf_dir):
     kept = markup.drop_containers(rich_blocks(spark, sf_dir), images=True)
     return prune.trim_tail(kept).select("page_id", "pos", "text")
+
+
+@query("text_documents", "A10", d.d_render(f"(SELECT * FROM plain_blk WHERE {KEEP})"))
+def q_text_documents(spark, sf_dir):
+    rows = prune.page_blocks(load(spark, sf_dir, "pages"))
+    return render.render(markup.drop_containers(rows, images=True))
