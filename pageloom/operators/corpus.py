@@ -57,10 +57,16 @@ def _bounded(counts: DataFrame, docs: DataFrame) -> DataFrame:
 def term_counts(docs: DataFrame) -> DataFrame:
     """(term, df, n) within the document frequency bounds.
 
-    One row per document and term meets the shuffle, already combined on the map side.
+    Each document gives its words once as they are and once distinct, so one aggregate by
+    term yields both counts. Only terms combined on the map side are shuffled, and the work
+    per word stays in generated code.
     """
-    rows = with_terms(docs.select("text")).selectExpr("inline(terms)")
-    counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("tf").cast("bigint")).alias("n"))
+    words = docs.selectExpr(f"regexp_extract_all(lower(text), {rx(WORD)}, 0) AS _w")
+    twice = words.selectExpr(
+        "explode(array(named_struct('d', 0L, 'ws', _w), named_struct('d', 1L, 'ws', array_distinct(_w)))) AS x"
+    )
+    rows = twice.selectExpr("x.d AS d", "explode(x.ws) AS term").where(f"term not in {sql_list(stop_words('en'))}")
+    counts = rows.groupBy("term").agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("n"))
     return _bounded(counts, docs.select("text"))
 
 
