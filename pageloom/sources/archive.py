@@ -67,7 +67,8 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
 def latest(df: DataFrame, *order: str) -> DataFrame:
     """Last version of each digest. Versions are cut per salt first, so a URL with very
     many versions is never ranked by one task alone."""
-    rank = [F.col(c).desc() for c in (order or ("visit_date",))]
+    # Equal versions are told apart by a hash, so a task that runs again picks the same row.
+    rank = [F.col(c).desc() for c in (order or ("visit_date",))] + [F.xxhash64(*df.columns)]
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(32)))
     for keys in (("digest", "_salt"), ("digest",)):
         w = Window.partitionBy(*keys).orderBy(*rank)
