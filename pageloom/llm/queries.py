@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import byte_bpe, dac
+from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, substring_dedup
 from pageloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "token-files")
     dac.write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER), END_ID)
     return dac.read_token_files(spark, folder).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item held by a document: doc_id, item_id, n_shingles, n_found, containment."""
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: doc_id, class_id, n_links, n_text_links, n_copies."""
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents")).drop("node")
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of repeated 35-word windows removed from all documents: doc_id, n_words, n_removed, kept_sha256."""
+    return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
