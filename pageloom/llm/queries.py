@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, substring_dedup
+from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, sharding, substring_dedup, url_filter
 from pageloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,16 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of repeated 35-word windows removed from all documents: doc_id, n_words, n_removed, kept_sha256."""
     return substring_dedup.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all page urls: page_id, host, path, rule, verdict, logit."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.fit(url_filter.labelled(spark)))
+
+
+@query
+def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight contiguous shards of nearly equal bytes."""
+    placed = sharding.byte_shards(table(spark, sf_dir, "documents"))
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
