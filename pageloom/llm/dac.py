@@ -31,8 +31,14 @@ RANK_BLOCK = 512
 #: A segment is closed once it has this many ids or documents; one longer document has a segment of its own.
 SEGMENT_IDS = 1 << 20
 SEGMENT_DOCS = 20_000
-#: Words a worker remembers with their ids, per generation.
-REMEMBERED = 300_000
+#: Words a worker remembers with their ids, per generation; about 200 bytes each, two generations at most.
+REMEMBERED = 600_000
+#: Bytes of the longest word remembered.
+SHORT = 64
+#: Text handled at once, so that the tokenizer is called for many new words together.
+GROUP_BYTES = 1 << 20
+#: Put between words that are encoded in one call.
+SEPARATOR = "\0"
 
 _COUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
@@ -116,33 +122,46 @@ class Segment:
         return out
 
 
-class _Words(dict):
+class _Words:
     """Ids of white-space separated words as little-endian 32-bit values."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        mark = self._ids(SEPARATOR)
+        self.mark = mark[0] if len(mark) == 1 else None
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def document(self, raw: bytes) -> bytes:
-        """Ids of a whole text; unknown words go to the tokenizer together."""
-        words = raw.split()
-        unknown = [w for w in dict.fromkeys(words) if w not in self]
-        if unknown:
-            if len(self) + len(unknown) > REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-                unknown = list(dict.fromkeys(words))
-            kept = {w: self.older[w] for w in unknown if w in self.older}
-            self.update(kept)
-            new = [w for w in unknown if w not in kept]
-            for at in range(0, len(new), 10_000):
-                self.update(zip(new[at : at + 10_000], self.encode(new[at : at + 10_000])))
-        return b"".join(map(self.__getitem__, words))
+        """Ids of each word; many words share one call, told apart by the id of a separator that none of them holds."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        if self.mark is None or any(SEPARATOR in t for t in texts):
+            return [np.array(self._ids(t), "<u4").tobytes() for t in texts]
+        ids = np.array(self._ids(f" {SEPARATOR} ".join(texts)), "<u4")
+        cuts = np.nonzero(ids == self.mark)[0]
+        if len(cuts) != len(words) - 1:
+            return [np.array(self._ids(t), "<u4").tobytes() for t in texts]
+        raw = ids.tobytes()
+        starts = [0] + (4 * (cuts + 1)).tolist()
+        return [raw[a:b] for a, b in zip(starts, (4 * cuts).tolist() + [len(raw)])]
+
+    def documents(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of whole texts; all their unknown words go to the tokenizer together."""
+        words = [raw.split() for raw in texts]
+        found = [list(map(self.known.get, w)) for w in words]
+        gaps = {w: self.older.get(w) for ws, fs in zip(words, found) if None in fs for w, ids in zip(ws, fs) if ids is None}
+        if gaps:
+            new = [w for w, ids in gaps.items() if ids is None]
+            for at in range(0, len(new), 5_000):
+                gaps.update(zip(new[at : at + 5_000], self.encode(new[at : at + 5_000])))
+            found = [[gaps[w] if ids is None else ids for w, ids in zip(ws, fs)] if None in fs else fs for ws, fs in zip(words, found)]
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            self.known.update((w, ids) for w, ids in gaps.items() if len(w) <= SHORT)
+        return [b"".join(f) for f in found]
 
 
 _known: dict[str, _Words] = {}
@@ -188,13 +207,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             keys, held, size, seq = [], [], 0, 0
             for batch in parts:
                 arrow_key = batch.schema.field(0).type
-                for key, raw in rows(batch, "key", "_raw"):
-                    keys.append(key)
-                    held.append(own.document(raw) + end)
-                    size += len(held[-1]) // 4
-                    if size >= SEGMENT_IDS or len(keys) >= SEGMENT_DOCS:
-                        yield part, seq, size, keys, _packed(held)
-                        keys, held, size, seq = [], [], 0, seq + 1
+                for found in _groups(rows(batch, "key", "_raw")):
+                    for (key, _), ids in zip(found, own.documents([raw for _, raw in found])):
+                        keys.append(key)
+                        held.append(ids + end)
+                        size += len(held[-1]) // 4
+                        if size >= SEGMENT_IDS or len(keys) >= SEGMENT_DOCS:
+                            yield part, seq, size, keys, _packed(held)
+                            keys, held, size, seq = [], [], 0, seq + 1
             if keys:
                 yield part, seq, size, keys, _packed(held)
 
@@ -213,6 +233,19 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     ordered.mapInArrow(run, schema).write.mode("overwrite").option("compression", "zstd").parquet(folder)
 
 
+def _groups(found: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows in lists of about ``GROUP_BYTES`` of text."""
+    held, size = [], 0
+    for row in found:
+        held.append(row)
+        size += len(row[1])
+        if size >= GROUP_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _packed(held: list[bytes]) -> bytes:
     return pack(np.frombuffer(b"".join(held), "<u4"), np.array([len(h) // 4 for h in held], "<u8"))
 
