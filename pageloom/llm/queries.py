@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, sharding, substring_dedup, url_filter
+from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, quality, sharding, substring_dedup, url_filter
 from pageloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight contiguous shards of nearly equal bytes."""
     placed = sharding.byte_shards(table(spark, sf_dir, "documents"))
     return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@query
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and log-likelihood ratio of all documents against those labelled as good."""
+    docs, trusted = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1")
+    return quality.assess(docs, quality.fit(docs, trusted))
