@@ -4,7 +4,7 @@ Round 0 names runs of one word, each later round names pairs whose left part fal
 coin and whose right part on the other, so pairs never overlap. A name is a 64-bit digest of its parts: every task
 gives the same name to the same content without asking another, where a table of names would move every symbol in
 every round. With each symbol goes the span of words on which its making depended. A symbol whose span lies inside a
-window is made alike wherever the window's words occur, so each window is filed under the least of its symbols.
+window is made alike wherever the window's words occur, so each window is filed under the longest of its symbols.
 
 Spark then decides by counting: runs of windows under one symbol with equal context are repeats as a whole; a symbol
 seen in several contexts has its windows compared one by one on 128 bits of their words; all others are unique.
@@ -17,16 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import batches, combine, mix, rows, text_bytes, word_hashes
-from pageloom.session import work_path
+from pageloom.llm.words import batches, combine, drop_folder, mix, rows, text_bytes, word_hashes
+from pageloom.session import ensure_checkpoint_dir, work_path
 
 WINDOW = 35
 #: Rounds of pair naming; more rounds make longer symbols, but fewer of them fit into a window whole.
-ROUNDS = 3
+ROUNDS = 4
 #: Words handled at once; longer texts are cut into overlapping parts, which changes no name inside a window.
 PART_WORDS = 200_000
 
@@ -52,7 +53,7 @@ class Symbols:
         first = np.nonzero(fresh)[0]
         length = np.diff(np.append(first, n))
         # a run ends where its neighbours differ, so one more word on each side decides
-        self.low, self.high = at[first] - 1, at[first] + length + 1
+        self.low, self.high, self.words = at[first] - 1, at[first] + length + 1, length
         self.text = self.text[first]
         self.name = np.where(length > 1, combine(self.name[first], length.astype(np.uint64)), self.name[first])
 
@@ -76,8 +77,15 @@ class Symbols:
         name = self.name.copy()
         name[begin] = combine(self.name[begin], self.name[begin + 1])
         high[begin] = self.high[begin + 1]
+        words = self.words.copy()
+        words[begin] += self.words[begin + 1]
         stays = ~ends
-        self.name, self.low, self.high, self.text = name[stays], low[stays], high[stays], self.text[stays]
+        self.name, self.low, self.high, self.text, self.words = name[stays], low[stays], high[stays], self.text[stays], words[stays]
+
+    def order(self) -> np.ndarray:
+        """Longest first, equally long ones by name: long symbols rarely occur twice by chance."""
+        short = np.uint64(63) - np.minimum(self.words, 63).astype(np.uint64)
+        return (short << np.uint64(58)) | (self.name >> np.uint64(6))
 
 
 class Digests:
@@ -109,12 +117,12 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def _argmin_tables(name: np.ndarray, longest: int) -> list[np.ndarray]:
-    tables, width = [np.arange(len(name))], 1
+def _argmin_tables(order: np.ndarray, longest: int) -> list[np.ndarray]:
+    tables, width = [np.arange(len(order))], 1
     while 2 * width <= longest:
         last = tables[-1]
         a, b = last[:-width], last[width:]
-        tables.append(np.where(name[a] <= name[b], a, b))
+        tables.append(np.where(order[a] <= order[b], a, b))
         width *= 2
     return tables
 
@@ -140,13 +148,14 @@ def filed_windows(hashes: np.ndarray, bounds: np.ndarray, window: int, rounds: i
     owned = count > 0
     chosen = np.full(len(start), -1)
     if owned.any():
-        tables = _argmin_tables(symbols.name, int(count.max()))
+        order = symbols.order()
+        tables = _argmin_tables(order, int(count.max()))
         level = np.zeros(len(count), np.int64)
         level[owned] = np.log2(count[owned]).astype(np.int64)
         for k, table in enumerate(tables):
             here = np.nonzero(owned & (level == k))[0]
             a, b = table[low[here]], table[high[here] - (1 << k)]
-            chosen[here] = np.where(symbols.name[a] <= symbols.name[b], a, b)
+            chosen[here] = np.where(order[a] <= order[b], a, b)
     fresh = np.ones(len(start), bool)
     fresh[1:] = (chosen[1:] != chosen[:-1]) | ~owned[1:] | (text[1:] != text[:-1])
     first = np.nonzero(fresh)[0]
@@ -234,6 +243,7 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bool) -> DataFrame:
     spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
     slim = docs.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("_raw"))
     slim = slim.withColumn("_th", F.hash("_raw"))
     anchors_at, shared_at, opened_at = (work_path(spark, name) for name in ("anchors", "shared-anchors", "passages"))
@@ -243,6 +253,7 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bo
     names = anchors.groupBy("name").agg(F.count("*").alias("times"), F.min("context").alias("one"), F.max("context").alias("other"))
     names = names.where("times > 1").select("name", (F.col("one") != F.col("other")).alias("mixed"))
     anchors.join(names, "name").write.option("compression", "zstd").parquet(shared_at)
+    drop_folder(spark, anchors_at)
     shared = spark.read.parquet(shared_at)
 
     # a symbol with one context repeats as it is; of mixed ones each context that occurs twice does, and the windows
@@ -257,16 +268,21 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bo
         judged.where("whole or opened").unionAll(simple).groupBy("doc", "_th").agg(F.collect_list(F.struct("pos", "n", "whole", "opened")).alias("runs"))
     )
     _open(slim, listed, window, digest).write.option("compression", "zstd").parquet(opened_at)
+    drop_folder(spark, shared_at)
     opened = spark.read.parquet(opened_at)
-
-    windows = opened.where("text is not null").select("doc", "_th", F.explode(F.arrays_zip("at", "twice", "a", "b")).alias("w")).select("doc", "_th", "w.*")
-    again = windows.groupBy("a", "b").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n")).where("n > 1").select("a", "b")
-    single = windows.where("not twice").join(again, ["a", "b"], "left_semi").groupBy("doc", "_th").agg(F.collect_set("at").alias("hits"))
-    texts = opened.where("text is not null").select("doc", "_th", "runs", "text")
+    waiting = opened.where("n_removed is null")
+
+    # equal first digests first, which leaves few rows, then both
+    windows = waiting.select("doc", "_th", F.explode(F.arrays_zip("at", "twice", "a", "b")).alias("w")).select("doc", "_th", "w.*")
+    alike = windows.groupBy("a").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("times")).where("times > 1").select("a")
+    likely = windows.join(alike, "a", "left_semi").checkpoint()
+    again = likely.groupBy("a", "b").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("times")).where("times > 1").select("a", "b")
+    single = likely.where("not twice").join(again, ["a", "b"], "left_semi").groupBy("doc", "_th").agg(F.collect_set("at").alias("hits"))
+    texts = waiting.select("doc", "_th", "runs", "text")
     both = texts.join(single.withColumnsRenamed({"doc": "_d", "_th": "_t"}), F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
     done = _close(both.select("doc", "text", "runs", "hits"), window, digest)
-    plain = opened.where("text is null").select("doc", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept")
-    return plain.unionAll(done).withColumnsRenamed({"doc": id_col, "kept": "kept_sha256" if digest else "kept"})
+    finished = opened.where("n_removed is not null").select("doc", "n_words", "n_removed", "kept")
+    return finished.unionAll(done).withColumnsRenamed({"doc": id_col, "kept": "kept_sha256" if digest else "kept"})
 
 
 def _kept(words: list[bytes], digest: bool) -> str:
@@ -274,15 +290,37 @@ def _kept(words: list[bytes], digest: bool) -> str:
     return hashlib.sha256(left).hexdigest() if digest else left.decode("utf-8", "replace")
 
 
+def _finished(raw: bytes, runs: list[tuple[int, int]], window: int, digest: bool) -> tuple[int, int, str]:
+    """Number of words, of removed words, and what is left, for runs of repeated windows ``(first, number)``."""
+    words = raw.split()
+    if not runs:
+        return len(words), 0, _kept(words, digest)
+    gone = _covered(len(words), *np.array(runs, dtype=np.int64).T, window)
+    left = [w for w, g in zip(words, gone.tolist()) if not g]
+    return len(words), len(words) - len(left), _kept(left, digest)
+
+
+def _packed(slim: DataFrame) -> DataFrame:
+    """The texts compressed one by one, as they are about to be shuffled."""
+    def run(found):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in found:
+            at = batch.schema.names.index("_raw")
+            yield batch.set_column(at, "_raw", pa.array([pack(t.as_py()) for t in batch.column(at)], pa.binary()))
+
+    return slim.mapInArrow(run, slim.schema)
+
+
 def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> DataFrame:
-    """Texts without listed runs are finished here; the others keep their text, runs and the windows to compare."""
+    """Texts without windows to compare are finished here; the others wait with their runs and those windows."""
     listed = listed.withColumnsRenamed({"doc": "_d", "_th": "_t"})
-    joined = slim.join(listed, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("doc", "_th", "_raw", "runs")
+    joined = _packed(slim).join(listed, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("doc", "_th", "_raw", "runs")
     run_type = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("number", T.IntegerType())]))
     schema = T.StructType(
-        [slim.schema["doc"], T.StructField("_th", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("kept", T.StringType())]
-        + [T.StructField("text", T.BinaryType()), T.StructField("runs", run_type), T.StructField("at", T.ArrayType(T.IntegerType()))]
-        + [T.StructField("twice", T.ArrayType(T.BooleanType())), T.StructField("a", T.ArrayType(T.LongType())), T.StructField("b", T.ArrayType(T.LongType()))]
+        [slim.schema["doc"], T.StructField("_th", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+        + [T.StructField("kept", T.StringType()), T.StructField("text", T.BinaryType()), T.StructField("runs", run_type)]
+        + [T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("twice", T.ArrayType(T.BooleanType()))]
+        + [T.StructField(lane, T.ArrayType(T.LongType())) for lane in ("a", "b")]
     )
 
     def opened(raw: bytes, runs: list[dict]) -> tuple:
@@ -302,20 +340,22 @@ def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> Data
         return whole, start.astype(np.int32), twice, a, b
 
     def run(found):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in found:
             out = pa.schema(
-                [batch.schema.field("doc"), pa.field("_th", pa.int32()), pa.field("n_words", pa.int64()), pa.field("kept", pa.string())]
-                + [pa.field("text", pa.binary()), pa.field("runs", pa.list_(pa.struct([("pos", pa.int32()), ("number", pa.int32())])))]
-                + [pa.field("at", pa.list_(pa.int32())), pa.field("twice", pa.list_(pa.bool_())), pa.field("a", pa.list_(pa.int64())), pa.field("b", pa.list_(pa.int64()))]
+                [batch.schema.field("doc"), pa.field("_th", pa.int32()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64())]
+                + [pa.field("kept", pa.string()), pa.field("text", pa.binary()), pa.field("runs", pa.list_(pa.struct([("pos", pa.int32()), ("number", pa.int32())])))]
+                + [pa.field("at", pa.list_(pa.int32())), pa.field("twice", pa.list_(pa.bool_()))]
+                + [pa.field(lane, pa.list_(pa.int64())) for lane in ("a", "b")]
             )
 
             def records(batch=batch):
-                for doc, th, raw, runs in rows(batch, "doc", "_th", "_raw", "runs"):
-                    if runs:
-                        yield doc, th, None, None, raw, *opened(raw, runs)
+                for doc, th, packed, runs in rows(batch, "doc", "_th", "_raw", "runs"):
+                    raw = unpack(packed)
+                    if any(r["opened"] for r in runs or ()):
+                        yield doc, th, None, None, None, packed, *opened(raw, runs)
                     else:
-                        words = raw.split()
-                        yield doc, th, len(words), _kept(words, digest), None, None, None, None, None, None
+                        yield doc, th, *_finished(raw, [(r["pos"], r["n"]) for r in runs or ()], window, digest), None, None, None, None, None, None
 
             yield from batches(records(), out)
 
@@ -328,17 +368,14 @@ def _close(both: DataFrame, window: int, digest: bool) -> DataFrame:
     )
 
     def run(found):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in found:
             out = pa.schema([batch.schema.field("doc"), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("kept", pa.string())])
 
             def records(batch=batch):
-                for doc, raw, runs, hits in rows(batch, "doc", "text", "runs", "hits"):
-                    words = raw.split()
-                    starts = np.array([r["pos"] for r in runs] + (hits or []), dtype=np.int64)
-                    numbers = np.array([r["number"] for r in runs] + [1] * len(hits or []), dtype=np.int64)
-                    gone = _covered(len(words), starts, numbers, window)
-                    left = [w for w, g in zip(words, gone.tolist()) if not g]
-                    yield doc, len(words), len(words) - len(left), _kept(left, digest)
+                for doc, packed, runs, hits in rows(batch, "doc", "text", "runs", "hits"):
+                    found = [(r["pos"], r["number"]) for r in runs] + [(at, 1) for at in hits or ()]
+                    yield doc, *_finished(unpack(packed), found, window, digest)
 
             yield from batches(records(), out)
 

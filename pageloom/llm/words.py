@@ -10,7 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -47,6 +47,12 @@ def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate rows from shared storage, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_bytes(name: str) -> Column:
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
