@@ -67,7 +67,8 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
     are 0.
     """
     ids = trusted.select(F.col(id_col).alias("_id")).where("_id is not null").distinct().withColumn("_trusted", F.lit(True))
-    marked = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text")).join(ids, F.col("_key") == F.col("_id"), "left")
+    # trusted ids grow with the corpus: both sides are sorted at every size, never broadcast
+    marked = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text")).join(ids.hint("merge"), F.col("_key") == F.col("_id"), "left")
     worded = with_words(marked.select("_text", F.coalesce("_trusted", F.lit(False)).alias("_trusted")), ["_trusted"], F.col("_text"))
     counted = worded.select("_trusted", F.explode(_buckets()).alias("bucket")).groupBy("bucket").agg(
         F.count("*").alias("raw"), F.count_if("_trusted").alias("target")
