@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, quality, sharding, substring_dedup, url_filter
+from pageloom.llm import byte_bpe, dac, decontaminate, jaccard_join, pii_crf, quality, sharding, substring_dedup, toxicity, url_filter
 from pageloom.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and log-likelihood ratio of all documents against those labelled as good."""
     docs, trusted = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1")
     return quality.assess(docs, quality.fit(docs, trusted))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents: doc_id, held_out, score, predicted."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    network = toxicity.fit(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    return toxicity.score(docs, network).withColumn("held_out", toxicity.held_out(F.col("doc_id"))).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: counts and digest of the base spans, and all spans."""
+    return pii_crf.find_spans(table(spark, sf_dir, "documents"))
