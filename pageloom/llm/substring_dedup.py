@@ -251,7 +251,8 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bo
     anchors = spark.read.parquet(anchors_at)
 
     names = anchors.groupBy("name").agg(F.count("*").alias("times"), F.min("context").alias("one"), F.max("context").alias("other"))
-    names = names.where("times > 1").select("name", (F.col("one") != F.col("other")).alias("mixed"))
+    # checkpointed, so that the join has plain exchanges on both sides and Spark can split a frequent symbol's rows
+    names = names.where("times > 1").select("name", (F.col("one") != F.col("other")).alias("mixed")).checkpoint()
     anchors.join(names, "name").write.option("compression", "zstd").parquet(shared_at)
     drop_folder(spark, anchors_at)
     shared = spark.read.parquet(shared_at)
