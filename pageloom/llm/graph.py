@@ -16,7 +16,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     checkpointed in the shared folder. Self loops keep single nodes in the result; nulls are left out.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    pairs = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo is not null and hi is not null")
+    whole = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    pairs = whole.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi"))
     pairs = pairs.distinct().checkpoint()
     before = None
     while True:
