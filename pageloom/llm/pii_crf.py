@@ -84,6 +84,12 @@ mobile [phone 0171 555 01 88] please
 my number is [phone (017) 555-7713].
 reach us under [phone +49 30 555 01 23] today
 dial [phone 1-800-555-0100] for help
+a [phone 415-555-0100] b
+de [phone 646-555-0177] la
+be [phone (702) 555-0165] ed
+fed [phone 305-555-0119] a
+add [ip 198.51.100.4] de
+a 12 b 34 cd 56
 the office ([phone (800) 555-0155]) is open
 [phone (427) 555-5262]
 [phone +1 (427) 555-5262]

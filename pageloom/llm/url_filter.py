@@ -29,6 +29,7 @@ BLOCKED = (
     "xxx-videos.example.com/en/6", "adult-cams.example.net/fr/1", "hot-singles.example.com/en/41", "xxx-free.example.org/es/3",
     "cheap-loans.example.com/apply", "fast-loan.example.net/en/2", "crypto-profit.example.com/invest", "replica-watches.example.net/shop",
     "casino-win.example.net/en/31", "bets-online.example.com/en/8", "free-bets.example.net/de/60", "adult-x.example.org/en/2",
+    "m.online-casino.example.com/en/3.html", "m.cheap-meds.example.net/fr/81", "m.win-bets.example.net/en/40", "blog.casino-club.example.com/en/5",
     "ads-track.example.net/en/77", "ad-tracker.example.com/pixel", "track-clicks.example.com/en/4", "adult-video.example.com/es/9",
     "cheap-watches.example.com/en/14", "seo-links.example.net/buy-backlinks", "link-farm.example.com/en/20", "buy-followers.example.org/en/7",
 )
