@@ -14,6 +14,8 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +34,11 @@ RANK_BLOCK = 512
 SEGMENT_IDS = 1 << 20
 SEGMENT_DOCS = 20_000
 #: Words a worker remembers with their ids, per generation; about 200 bytes each, two generations at most.
-REMEMBERED = 600_000
-#: Bytes of the longest word remembered.
-SHORT = 64
+REMEMBERED = 800_000
 #: Text handled at once, so that the tokenizer is called for many new words together.
-GROUP_BYTES = 1 << 20
-#: Put between words that are encoded in one call.
-SEPARATOR = "\0"
+GROUP_BYTES = 2 << 20
+#: Marks that may follow a word; no apostrophe, which the tokenizer treats apart.
+MARKS = b".,!?;:*$%&#|()\""
 
 _COUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
@@ -129,38 +129,72 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
-        mark = self._ids(SEPARATOR)
-        self.mark = mark[0] if len(mark) == 1 else None
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word; many words share one call, told apart by the id of a separator that none of them holds."""
+        """Ids of each word; words of letters only share one call, as each of them ends at an id that ends words."""
         texts = [w.decode("utf-8", "replace") for w in words]
-        if self.mark is None or any(SEPARATOR in t for t in texts):
-            return [np.array(self._ids(t), "<u4").tobytes() for t in texts]
-        ids = np.array(self._ids(f" {SEPARATOR} ".join(texts)), "<u4")
-        cuts = np.nonzero(ids == self.mark)[0]
-        if len(cuts) != len(words) - 1:
-            return [np.array(self._ids(t), "<u4").tobytes() for t in texts]
-        raw = ids.tobytes()
-        starts = [0] + (4 * (cuts + 1)).tolist()
-        return [raw[a:b] for a, b in zip(starts, (4 * cuts).tolist() + [len(raw)])]
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        out: list[bytes | None] = [None] * len(words)
+        ids = np.array(self._ids(" ".join([texts[i] for i in plain])), "<u4") if plain else np.zeros(0, "<u4")
+        ends = np.nonzero(self.last[ids])[0] + 1
+        if len(ends) == len(plain):
+            raw, ends = ids.tobytes(), (4 * ends).tolist()
+            for i, a, b in zip(plain, [0, *ends], ends):
+                out[i] = raw[a:b]
+        for i, found in enumerate(out):
+            if found is None:
+                out[i] = np.array(self._ids(texts[i]), "<u4").tobytes()
+        return out
+
+    def _fill(self, gaps: dict[bytes, bytes | None]) -> None:
+        """Ids of the words that have none yet, put together from a core and the marks after it where that is exact.
+
+        The tokenizer lower-cases and never joins marks with a letter or digit before them, so ``Word`` and ``word,``
+        need no call of their own once ``word`` is known.
+        """
+        known, older, cut, new = self.known, self.older, [], {}
+        for w, ids in gaps.items():
+            if ids is None:
+                core = w.rstrip(MARKS)
+                if core[-1:].isalnum() and b"<|" not in w:
+                    marks = w[len(core) :]
+                    core = core.lower()
+                else:
+                    core, marks = w, b""
+                cut.append((w, core, marks))
+                for part in (core, marks) if marks else (core,):
+                    if part not in known and part not in new:
+                        new[part] = older.get(part)
+        unknown = [p for p, ids in new.items() if ids is None]
+        for at in range(0, len(unknown), 5_000):
+            new.update(zip(unknown[at : at + 5_000], self.encode(unknown[at : at + 5_000])))
+        known.update(new)
+        for w, core, marks in cut:
+            gaps[w] = known[core] + known[marks] if marks else known[core]
 
     def documents(self, texts: list[bytes]) -> list[bytes]:
         """Ids of whole texts; all their unknown words go to the tokenizer together."""
         words = [raw.split() for raw in texts]
         found = [list(map(self.known.get, w)) for w in words]
-        gaps = {w: self.older.get(w) for ws, fs in zip(words, found) if None in fs for w, ids in zip(ws, fs) if ids is None}
+        holes = [list(compress(range(len(f)), map(is_, f, repeat(None)))) for f in found]
+        gaps = {w[i]: None for w, h in zip(words, holes) for i in h}
         if gaps:
-            new = [w for w, ids in gaps.items() if ids is None]
-            for at in range(0, len(new), 5_000):
-                gaps.update(zip(new[at : at + 5_000], self.encode(new[at : at + 5_000])))
-            found = [[gaps[w] if ids is None else ids for w, ids in zip(ws, fs)] if None in fs else fs for ws, fs in zip(words, found)]
+            gaps = {w: self.older.get(w) for w in gaps}
+            self._fill(gaps)
+            for w, f, h in zip(words, found, holes):
+                for i in h:
+                    f[i] = gaps[w[i]]
+            self.known.update(gaps)
             if len(self.known) >= REMEMBERED:
                 self.known, self.older = {}, self.known
-            self.known.update((w, ids) for w, ids in gaps.items() if len(w) <= SHORT)
         return [b"".join(f) for f in found]
 
 
