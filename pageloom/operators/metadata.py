@@ -17,8 +17,8 @@ from pageloom.operators.markup import ANY_TAG, sql_attr, sql_strip_noise
 HEAD = r"(?is)<head(?:\s[^>]*)?>(.*?)(?:</head\s*>|<body|\z)"
 HEAD_TAG = r"(?is)<(?:meta|link)\s[^>]*>"
 TITLE_TAG = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-# Greedy on the last separator.
-TITLE_SPLIT = r"(?s)^(.*)\s+[-|]\s+(.+)$"
+# The parts before and after the last hyphen or bar that stands between blanks.
+TITLE_SPLIT = r"(?s)^(.*\S)?\s+[|-]\s+(\S.*)$"
 HTML_LANG = r"(?is)<html[^>]*\slang\s*=\s*.?([A-Za-z]{2})"
 
 # Meta names per field.
@@ -39,28 +39,32 @@ META_FIELDS = {
     ).split(),
     "site": "twitter:site application-name".split(),
 }
-# Licence codes in a path or a text.
-LICENSE_PATH = r"/(by-nc-nd|by-nc-sa|by-nc|by-nd|by-sa|by|zero)/([1-9]\.[0-9])"
-LICENSE_TEXT = r"(?i)((?:cc|creative commons) (?:by-nc-nd|by-nc-sa|by-nc|by-nd|by-sa|by|zero) ?(?:[1-9]\.[0-9])?)"
+# Licence codes.
+LICENSE_CODES = "by-nc-nd by-nc-sa by-nc by-nd by-sa by zero".split()
+LICENSE_PATH = "/(" + "|".join(LICENSE_CODES) + r")/([0-9]+\.[0-9]+)"
+LICENSE_TEXT = r"(?i)\b((?:cc|creative commons) (?:" + "|".join(LICENSE_CODES) + r")\b(?: [0-9]+\.[0-9]+)?)"
 URL_DATE = r"/((?:19|20)[0-9]{2})[/-](0?[1-9]|1[0-2])[/-](0?[1-9]|[12][0-9]|3[01])(?:/|$|[^0-9])"
 ISO_DATE = r"^\s*((?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})"
 DURATION = r"^P(?:T)?(?:([0-9]+)H)?(?:([0-9]+)M)?(?:([0-9]+)S)?$"
 
-# Patterns of the author clean-up, in order of use.
-AUTHOR_SPLIT = r"(?i)/|;|,|\||&|(?:^|[^\p{L}\p{N}_])(?:u|a)nd(?:$|[^\p{L}\p{N}_])"
-AUTHOR_SKIP = r"(?i)^http|^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-AUTHOR_STEPS = (
-    (r"[\x{2190}-\x{2bff}\x{3030}\x{fe0f}\x{200d}\x{10000}-\x{10ffff}]+", ""),
-    (r"@[\p{L}\p{N}_]+", ""),
-    (r"[._+]", " "),
-    (r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""),
-    (r"[\x22‘(\[{’'][^\x22]+?[‘’\x22')\]}]".replace("'", r"\x27"), ""),
-    (r"[^\p{L}\p{N}_]+$|[:()?*$#!%/<>{}~]", ""),
-    (r"(?i)^(?:[a-zäöüß]+(?:ed|t))? ?(?:written by|words by|by|von) ", ""),
-    (r"[0-9].*$", ""),
-    (r"(?i)[\s]+(?:am|on|for|at|in|to|from|of|via|with|—|-)[\s]+.*$", ""),
-    (r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""),
-)
+# How author lines are taken apart: marks and words between names, and what is cut from each name, in this order.
+AUTHOR_SPLIT = r"(?i)[/;,|&]|(?:^|\s)(?:and|und)(?:\s|$)"
+AUTHOR_SKIP = r"(?i)^\s*https?:|^\S+@\S+\.\S+"
+PREPOSITIONS = "am at bei for from in of on to via with".split()
+BY_WORDS = ("written by", "words by", "story by", "photo by", "by", "von", "par", "por")
+AUTHOR_CUTS = {
+    "handle": r"@\w+",
+    "pictographs": r"[\p{So}\p{Sk}\x{200d}\x{fe0f}]+",
+    "nickname": r"\([^)]*\)|\[[^\]]*\]|\{[^}]*\}|\x22[^\x22]*\x22|“[^”]*”|‘[^’]*’|\x27[^\x27]*\x27(?:\s|$)",
+    "marks": r"[:?!*$#%<>~(){}]+",
+    "by": r"(?i)^\s*(?:" + "|".join(BY_WORDS) + r")\s+",
+    "from a digit on": r"(?s)[0-9].*$",
+    "from a preposition on": r"(?is)\s(?:" + "|".join(PREPOSITIONS) + r")\s.*$",
+    "marks at the end": r"[^\p{L}\p{N}]+$",
+    "blanks at the start": r"^[\s\p{Z}]+",
+}
+AUTHOR_STEPS = (("[._+]", " "), *((pattern, "") for pattern in AUTHOR_CUTS.values()))
+QUOTES = r"[\x22\x27]"
 
 
 def with_head(pages: DataFrame) -> DataFrame:
@@ -126,11 +130,9 @@ def sql_normalize_authors(candidates: str, start: str = "cast(array() as array<s
         clean = f"regexp_replace({clean}, {rx(pattern)}, '{new}')"
     names = f"filter(transform({split}, a -> {clean}), a -> a <> '' and (instr(a, ' ') > 0 or instr(a, '-') > 0 or length(a) < 50))"
     cased = f"transform({names}, a -> case when a rlike '^[^A-ZÄÖÜÉÈÁÍÓÚÑÇ]' then array_join(transform(split(a, '-'), p -> initcap(p)), '-') else a end)"
-    fold = (
-        f"aggregate({cased}, {start}, (acc, a) -> case when exists(acc, b -> instr(a, b) > 0) "
-        "then acc else concat(acc, array(a)) end)"
-    )
-    return f"nullif(array_join({fold}, '; '), '')"
+    # a name that holds an earlier one is left out
+    new = "filter(all, (a, i) -> not exists(slice(all, 1, i), b -> instr(a, b) > 0))"
+    return f"nullif(array_join(transform(array(concat({start}, {cased})), all -> {new})[0], '; '), '')"
 
 
 def normalize_authors(df: DataFrame, column: str, name: str = "authors") -> DataFrame:
@@ -138,7 +140,7 @@ def normalize_authors(df: DataFrame, column: str, name: str = "authors") -> Data
 
 
 def sql_tags(c: str) -> str:
-    plain = f"regexp_replace({sql_trim_ws(sql_unescape(c))}, {rx(chr(91) + chr(92) + 'x22' + chr(92) + 'x27' + chr(93))}, '')"
+    plain = f"regexp_replace({sql_trim_ws(sql_unescape(c))}, {rx(QUOTES)}, '')"
     return f"array_join(filter(split({plain}, ', '), t -> t <> ''), ', ')"
 
 
@@ -232,7 +234,8 @@ def sql_simple_description() -> str:
 
 def lead_image(df: DataFrame) -> DataFrame:
     """Add ``image``: Open Graph, Twitter, itemprop, icon, any image; over 1000 characters is null."""
-    img = f"nullif({sql_attr(f'regexp_extract({sql_strip_noise(chr(104) + chr(116) + chr(109) + chr(108))}, {rx(IMG_WITH_SRC)}, 0)', 'src')}, '')"
+    first_img = f"regexp_extract({sql_strip_noise('html')}, {rx(IMG_WITH_SRC)}, 0)"
+    img = f"nullif({sql_attr(first_img, 'src')}, '')"
     found = sql_first_of(
         sql_pick("m.prop = 'og:image'"),
         sql_pick("m.name = 'twitter:image'"),

@@ -50,8 +50,8 @@ RULES: dict[str, Rule] = {
     "region4": Rule(SECTION_TAGS, r"(^|[\s_-])(content|main)([\s_-]|$)", first_only=True),
     "region5": Rule(("main",), raw=r"(?i)\srole\s*=\s*.?main", first_only=True),
     "unlikely": Rule(
-        names=r"banner|breadcrumb|combx|comment|cookie|disqus|extra|foot|header|menu|pager|popup|remark|rss|share|shoutbox|sidebar|sponsor|teaser|tweet",
-        names_unless=r"article|body|column|content|main|shadow|post",
+        names="|".join("advert aside breadcrumb comment cookie footer login menu navbar newsletter pagination popup related share sidebar subscribe toolbar widget".split()),
+        names_unless="|".join("article content main post prose story".split()),
     ),
     "byline_noise": Rule(names=r"comment|related|sidebar|widget"),
     "footer_named": Rule(names=r"footer"),
@@ -194,7 +194,9 @@ def link_table_filter(df: DataFrame, flag: str | None = None) -> DataFrame:
 
 
 # Lines that only name a sharing service or a page tool.
-SHARE_LINE = r"(?i)^[^\p{L}\p{N}]*(e-?mail|print|pdf|facebook|twitter|linkedin|whatsapp|instagram|pinterest|reddit|more on this|share)[^\p{L}\p{N}]*$"
+SERVICES = "bluesky facebook instagram linkedin mastodon pinterest reddit telegram threads tiktok twitter whatsapp xing youtube".split()
+TOOLS = "copy link|download pdf|e-mail|email|pdf|print|save|send|share".split("|")
+SHARE_LINE = r"(?i)^\W*((share|post|send|follow us|like) )?((on|via|by) )?(" + "|".join(SERVICES + TOOLS) + r")( (this|page|article))?\W*$"
 HAS_WORD = r"[\p{L}\p{N}_]"
 
 

@@ -82,11 +82,8 @@ def d_normalize_authors(candidates: str, start: str = "[]::varchar[]") -> str:
         f"list_transform({names}, lambda a: case when regexp_matches(a, '^[^A-ZÄÖÜÉÈÁÍÓÚÑÇ]') then "
         f"array_to_string(list_transform(string_split(a, '-'), lambda p: {words}), '-') else a end)"
     )
-    fold = (
-        f"list_reduce(list_concat([{start}], list_transform({cased}, lambda a: [a])), lambda acc, a: "
-        "case when len(list_filter(acc, lambda b: contains(a[1], b))) > 0 then acc else list_concat(acc, a) end)"
-    )
-    return f"nullif(array_to_string({fold}, '; '), '')"
+    new = "list_filter(n.all, lambda a, i: len(list_filter(n.all[1:i - 1], lambda b: contains(a, b))) = 0)"
+    return f"(SELECT nullif(array_to_string({new}, '; '), '') FROM (SELECT list_concat({start}, {cased}) AS all) n)"
 
 
 def d_tags(c: str) -> str:
@@ -199,11 +196,11 @@ def q_jsonld_fields(spark, sf_dir):
 
 
 def d_value(key: str) -> str:
-    return f"nullif(regexp_extract(js, '\"{key}\"\\s*:\\s*\"([^\\x22\\\\]+)', 1), '')"
+    return f"nullif(regexp_extract(js, '{jsonld.text_member(key)}', 1), '')"
 
 
 def d_inside(key: str) -> str:
-    return f"nullif(regexp_extract(js, '\"{key}\"\\s*:[^}}\\[]*\\x22name\\x22\\s*:\\s*\\x22([^\\x22\\\\]+)', 1), '')"
+    return f"nullif(regexp_extract(js, '{jsonld.named_member(key)}', 1), '')"
 
 
 @query(
