@@ -30,7 +30,8 @@ def dedup_segments(df: DataFrame, order: list[str], text: str, max_repeats: int,
     cuts its own rows to that many per text, which no other task can overrule, and the
     second cut sees at most that many rows per text and task.
     """
-    long_enough = F.length(text) >= min_len
+    # a null text is short
+    long_enough = F.coalesce(F.length(text) >= min_len, F.lit(False))
     rank = [F.col(c) for c in order]
     digest = F.md5(F.col(text))
     keyed = df.where(long_enough).withColumn("_digest", digest)

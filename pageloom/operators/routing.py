@@ -140,8 +140,11 @@ def with_transcript(df: DataFrame, transcripts: DataFrame) -> DataFrame:
     good = transcripts.where(F.col("status").between(200, 299)).select(
         F.col("video_id").alias("_vid"), "transcript"
     )
-    joined = df.withColumn("_vid", video_id(F.col("url"))).join(good, "_vid", "left")
-    return joined.withColumn("text", F.coalesce("transcript", "text")).drop("_vid", "transcript")
+    keyed = df.withColumn("_vid", video_id(F.col("url")))
+    # rows that are no video share no key, so they stay out of the join
+    joined = keyed.where("_vid is not null").join(good, "_vid", "left")
+    filled = joined.withColumn("text", F.coalesce("transcript", "text")).select(df.columns)
+    return filled.unionByName(keyed.where("_vid is null").select(df.columns))
 
 
 def require_text(df: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def q_lda_topics(spark, sf_dir):
 
 @query("nmf_topics", "H4")
 def q_nmf_topics(spark, sf_dir):
-    return topics.nmf_topics(docs(spark, sf_dir), k=10, iterations=3)
+    return topics.nmf_topics(docs(spark, sf_dir))
 
 
 @query("embedding_topics", "H5")
@@ -180,7 +180,7 @@ def q_stream_visits(spark, sf_dir):
     return spark.read.parquet(out).select("date", "quality", "url", F.col("error").isNull().cast("int").alias("good"))
 
 
-@query("stream_batches", "I2", f"SELECT cast(sum(good) as bigint) AS good, count(*) AS n FROM ({STREAM_SQL})")
+@query("stream_batches", "I2", STREAM_SQL)
 def q_stream_batches(spark, sf_dir):
     out = work_path(spark, "stream-out")
 
@@ -189,8 +189,7 @@ def q_stream_batches(spark, sf_dir):
 
     visits = st.stream_visits(spark, visit_folder(spark, sf_dir), files_per_batch=2)
     st.run_available(visits, keep, work_path(spark, "stream-cp"))
-    rows = spark.read.parquet(out)
-    return rows.agg(F.count_if(F.col("error").isNull()).alias("good"), F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(out).select("date", "quality", "url", F.col("error").isNull().cast("int").alias("good"))
 
 
 @query("stream_unseen", "I3", "SELECT DISTINCT md5(url) AS digest, url FROM visits WHERE not (page_id % 7 = 3 or page_id % 9 = 4)")

@@ -72,9 +72,7 @@ ARCHIVE_COLS = [
 def q_read_archive_json(spark, sf_dir):
     path = work_path(spark, "archive-json")
     ar.write_archive(archive_rows(spark, sf_dir), path, as_json=True)
-    return spark.read.schema(ar.ARCHIVE_SCHEMA).json(path).withColumn(
-        "content", F.col("content").withField("response_content", F.unbase64("content.response_content"))
-    ).selectExpr(*ARCHIVE_COLS)
+    return ar.read_archive(spark, path).selectExpr(*ARCHIVE_COLS)
 
 
 @query("archive_roundtrip", "A12", ARCHIVE_SQL)
@@ -84,12 +82,22 @@ def q_archive_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).selectExpr(*ARCHIVE_COLS)
 
 
-@query("decode_body", "A3", "SELECT page_id, html AS text FROM pages")
+# Every fifth page has a windows-1252 euro sign, every seventh a byte that its charset does not have.
+@query(
+    "decode_body",
+    "A3",
+    "SELECT page_id, case when page_id % 5 = 0 then '€' || page_id when page_id % 7 = 0 then 'a' || chr(65533) || 'b' || page_id else html end AS text FROM pages",
+)
 def q_decode_body(spark, sf_dir):
     p = load(spark, sf_dir, "pages")
-    charset = F.expr("case page_id % 4 when 0 then 'UTF-16LE' when 1 then 'utf-8' when 2 then 'utf-32' end")
+    charset = F.expr(
+        "case when page_id % 5 = 0 then 'windows-1252' when page_id % 7 = 0 then if(page_id % 2 = 0, 'us-ascii', 'utf-8') "
+        "else case page_id % 4 when 0 then 'UTF-16LE' when 1 then 'utf-8' when 2 then 'utf-32' end end"
+    )
     body = F.expr(
-        "case page_id % 4 when 0 then encode(html, 'UTF-16LE') when 2 then encode(html, 'utf-32') else encode(html, 'utf-8') end"
+        "case when page_id % 5 = 0 then unhex(concat('80', hex(cast(page_id as string)))) "
+        "when page_id % 7 = 0 then unhex(concat('61FF62', hex(cast(page_id as string)))) "
+        "else case page_id % 4 when 0 then encode(html, 'UTF-16LE') when 2 then encode(html, 'utf-32') else encode(html, 'utf-8') end end"
     )
     return p.select("page_id", ar.decode_body(body, charset).alias("text"))
 
@@ -112,12 +120,17 @@ cte("processed_docs", PROCESSED_SQL)
 
 @query("read_processed", "A4", "SELECT url, visit_date, text, title FROM processed_docs")
 def q_read_processed(spark, sf_dir):
-    path = work_path(spark, "processed-json")
+    lines_at, indented_at = work_path(spark, "processed-lines"), work_path(spark, "processed-indented")
     docs = processed_pages(spark, sf_dir).drop("digest")
-    lines = docs.select(F.to_json(F.struct("*")).alias("value"))
+    indented = F.substring("visit_date", -1, 1).isin("0", "1", "2")
+    lines = docs.where(~indented).select(F.to_json(F.struct("*")).alias("value"))
     broken = docs.select(F.concat(F.lit('{"url": '), F.col("visit_date")).alias("value"))
-    lines.unionByName(broken).write.text(path)
-    return ar.read_processed(spark, path).select("url", "visit_date", "text", "title")
+    lines.unionByName(broken).write.text(lines_at)
+    # one array of indented documents for each kind and title
+    groups = docs.where(indented).groupBy("visit_kind", "title").agg(F.collect_list(F.struct(*docs.columns)).alias("all"))
+    groups.select(F.to_json("all", {"pretty": "true"}).alias("value")).repartition(F.col("value")).write.option("maxRecordsPerFile", 1).text(indented_at)
+    both = ar.read_processed(spark, lines_at).unionByName(ar.read_processed(spark, indented_at, multi_line=True))
+    return both.select("url", "visit_date", "text", "title")
 
 
 @query(
@@ -128,10 +141,12 @@ def q_read_processed(spark, sf_dir):
 def q_upsert_processed(spark, sf_dir):
     path = work_path(spark, "store")
     docs = processed_pages(spark, sf_dir)
-    first = F.substring("digest", 1, 1) < "8"
-    ar.upsert_processed(spark, docs.where(first), path)
+    # first only folders that look like numbers, then all, and half of them again after a compaction
+    ar.upsert_processed(spark, docs.where(F.substring("digest", 1, 2).rlike("^[0-9]+$")), path)
     ar.upsert_processed(spark, docs, path)
-    return spark.read.parquet(path).select("digest", "url", "visit_date", "text")
+    ar.compact_store(spark, path, docs.schema)
+    ar.upsert_processed(spark, docs.where(F.substring("digest", 1, 1) < "8"), path)
+    return ar.read_store(spark, path, docs.schema).select("digest", "url", "visit_date", "text")
 
 
 @query("delete_processed", "A6", "SELECT digest, visit_date FROM processed_docs WHERE digest not in (SELECT digest FROM processed_docs WHERE title = 'de')")
@@ -165,23 +180,23 @@ def q_json_documents(spark, sf_dir):
     )
 
 
-@query("xml_documents", "A9", "SELECT page_id, url, md5(url) AS digest FROM pages")
+@query("xml_documents", "A9", "SELECT page_id, url, nullif('t' || (page_id % 3), 't0') AS text FROM pages")
 def q_xml_documents(spark, sf_dir):
     path = work_path(spark, "xml")
     pages = load(spark, sf_dir, "pages")
-    ar.write_xml(pages.select("page_id", "url", tx.strip_tags(F.col("html")).alias("text"), F.lit("").alias("comments")), path)
+    text = F.expr("case page_id % 3 when 0 then '' else concat('t', cast(page_id % 3 as string)) end")
+    ar.write_xml(pages.select("page_id", "url", text.alias("text"), F.lit("").alias("comments")), path)
     back = spark.read.format("xml").option("rowTag", "doc").schema("_page_id bigint, _url string, text string").load(path)
-    return back.select(F.col("_page_id").alias("page_id"), F.col("_url").alias("url"), F.md5("_url").alias("digest"))
+    return back.select(F.col("_page_id").alias("page_id"), F.col("_url").alias("url"), "text")
 
 
-@query("gzip_texts", "A11", "SELECT count(*) AS lines, sum(length(body)) AS chars FROM (SELECT unnest(string_split(body, chr(10))) AS body FROM sitemaps)")
+@query("gzip_texts", "A11", "SELECT unnest(string_split(body, chr(10))) AS line FROM sitemaps")
 def q_gzip_texts(spark, sf_dir):
     path = work_path(spark, "texts")
     bodies = load(spark, sf_dir, "sitemaps").select("body")
     bodies.write.option("compression", "gzip").text(path)
     rows = ar.read_texts(spark, path)
-    lines = rows.select(F.explode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line"))
-    return lines.agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
+    return rows.select(F.explode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("line"))
 
 
 def parsed(spark, sf_dir):

@@ -12,7 +12,8 @@ from pageloom.plans.tables import load
 from pageloom.plans.url_queries import d_base, d_clean, d_domain, d_host, d_lang, d_path, d_resolve, d_valid
 
 L = links
-D_KIND = f"case when regexp_matches(trim(body), '{L.FEED_START}') or contains(substr(trim(body), 1, 100), '<rss') or contains(substr(trim(body), 1, 100), '<feed') then 'xml' when starts_with(trim(body), '{{') then 'json' else 'none' end"
+D_BARE = "ltrim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+D_KIND = f"case when regexp_matches({D_BARE}, '{L.FEED_START}') or contains(substr({D_BARE}, 1, 100), '<rss') or contains(substr({D_BARE}, 1, 100), '<feed') then 'xml' when starts_with({D_BARE}, '{{') then 'json' else 'none' end"
 
 
 def feed_link_cte(prefix: str, source: str) -> None:
@@ -44,9 +45,11 @@ def feeds(spark, sf_dir):
     return load(spark, sf_dir, "feeds")
 
 
-@query("feed_kind", "G1", f"SELECT page_id, {D_KIND} AS kind FROM feeds")
+# Every fourth body starts with line breaks.
+@query("feed_kind", "G1", f"SELECT page_id, {D_KIND} AS kind FROM (SELECT page_id, case when page_id % 4 = 0 then chr(10) || chr(9) || body else body end AS body FROM feeds)")
 def q_feed_kind(spark, sf_dir):
-    return feeds(spark, sf_dir).selectExpr("page_id", f"{L.feed_kind()} AS kind")
+    shifted = feeds(spark, sf_dir).selectExpr("page_id", "case when page_id % 4 = 0 then concat('\n\t', body) else body end AS body")
+    return shifted.selectExpr("page_id", f"{L.feed_kind()} AS kind")
 
 
 @query("feed_links", "G2", "SELECT url, kind, link FROM feed_raw")

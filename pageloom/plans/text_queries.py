@@ -101,7 +101,7 @@ def q_dedup_documents(spark, sf_dir):
 
 cte(
     "doc_segments",
-    f"""SELECT doc_id, pos, {d_trim_ws('seg')} AS text FROM (
+    f"""SELECT doc_id, pos, case when pos % 11 = 7 then null else {d_trim_ws('seg')} end AS text FROM (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS seg, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)""",
 )
 
@@ -111,12 +111,12 @@ cte(
     "F7",
     """SELECT doc_id, cast(pos as bigint) AS pos, text FROM (
   SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id, pos) AS rn FROM doc_segments)
-WHERE length(text) < 10 OR rn <= 2""",
+WHERE text is null OR length(text) < 10 OR rn <= 2""",
 )
 def q_dedup_segments(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     segs = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "seg"))
-    segs = segs.select("doc_id", F.col("pos").cast("bigint").alias("pos"), text.trim_ws(F.col("seg")).alias("text"))
+    segs = segs.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.when(F.col("pos") % 11 != 7, text.trim_ws(F.col("seg"))).alias("text"))
     return dedup.dedup_segments(segs, ["doc_id", "pos"], "text", max_repeats=2, min_len=10)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pageloom.session import work_path
 
@@ -17,14 +19,18 @@ PAGE_SCHEMA = """
 url string, visit_date string, visit_kind string, text string, title string, duration int, author string, date string, image string,
 tags array<string>, neighbors array<string>, categories array<string>, comments array<string>, _corrupt string
 """
-# Charsets the decoder knows; others are read as UTF-8.
-CHARSETS = ("us-ascii", "iso-8859-1", "utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32", "windows-1252")
-DECODED = ("us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le", "utf-32")
+# Python names of declared charsets; any other name is looked up as it is, unknown ones count as UTF-8.
+# Without a byte order mark UTF-16 and UTF-32 are big-endian.
+CHARSETS = {"utf-16": "utf-16-be", "utf-32": "utf-32-be"}
+MARKS = {"utf-16": (b"\xff\xfe", b"\xfe\xff"), "utf-32": (b"\xff\xfe\x00\x00", b"\x00\x00\xfe\xff")}
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """JSON archive documents, one per file or line group; the body becomes binary."""
-    raw = spark.read.schema(ARCHIVE_SCHEMA).option("multiLine", "true").json(path)
+def read_archive(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """JSON archive documents; the body becomes binary.
+
+    One document per line by default, so files split; ``multi_line`` reads indented documents, one file per task.
+    """
+    raw = spark.read.schema(ARCHIVE_SCHEMA).option("multiLine", str(multi_line).lower()).json(path)
     return raw.withColumn(
         "content", F.col("content").withField("response_content", F.unbase64("content.response_content"))
     )
@@ -44,20 +50,37 @@ def write_archive(df: DataFrame, path: str, as_json: bool = False) -> None:
         df.write.parquet(path)
 
 
+def _decoded(raw: bytes, name: str) -> str:
+    marked = any(raw.startswith(m) for m in MARKS.get(name, ()))
+    try:
+        return raw.decode(name if marked else CHARSETS.get(name, name), "replace")
+    except LookupError:
+        return raw.decode("utf-8", "replace")
+
+
+@F.pandas_udf(StringType())
+def _decode_other(body: pd.Series, name: pd.Series) -> pd.Series:
+    """Bodies of other charsets than UTF-8; Spark's own decoder stops at the first broken byte."""
+    return pd.Series([None if raw is None else _decoded(bytes(raw), n) for raw, n in zip(body, name)], dtype=object)
+
+
 def decode_body(body: Column, charset: Column) -> Column:
-    """Body as text: declared charset, UTF-8 by default; broken bytes become U+FFFD."""
-    name = F.lower(F.coalesce(charset, F.lit("utf-8")))
-    out = F.make_valid_utf8(body.cast("string"))
-    for known in DECODED:
-        out = F.when(name == known, F.decode(body, known)).otherwise(out)
-    return out
+    """Body as text: declared charset, UTF-8 by default; broken bytes become U+FFFD and never stop the job."""
+    name = F.lower(F.trim(F.coalesce(charset, F.lit("utf-8"))))
+    plain = name.isin("utf-8", "utf8", "")
+    other = _decode_other(F.when(~plain, body.cast("binary")), name)
+    return F.when(plain, F.make_valid_utf8(body.cast("string"))).otherwise(other)
 
 
-def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Processed page documents; unreadable ones are skipped."""
+def read_processed(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Processed page documents; unreadable ones are skipped.
+
+    One document per line by default; ``multi_line`` reads files that hold one indented document or an array of them.
+    """
     raw = (
         spark.read.schema(PAGE_SCHEMA)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", str(multi_line).lower())
         .option("columnNameOfCorruptRecord", "_corrupt")
         .json(path)
     )
@@ -77,39 +100,42 @@ def latest(df: DataFrame, *order: str) -> DataFrame:
 
 
 def buckets_of(df: DataFrame) -> DataFrame:
-    return df.withColumn("bucket", F.substring("digest", 1, 2))
+    """Rows with their folder of the store; the letter keeps digits from being read back as numbers."""
+    return df.withColumn("bucket", F.concat(F.lit("b"), F.substring("digest", 1, 2)))
 
 
 def upsert_processed(spark: SparkSession, new: DataFrame, path: str, *order: str) -> None:
-    """Merge new pages into the store at ``path``; the latest version of a digest wins.
+    """Add the batch's last version of each digest to the store at ``path``.
 
-    Pages without text are refused by the caller's error channel. Only the touched
-    buckets are rewritten. The merged rows are written to a staging folder first, so a
-    lost executor or a failed job leaves the store as it was; publishing copies finished
-    files bucket by bucket and can be repeated.
+    The store is a log of versions: a batch writes its own rows and no others, and Spark's commit makes them visible
+    all at once. `read_store` shows the last version of each digest, `compact_store` drops the others. A batch that
+    runs twice adds equal versions, which reading treats as one. Pages without text are refused by the caller's error
+    channel.
     """
-    fresh = buckets_of(new)
-    try:
-        old = spark.read.parquet(path)
-    except Exception as error:  # no store yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        latest(fresh, *order).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
-        return
-    touched = fresh.select("bucket").distinct()
-    # At most 256 buckets exist, so this side has a fixed bound.
-    same = old.join(F.broadcast(touched), "bucket", "left_semi")
-    merged = latest(same.unionByName(fresh), *order)
-    staged = work_path(spark, "upsert")
-    merged.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(staged)
+    fresh = buckets_of(latest(new, *order))
+    fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def read_store(spark: SparkSession, path: str, schema: StructType, *order: str) -> DataFrame:
+    """The last version of each digest; a store that was never written, or holds no file, is empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    typed = StructType([*schema.fields, StructField("bucket", StringType())])
+    return latest(spark.read.schema(typed).parquet(path).drop("bucket"), *order)
+
+
+def compact_store(spark: SparkSession, path: str, schema: StructType, *order: str) -> None:
+    """Rewrite the store without superseded versions: staged first, then published bucket by bucket."""
+    staged = work_path(spark, "compact")
+    buckets_of(read_store(spark, path, schema, *order)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(staged)
+    typed = StructType([*schema.fields, StructField("bucket", StringType())])
     (
-        spark.read.parquet(staged)
-        .hint("rebalance", "bucket")
-        .write.option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(path)
+        spark.read.schema(typed).parquet(staged).hint("rebalance", "bucket")
+        .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
     )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def delete_processed(df: DataFrame, keys: DataFrame) -> DataFrame:

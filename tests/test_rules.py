@@ -172,12 +172,13 @@ def test_rss_with_cdata_and_plain_sitemap(spark):
     assert {r.link for r in links.sitemap_links(txt).collect()} == {"https://a.org/p1", "https://a.org/p2"}
 
 
-def test_sitemap_cycle_ends_and_depth_limit_is_an_error(spark):
+def test_sitemap_cycles_and_long_chains_end(spark):
     edges = spark.createDataFrame([("a", "b", "sitemap"), ("b", "a", "sitemap"), ("b", "c", "sitemap")], "url string, link string, state string")
     seeds = spark.createDataFrame([("a",)], "url string")
     assert {(r.url, r.depth) for r in links.expand_sitemaps(seeds, edges).collect()} == {("a", 0), ("b", 1), ("c", 2)}
-    with pytest.raises(ValueError):
-        links.expand_sitemaps(seeds, edges, max_depth=1)
+    chain = spark.createDataFrame([(f"n{i}", f"n{i + 1}", "sitemap") for i in range(8)], "url string, link string, state string")
+    start = spark.createDataFrame([("n0",)], "url string")
+    assert max(r.depth for r in links.expand_sitemaps(start, chain).collect()) == 8
 
 
 def test_hot_segment_and_document_copies(spark):
@@ -195,7 +196,21 @@ def test_upsert_is_idempotent_and_last_writer_wins(spark, tmp_path):
     path = str(tmp_path / "store")
     for batch in (df.where("text = 'old'"), df, df):
         archive.upsert_processed(spark, batch, path)
-    assert {(r.url, r.text) for r in spark.read.parquet(path).collect()} == {("u1", "new"), ("u2", "x")}
+    assert {(r.url, r.text) for r in archive.read_store(spark, path, df.schema).collect()} == {("u1", "new"), ("u2", "x")}
+    archive.compact_store(spark, path, df.schema)
+    assert sorted((r.url, r.text) for r in spark.read.parquet(path).collect()) == [("u1", "new"), ("u2", "x")]
+
+
+def test_stores_with_number_like_folders_or_no_files(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = [(f"{n:02d}" + "0" * 30, "old") for n in range(12)] + [("1e" + "0" * 30, "old")]
+    df = spark.createDataFrame(rows, "digest string, visit_date string")
+    assert archive.read_store(spark, path, df.schema).count() == 0
+    archive.upsert_processed(spark, df.limit(0), path)
+    archive.upsert_processed(spark, df, path)
+    archive.upsert_processed(spark, df.withColumn("visit_date", F.lit("p-new")), path)
+    found = archive.read_store(spark, path, df.schema).collect()
+    assert sorted(r.digest for r in found) == sorted(d for d, _ in rows) and {r.visit_date for r in found} == {"p-new"}
 
 
 def test_empty_export_is_refused(spark, tmp_path):
