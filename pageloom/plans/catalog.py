@@ -17,6 +17,7 @@ MODULES = (
     "meta_queries",
     "link_queries",
     "corpus_queries",
+    "ingest_queries",
 )
 
 

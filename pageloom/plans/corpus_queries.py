@@ -198,13 +198,3 @@ def q_stream_unseen(spark, sf_dir):
     visits = st.stream_visits(spark, visit_folder(spark, sf_dir, repeats=2), files_per_batch=3)
     st.append_available(st.stream_unseen(visits), out, work_path(spark, "stream-cp"))
     return spark.read.parquet(out).select("digest", "url")
-
-
-@query("stream_extract", "I4")
-def q_stream_extract(spark, sf_dir):
-    archive = load(spark, sf_dir, "archive")
-    store, bad = work_path(spark, "store"), work_path(spark, "quarantine")
-    visits = st.stream_visits(spark, visit_folder(spark, sf_dir))
-    st.stream_extract(spark, visits, archive, store, bad, work_path(spark, "stream-cp"))
-    good = spark.read.parquet(store).selectExpr("digest", "url", "text", "cast(null as string) AS error")
-    return good.unionByName(spark.read.parquet(bad).selectExpr("digest", "url", "cast(null as string) AS text", "error"))

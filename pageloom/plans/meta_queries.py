@@ -463,3 +463,8 @@ def q_drop_authors(spark, sf_dir):
 def q_drop_urls(spark, sf_dir):
     pages = load(spark, sf_dir, "pages").select("page_id", "url")
     return M.drop_urls(pages, pages.where("page_id % 9 = 0")).select("page_id", "url")
+
+
+def d_duration_of_videos(page_id: str) -> str:
+    """Seconds that the derived video page of a page id names."""
+    return f"(case when {page_id} % 4 = 0 then 3600 else 0 end + {page_id} % 60 * 60 + {page_id} % 59)"

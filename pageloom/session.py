@@ -22,6 +22,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -125,6 +125,14 @@ def read_store(spark: SparkSession, path: str, schema: StructType, *order: str)
     return latest(spark.read.schema(typed).parquet(path).drop("bucket"), *order)
 
 
+def stored_digests(spark: SparkSession, path: str) -> DataFrame | None:
+    """Digests of all stored pages; none if the store was never written. Only that column is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.schema("digest string").parquet(path).select("digest")
+
+
 def compact_store(spark: SparkSession, path: str, schema: StructType, *order: str) -> None:
     """Rewrite the store without superseded versions: staged first, then published bucket by bucket."""
     staged = work_path(spark, "compact")

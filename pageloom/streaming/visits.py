@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageloom.operators import routing
-from pageloom.plans.extract import Options, extract_pages
-from pageloom.sources.archive import upsert_processed
+from pageloom.plans.ingest import ingest_pages
+from pageloom.session import ensure_checkpoint_dir
+from pageloom.sources.archive import stored_digests, upsert_processed
 from pageloom.sources.visits import OPTIONS, SCHEMA, split_fields
 
 
@@ -43,36 +44,30 @@ def append_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     return query
 
 
-def extract_batch(visits: DataFrame, archive: DataFrame, options: Options = Options()) -> DataFrame:
-    """Visits with response, route and extracted text; failures sit in the error channel."""
-    rows = routing.route(routing.respond(routing.parse_visits(visits), archive))
-    pages = rows.where("error is null and route = 'article'").selectExpr("digest AS page_id", "html")
-    texts = extract_pages(pages.dropDuplicates(["page_id"]), options).selectExpr(
-        "page_id AS digest", "text", "choice", "comments", "n_chars", "seconds"
-    )
-    return routing.require_text(rows.drop("html").join(texts, "digest", "left"))
+def first_sight(visits: DataFrame) -> DataFrame:
+    """Like `stream_unseen`, with malformed lines kept: each different one passes once, on its way to quarantine."""
+    line = F.md5(F.concat_ws("\t", "date", "quality", "url"))
+    return visits.withColumn("digest", F.when(F.col("error").isNull(), F.md5("url")).otherwise(line)).dropDuplicates(["digest"])
 
 
 def stream_extract(
-    spark: SparkSession, visits: DataFrame, archive: DataFrame, store: str, quarantine: str, checkpoint: str
+    spark: SparkSession, visits: DataFrame, archive: DataFrame, transcripts: DataFrame, store: str, quarantine: str, checkpoint: str
 ) -> StreamingQuery:
-    """Visits -> store of pages by digest, and a quarantine folder.
+    """Visits -> store of page records by digest, and a quarantine folder for all other visits.
 
-    A batch that runs twice changes nothing: the store is an upsert by digest, and each
-    batch overwrites its own quarantine folder.
+    Pages that the store holds already are not extracted again, even under a new checkpoint. A batch that runs twice
+    changes nothing: it finds its pages in the store, and overwrites its own quarantine folder.
     """
+    ensure_checkpoint_dir(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        done = extract_batch(batch.drop("digest"), archive).persist()
+        done = ingest_pages(batch.drop("digest"), archive, transcripts, stored_digests(spark, store)).checkpoint()
         good, bad = routing.split_results(done)
-        page_cols = ["digest", "url", "date", "quality", "kind", "text", "choice", "comments", "n_chars", "seconds"]
         if not good.isEmpty():
-            upsert_processed(spark, good.select(*page_cols), store, "date")
-        bad.select("digest", "url", "date", "error", "error_stage").write.mode("overwrite").parquet(
-            f"{quarantine}/batch={batch_id}"
-        )
-        done.unpersist()
+            upsert_processed(spark, good, store, "visit_date")
+        rejected = bad.select("digest", "url", "visit_date", "visit_quality", "error", "error_stage")
+        rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
 
-    return run_available(stream_unseen(visits), handle, checkpoint)
+    return run_available(first_sight(visits), handle, checkpoint)
