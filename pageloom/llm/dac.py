@@ -225,7 +225,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     schema = T.StructType(
         [
             T.StructField("part", T.IntegerType(), False),
-            T.StructField("seq", T.IntegerType(), False),
+            T.StructField("before", T.LongType(), False),
             T.StructField("n_ids", T.LongType(), False),
             T.StructField("keys", T.ArrayType(key_type, True), False),
             T.StructField("segment", T.BinaryType(), False),
@@ -238,7 +238,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
         def segments() -> Iterator[tuple]:
             nonlocal arrow_key
-            keys, held, size, seq = [], [], 0, 0
+            keys, held, size, before = [], [], 0, 0
             for batch in parts:
                 arrow_key = batch.schema.field(0).type
                 for found in _groups(rows(batch, "key", "_raw")):
@@ -247,16 +247,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                         held.append(ids + end)
                         size += len(held[-1]) // 4
                         if size >= SEGMENT_IDS or len(keys) >= SEGMENT_DOCS:
-                            yield part, seq, size, keys, _packed(held)
-                            keys, held, size, seq = [], [], 0, seq + 1
+                            yield part, before, size, keys, _packed(held)
+                            keys, held, size, before = [], [], 0, before + size
             if keys:
-                yield part, seq, size, keys, _packed(held)
+                yield part, before, size, keys, _packed(held)
 
         for row in segments():
             out = pa.schema(
                 [
                     pa.field("part", pa.int32(), False),
-                    pa.field("seq", pa.int32(), False),
+                    pa.field("before", pa.int64(), False),
                     pa.field("n_ids", pa.int64(), False),
                     pa.field("keys", pa.list_(pa.field("element", arrow_key)), False),
                     pa.field("segment", pa.binary(), False),
@@ -287,19 +287,14 @@ def _packed(held: list[bytes]) -> bytes:
 def read_token_files(spark, folder: str) -> DataFrame:
     """Rows ``(key, start, n_tokens, ids_crc32)`` of a written folder.
 
-    ``start`` counts the ids of all documents before it: totals of parts are summed first (as many rows as parts),
-    then the segments of a part. Documents are read by slices of their segment.
+    ``start`` counts the ids of all documents before it: those of earlier parts, summed over one row per part, and
+    those before the segment in its part, which its row tells. Documents are read by slices of their segment.
     """
     table = spark.read.parquet(folder)
-    sizes = table.select("part", "seq", "n_ids")
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("_ids"))
-    parts = parts.select("part", (F.sum("_ids").over(W.orderBy("part")) - F.col("_ids")).alias("_before"))
-    inside = W.partitionBy("part").orderBy("seq")
-    starts = (
-        sizes.join(parts, "part")
-        .select("part", "seq", (F.col("_before") + F.sum("n_ids").over(inside) - F.col("n_ids")).alias("_start"))
-    )
-    placed = table.join(starts, ["part", "seq"]).select("_start", "keys", "segment")
+    parts = table.groupBy("part").agg(F.sum("n_ids").alias("_ids"))
+    parts = parts.select("part", (F.sum("_ids").over(W.orderBy("part")) - F.col("_ids")).alias("_earlier"))
+    # as many rows as the writer had partitions
+    placed = table.join(F.broadcast(parts), "part").select((F.col("_earlier") + F.col("before")).alias("_start"), "keys", "segment")
     schema = T.StructType(
         [
             T.StructField("key", table.schema["keys"].dataType.elementType),
