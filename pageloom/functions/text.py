@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,9 +37,11 @@ ENTITIES = (
     ("&ouml;", "ö"),
     ("&uuml;", "ü"),
     ("&szlig;", "ß"),
-    ("&eacute;", "é"),
+    *((f"&{name};", chr(code)) for name, code in sorted(name2codepoint.items()) if 0xC0 <= code <= 0xFF and name not in ("auml", "ouml", "uuml", "szlig")),
     ("&amp;", "&"),
 )
+# Numeric references; `#38` is left to the end with `&amp;`, so nothing is decoded twice.
+NUMERIC = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 
 SPACE_RUN = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]+"
 CONTROL = r"[\x00-\x08\x0e-\x1b\x7f-\x{84}\x{86}-\x{9f}\p{Cf}\p{Co}]"
@@ -63,7 +67,11 @@ def sql_trim_ws(c: str) -> str:
 
 def sql_unescape(c: str) -> str:
     """Decode entities; texts without an ampersand pass untouched."""
-    out = "x"
+    number = "if(lower(substring(e, 2, 1)) = 'x', cast(conv(substring(e, 3), 16, 10) as int), cast(substring(e, 2) as int))"
+    valid = f"({number} between 1 and 55295 or {number} between 57344 and 1114111)"
+    char_of = f"if({valid}, decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32'), decode(unhex('0000FFFD'), 'UTF-32'))"
+    found = f"filter(array_distinct(regexp_extract_all(x, {rx(NUMERIC)}, 1)), e -> {number} <> 38)"
+    out = f"case when instr(x, '&#') > 0 then aggregate({found}, x, (acc, e) -> replace(acc, concat('&', e, ';'), {char_of})) else x end"
     for entity, char in ENTITIES:
         shown = "chr(39)" if char == "'" else f"'{char}'"
         out = f"replace({out}, '{entity}', {shown})"
@@ -98,10 +106,25 @@ def trim_ws(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Decode the common named entities."""
+    """Decode named entities and numeric references, each once."""
+    bound = F.transform(F.array(c), lambda x: x)
+    return F.transform(bound, lambda x: F.when(F.instr(x, "&") > 0, _decoded(x)).otherwise(x))[0]
+
+
+def _decoded(x: Column) -> Column:
+    def code(e: Column) -> Column:
+        hexadecimal = F.lower(F.substring(e, 2, 1)) == "x"
+        return F.when(hexadecimal, F.conv(F.substring(e, F.lit(3), F.lit(9)), 16, 10).cast("int")).otherwise(F.substring(e, F.lit(2), F.lit(9)).cast("int"))
+
+    def char_of(e: Column) -> Column:
+        valid = code(e).between(1, 55295) | code(e).between(57344, 1114111)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code(e)), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+    found = F.filter(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMERIC), F.lit(1))), lambda e: code(e) != 38)
+    x = F.aggregate(found, x, lambda acc, e: F.replace(acc, F.concat(F.lit("&"), e, F.lit(";")), char_of(e)))
     for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+        x = F.replace(x, F.lit(entity), F.lit(char))
+    return x
 
 
 def clean_line(c: Column) -> Column:

@@ -21,7 +21,7 @@ CONTAINERS = (
 ).split()
 # Block tags that end at the next block tag.
 LEAVES = "html head title p pre li dd dt h1 h2 h3 h4 h5 h6 summary caption figcaption thead tbody tfoot tr td th".split()
-# Elements dropped with their content inside a block.
+# Elements dropped with their content, block tags included.
 EMBEDDED = "button select textarea object svg video audio canvas iframe noscript template".split()
 
 # Context columns: name and the tags they count.
@@ -43,11 +43,11 @@ SCRIPT = r"(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*
 BLOCK_TAG = r"(?i)<(/?(?:" + "|".join(CONTAINERS + LEAVES) + r")(?:\s[^>]*|/)?>)"
 LEAD = r"^<(/?)([A-Za-z][A-Za-z0-9]*)"
 LEAD_TAG = r"^<[^>]*>"
-EMBED = r"(?is)<(?:" + "|".join(EMBEDDED) + r")(?:\s[^>]*)?>.*?</(?:" + "|".join(EMBEDDED) + r")\s*>"
+EMBED = "(?is)" + "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in EMBEDDED)
 LINE_BREAK = r"(?i)<(?:br|hr)(?:\s[^>]*|/)?>"
 ANY_TAG = r"<[^>]*>"
 LINK = r"(?is)<a(?:\s[^>]*)?>(.*?)(?:</a\s*>|\z)"
-LINK_EVENT = r"(?i)<(/?)a(?:\s[^>]*)?>"
+LINK_EVENT = r"(?i)(</?a(?:\s[^>]*)?>)"
 TOKEN = r"<[^>]+>|[^<]+"
 SHORT_LINK = 10
 SHORT_LINK_PRECISE = 50
@@ -96,7 +96,9 @@ def tokens(pages: DataFrame) -> DataFrame:
 
 def segments(pages: DataFrame) -> DataFrame:
     """(page_id, pos, tag, closing, open_tag, cls, inner_html): one row per block tag."""
-    cut = f"split(regexp_replace({sql_strip_noise('html')}, {rx(BLOCK_TAG)}, concat(chr(30), '<$1')), chr(30))"
+    # embedded elements go before the cut, since they may hold block tags themselves
+    plain = f"regexp_replace({sql_strip_noise('html')}, {rx(EMBED)}, '')"
+    cut = f"split(regexp_replace({plain}, {rx(BLOCK_TAG)}, concat(chr(30), '<$1')), chr(30))"
     rows = by_page(pages).selectExpr("page_id", f"posexplode({cut}) AS (pos, seg)")
     led = rows.selectExpr(
         "page_id",
@@ -138,7 +140,8 @@ def with_context(segs: DataFrame) -> DataFrame:
         *segs.columns,
         *[f"_s_{n} - least(0, min(_s_{n}) {OVER_PAGE}) AS {n}" for n in groups],
         "_head and not _past AS in_head",
-        "coalesce(_link = '', false) AS in_link",
+        "coalesce(_link not like '</%', false) AS in_link",
+        "case when _link not like '</%' then _link end AS link_tag",
     )
     marked = depths.selectExpr(
         "*",
@@ -195,10 +198,12 @@ ROLE = """case when closing then 'div' when tag = 'p' then 'p' when tag in ('li'
 def blocks(ctx: DataFrame) -> DataFrame:
     """Text and link measures of every body row.
 
-    A link left open by an earlier row is re-opened, so its text still counts as link text.
+    A link left open by an earlier row is re-opened with its target, so its text still counts as link text.
     """
-    body = ctx.where("not in_head and tag not in ('title', 'head', 'html', '')")
-    flow = f"regexp_replace(case when in_link then concat('<a>', inner_html) else inner_html end, {rx(EMBED)}, '')"
+    # text before the first block tag, or right behind <html>, </head> and </html>, has no block tag of its own
+    loose = f"tag in ('', 'html', 'head') and (tag <> 'head' or closing) and regexp_replace(inner_html, {rx(ANY_TAG)}, '') rlike r'\\S'"
+    body = ctx.where(f"not in_head and (tag not in ('title', 'head', 'html', '') or ({loose}))")
+    flow = "case when in_link then concat(link_tag, inner_html) else inner_html end"
     lens = f"transform(regexp_extract_all(flow, {rx(LINK)}, 1), t -> length({sql_inline_text('t')}))"
     return (
         body.selectExpr("*", f"{flow} AS flow", f"{ROLE} AS role")

@@ -79,7 +79,7 @@ def with_head(pages: DataFrame) -> DataFrame:
         "rel": sql_attr("x", "rel"),
         "type": sql_attr("x", "type"),
         "hreflang": sql_attr("x", "hreflang"),
-        "href": sql_attr("x", "href"),
+        "href": sql_unescape(sql_attr("x", "href")),
         "content": f"regexp_replace({sql_unescape(sql_attr('x', 'content'))}, {rx(ANY_TAG)}, '')",
     }
     struct = ", ".join(f"'{n}', {e}" for n, e in fields.items())
@@ -286,7 +286,7 @@ def anchors(blocks: DataFrame) -> DataFrame:
     lead = f"regexp_extract(anchor, {rx('^<[^>]*>')}, 0)"
     label = sql_trim_ws(sql_unescape(f"regexp_replace(anchor, {rx(ANY_TAG)}, '')"))
     return rows.selectExpr(
-        "*", f"{sql_attr(lead, 'href')} AS href", f"{sql_attr(lead, 'rel')} AS rel", f"{label} AS label"
+        "*", f"{sql_unescape(sql_attr(lead, 'href'))} AS href", f"{sql_attr(lead, 'rel')} AS rel", f"{label} AS label"
     ).where("href <> ''")
 
 

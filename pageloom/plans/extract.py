@@ -203,7 +203,9 @@ def extract_pages(pages: DataFrame, o: Options = Options()) -> DataFrame:
     partitioning.
     """
     bodies = markup.by_page(pages).selectExpr("page_id", f"{article_body('html')} AS ld_body")
-    df = choose_extraction(extract_candidates(pages, o), o).join(bodies, "page_id")
+    df = bodies.join(choose_extraction(extract_candidates(pages, o), o), "page_id", "left")
+    # a page without any text row has no candidate, but a row here
+    df = df.withColumns({"choice": F.coalesce("choice", F.lit("baseline")), "comments": F.coalesce("comments", F.lit(""))})
     text = f"""case choice when 'own' then own_text when 'scored' then scored_text when 'classified' then good_text
       else {sql_baseline('ld_body')} end"""
     return (
@@ -231,6 +233,6 @@ def page_digest(pages: DataFrame) -> DataFrame:
     )
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     urls = pages.selectExpr("page_id", "md5(url) AS digest").repartition(n, "page_id")
-    return found.join(urls, "page_id").selectExpr(
-        "page_id", "digest", "title", "text", "blocks", f"{sql_reading_time('text')} AS seconds", f"{sql_fingerprint('text')} AS fingerprint"
+    return urls.join(found, "page_id", "left").selectExpr(
+        "page_id", "digest", "title", "text", "coalesce(blocks, 0) AS blocks", f"{sql_reading_time('text')} AS seconds", f"{sql_fingerprint('text')} AS fingerprint"
     )

@@ -256,8 +256,8 @@ cte(
 @query(
     "page_digest",
     "D27",
-    f"SELECT t.page_id, md5(p.url) AS digest, title, text, blocks, {d_reading_time('text')} AS seconds, {d_fingerprint('text')} AS fingerprint "
-    "FROM plain_digest t JOIN pages p ON p.page_id = t.page_id",
+    f"SELECT p.page_id, md5(p.url) AS digest, title, text, coalesce(blocks, 0) AS blocks, {d_reading_time('text')} AS seconds, {d_fingerprint('text')} AS fingerprint "
+    "FROM pages p LEFT JOIN plain_digest t ON p.page_id = t.page_id",
 )
 def q_page_digest(spark, sf_dir):
     """Given pages -> rows -> main region -> title, text, reading time, fingerprint."""

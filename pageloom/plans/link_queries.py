@@ -11,6 +11,8 @@ from pageloom.plans.registry import cte, query
 from pageloom.plans.tables import load
 from pageloom.plans.url_queries import d_base, d_clean, d_domain, d_host, d_lang, d_path, d_resolve, d_valid
 
+from pageloom.plans.text_queries import d_unescape  # noqa: E402
+
 L = links
 D_BARE = "ltrim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 D_KIND = f"case when regexp_matches({D_BARE}, '{L.FEED_START}') or contains(substr({D_BARE}, 1, 100), '<rss') or contains(substr({D_BARE}, 1, 100), '<feed') then 'xml' when starts_with({D_BARE}, '{{') then 'json' else 'none' end"
@@ -64,9 +66,9 @@ def q_refine_links(spark, sf_dir):
 
 cte(
     "feed_named",
-    f"""SELECT url, href, 1 AS rank FROM (SELECT url, {d.d_attr('x', 'href')} AS href, {d.d_attr('x', 'type')} AS type, {d.d_attr('x', 'rel')} AS rel
+    f"""SELECT url, href, 1 AS rank FROM (SELECT url, {d_unescape(d.d_attr('x', 'href'))} AS href, {d.d_attr('x', 'type')} AS type, {d.d_attr('x', 'rel')} AS rel
   FROM (SELECT url, unnest(regexp_extract_all(body, '(?is)<link\\s[^>]*>', 0)) AS x FROM feeds)) WHERE rel = 'alternate' and href <> '' and (type in {d.tags(L.FEED_TYPES)} or regexp_matches(href, 'atom|rss'))
-UNION ALL SELECT url, href, 2 FROM (SELECT url, {d.d_attr('x', 'href')} AS href FROM (SELECT url, unnest(regexp_extract_all(body, '(?is)<a\\s[^>]*>', 0)) AS x FROM feeds))
+UNION ALL SELECT url, href, 2 FROM (SELECT url, {d_unescape(d.d_attr('x', 'href'))} AS href FROM (SELECT url, unnest(regexp_extract_all(body, '(?is)<a\\s[^>]*>', 0)) AS x FROM feeds))
   WHERE regexp_matches(lower(href), '\\.(?:rss|rdf|xml|atom)$') or regexp_matches(href, 'atom|rss')""",
 )
 cte(

@@ -58,7 +58,7 @@ SELECT page_id, pos, lower(regexp_extract(seg, '{m.LEAD}', 2)) AS tag, regexp_ex
     lower(trim({d_attr(f"regexp_extract(seg, '{m.LEAD_TAG}', 0)", "class")} || ' ' || {d_attr(f"regexp_extract(seg, '{m.LEAD_TAG}', 0)", "id")})) end AS cls,
   regexp_replace(seg, '{m.LEAD_TAG}', '') AS inner_html
 FROM (SELECT page_id, unnest(parts) AS seg, generate_subscripts(parts, 1) - 1 AS pos FROM (
-  SELECT page_id, string_split(regexp_replace({d_strip_noise('html')}, '{m.BLOCK_TAG}', chr(30) || '<\\1', 'g'), chr(30)) AS parts FROM {source}))
+  SELECT page_id, string_split(regexp_replace(regexp_replace({d_strip_noise('html')}, '{m.EMBED}', '', 'g'), '{m.BLOCK_TAG}', chr(30) || '<\\1', 'g'), chr(30)) AS parts FROM {source}))
 """,
     )
     groups = {"depth": m.CONTAINERS} | {f"in_{k}": v for k, v in m.TRACKED.items()}
@@ -75,7 +75,7 @@ SELECT *, case when in_table > 0 then cast(sum(table_start) {w} as bigint) else
 SELECT *, tag in {tags(m.CONTAINERS)} and not closing AS opens,
   tag in {tags(m.CONTAINERS)} and closing and lag(depth, 1, 0) OVER (PARTITION BY page_id ORDER BY pos) > depth AS closes,
   case when in_table = 1 and lag(in_table, 1, 0) OVER (PARTITION BY page_id ORDER BY pos) = 0 then 1 else 0 end AS table_start,
-  has_head = 1 and past_head = 0 AS in_head, coalesce(prev_link = '', false) AS in_link
+  has_head = 1 and past_head = 0 AS in_head, coalesce(prev_link not like '</%', false) AS in_link
 FROM (SELECT *, {depths} FROM (SELECT *, {sums},
   last_value(regexp_extract_all(inner_html, '{m.LINK_EVENT}', 1)[-1] IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_link,
   max(case when tag = 'head' then 1 else 0 end) {w} AS has_head,
@@ -131,8 +131,9 @@ FROM (SELECT *, {d_inline('flow')} AS text,
   case when closing then 'div' when tag = 'p' then 'p' when tag in ('li', 'dd', 'dt') then 'item'
     when tag in ('h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'summary') then 'head' when tag in ('blockquote', 'pre') then 'quote'
     when tag in ('td', 'th') then 'cell' when tag in ('figcaption', 'caption') then 'caption' else 'div' end AS role
-FROM (SELECT *, regexp_replace(case when in_link then '<a>' || inner_html else inner_html end, '{m.EMBED}', '', 'g') AS flow
-  FROM {prefix}sec WHERE not in_head and tag not in ('title', 'head', 'html', '')))
+FROM (SELECT *, case when in_link then prev_link || inner_html else inner_html end AS flow
+  FROM {prefix}sec WHERE not in_head and (tag not in ('title', 'head', 'html', '') or (tag in ('', 'html', 'head') and (tag <> 'head' or closing)
+    and regexp_matches(regexp_replace(inner_html, '{m.ANY_TAG}', '', 'g'), '\\S')))))
 """,
     )
 

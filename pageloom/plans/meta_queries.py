@@ -23,7 +23,7 @@ def head_ctes(prefix: str, source: str) -> None:
         f"{prefix}head_tags",
         f"""SELECT page_id, n, lower(regexp_extract(x, '^<([A-Za-z]+)', 1)) AS tag, {d.d_attr('x', 'property')} AS prop, lower({d.d_attr('x', 'name')}) AS name,
   {d.d_attr('x', 'itemprop')} AS itemprop, {d.d_attr('x', 'rel')} AS rel, {d.d_attr('x', 'type')} AS type, {d.d_attr('x', 'hreflang')} AS hreflang,
-  {d.d_attr('x', 'href')} AS href, regexp_replace({d_unescape(d.d_attr('x', 'content'))}, '{d.m.ANY_TAG}', '', 'g') AS content
+  {d_unescape(d.d_attr('x', 'href'))} AS href, regexp_replace({d_unescape(d.d_attr('x', 'content'))}, '{d.m.ANY_TAG}', '', 'g') AS content
 FROM (SELECT page_id, unnest(t) AS x, generate_subscripts(t, 1) - 1 AS n FROM (SELECT page_id, regexp_extract_all({D_HEAD}, '{M.HEAD_TAG}', 0) AS t FROM {source}))""",
     )
 

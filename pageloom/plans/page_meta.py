@@ -29,8 +29,10 @@ def page_meta(pages: DataFrame) -> DataFrame:
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     head = metadata.meta_fields(metadata.title_parts(metadata.with_head(pages.repartition(n, "page_id"))))
     head = metadata.canonical_url(metadata.lead_image(head))
-    script = f"array_join(regexp_extract_all(html, {rx(jsonld.LD_SCRIPT)}, 1), ',')"
-    ld = jsonld.jsonld_members(head.selectExpr("*", f"concat('[', {script}, ']') AS _js"), "_js")
+    head = head.selectExpr("*", f"regexp_extract_all(html, {rx(jsonld.LD_SCRIPT)}, 1) AS _scripts")
+    head = head.selectExpr("*", f"{jsonld.sql_scripts('_scripts')} AS _js", f"{jsonld.sql_broken('_scripts')} AS _broken")
+    head = head.selectExpr("*", *[f"{e} AS broken_{n}" for n, e in jsonld.sql_salvage("_broken").items()])
+    ld = jsonld.jsonld_members(head, "_js")
     ld = jsonld.jsonld_fields(ld.withColumn("members", F.expr("coalesce(members, array())")), "meta_site")
     ld = metadata.page_lang(metadata.page_date(ld, "ld_date"))
     both = ld.join(structure_fields(pages), "page_id", "left")
@@ -40,12 +42,12 @@ def page_meta(pages: DataFrame) -> DataFrame:
         "page_id",
         "url",
         "coalesce(meta_url, canonical) AS page_url",
-        f"coalesce(meta_title, ld_title, {metadata.SQL_TITLE}) AS title",
-        f"coalesce({named}, found_author) AS author",
-        "coalesce(ld_site, title_site) AS site",
+        f"coalesce(meta_title, ld_title, broken_title, {metadata.SQL_TITLE}) AS title",
+        f"coalesce({named}, broken_author, found_author) AS author",
+        "coalesce(ld_site, broken_sitename, title_site) AS site",
         "meta_description AS description",
         "date",
-        "case when ld_section is not null then split(ld_section, ';') else found_cats end AS categories",
+        "case when coalesce(ld_section, broken_section) is not null then split(coalesce(ld_section, broken_section), ';') else found_cats end AS categories",
         "case when size(meta_tags) > 0 then meta_tags else found_tags end AS tags",
         "license",
         "image",

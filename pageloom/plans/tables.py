@@ -141,7 +141,7 @@ derive(
       when 2 then concat('{{"version":"1.1","items":[{{"url":"', url, '"}},{{"id":"https://f', {PID}, '.example.org/id/1"}},{{"title":"none"}}]}}')
       when 3 then concat('<html><head><link rel="alternate" type="application/rss+xml" href="/feed"><link rel="alternate" href="/comments/atom"></head><body>',
         '<a href="/x.rss">x</a></body></html>')
-      else concat('<html><body><a href="/a/b.rss">rss</a><a href="https://f', {PID}, '.example.org/index.atom">a</a><a href="/plain">p</a></body></html>')
+      else concat('<html><body><a href="/a/b.rss">rss</a><a href="https://f', {PID}, '.example.org/index.atom?a=1&amp;b=2">a</a><a href="/plain">p</a></body></html>')
       end""".replace("{{", "{").replace("}}", "}"),
 )
 
@@ -195,7 +195,7 @@ _META = f"""concat('<head><meta property="og:title" content="OG ', {PID}, '"><me
     '"><meta name="description" content="About &lt;b&gt; ', {PID}, '"><meta content="a, b&quot;, c', cast(page_id % 3 as string), '" name="keywords">',
     case when page_id % 4 = 0 then concat('<meta property="og:site_name" content="site ', {PID}, '"><meta property="og:url" content="https://og.example.org/', {PID},
       '"><meta property="og:description" content="Ogd"><meta property="og:author" content="Og Author">') else '<meta name="twitter:site" content="@tweeter">' end,
-    case page_id % 3 when 0 then concat('<link rel="canonical" href="/c/', {PID}, '">') when 1 then concat('<link href="https://can.example.org/', {PID},
+    case page_id % 3 when 0 then concat('<link rel="canonical" href="/c/', {PID}, '?a=1&amp;b=2">') when 1 then concat('<link href="https://can.example.org/', {PID},
       '/" rel="canonical">') else concat('<link rel="alternate" hreflang="x-default" href="https://alt.example.org/', {PID}, '">') end,
     '<meta name="twitter:image" content="https://tw.example.org/', {PID}, '.png"><link rel="icon" href="/icon.png">',
     '<meta property="article:published_time" content="2023-0', cast(1 + page_id % 9 as string), '-15T10:00:00Z"><meta itemprop="headline" content="Headline">',
@@ -212,7 +212,7 @@ _AFTER = f"""concat('<div class="paywall-note"><p>Subscribe to read the rest of
     '<table><tr><th>Key</th><th>Value</th></tr><tr><td>page</td><td>', {PID}, '</td></tr><tr><td><p>long</p><p>cell</p></td><td><table><tr><td>inner</td></tr></table></td></tr></table>',
     '<figure><img data-src="//img.example.org/', {PID}, '.jpg" src="lazy.gif" alt="Alt ', {PID}, '"><figcaption class="caption">A caption</figcaption></figure>',
     '<div class="share-links"><a href="/s1">Facebook</a> <a href="/s2">Twitter</a></div><div>Read more</div><div><a href="/rm">Read more</a></div><div><a href="/rm2">Read more</a></div><div><a href="/rm3">Read more</a></div>',
-    '<p>Facebook</p><p>See <a href="https://ref.example.org/', {PID}, '">the <b>reference</b></a> and <code>code</code>.</p><h3>Related</h3></article>',
+    '<noscript><p>Enable it</p></noscript><template><div>hidden</div></template><a href="/wide"><div>wide words</div></a><p>Facebook</p><p>See <a href="https://ref.example.org/', {PID}, '">the <b>reference</b></a> and <code>code</code>.</p><h3>Related</h3></article>',
     '<div id="comments" class="comment-list"><p class="comment-meta">Posted by x</p><p>First comment on ', {PID}, ', nice read.</p><div class="comment-form">Reply here</div></div>',
     '<form><input type="text"><input type="hidden">Sign up</form></div><div class="tags"><a href="/tag/one">One</a><a href="/tag/two">Two</a><a href="/category/cat">Cat</a></div>',
     '<div class="footer"><a href="https://creativecommons.org/licenses/by-sa/4.0/">terms</a></div>')"""

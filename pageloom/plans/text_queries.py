@@ -15,6 +15,11 @@ def d_trim_ws(c: str) -> str:
 
 
 def d_unescape(c: str) -> str:
+    number = "cast(case when lower(e[2]) = 'x' then '0x' || e[3:] else e[2:] end as int)"
+    char_of = f"case when {number} between 1 and 55295 or {number} between 57344 and 1114111 then chr({number}) else chr(65533) end"
+    found = f"list_filter(list_distinct(regexp_extract_all(x, '{text.NUMERIC}', 1)), lambda e: {number} <> 38)"
+    steps = f"list_reduce(list_concat([x], {found}), lambda acc, e: replace(acc, '&' || e || ';', {char_of}))"
+    c = f"list_transform([{c}], lambda x: case when contains(x, '&#') then {steps} else x end)[1]"
     for entity, char in text.ENTITIES:
         quoted = char.replace("'", "''")
         c = f"replace({c}, '{entity}', '{quoted}')"
@@ -52,13 +57,13 @@ def d_cap(c: str) -> str:
     return f"nullif({d_clean_line(d_unescape(cap))}, '')"
 
 
-cte("messy", "SELECT doc_id, '&nbsp; ' || replace(text, '. ', '.' || chr(13) || chr(10) || chr(9) || chr(8203)) || ' &amp;lt; &#10; ' AS text FROM documents")
+cte("messy", "SELECT doc_id, '&nbsp; &#8217;&#X2014;&#xD800;&amp;#65;&ecirc;&Ntilde; ' || replace(text, '. ', '.' || chr(13) || chr(10) || chr(9) || chr(8203)) || ' &amp;lt; &#10; ' AS text FROM documents")
 
 
 def messy(spark, sf_dir):
     broken = F.replace("text", F.lit(". "), F.lit(".\r\n\t​"))
     return load(spark, sf_dir, "documents").select(
-        "doc_id", F.concat(F.lit("&nbsp; "), broken, F.lit(" &amp;lt; &#10; ")).alias("text")
+        "doc_id", F.concat(F.lit("&nbsp; &#8217;&#X2014;&#xD800;&amp;#65;&ecirc;&Ntilde; "), broken, F.lit(" &amp;lt; &#10; ")).alias("text")
     )
 
 

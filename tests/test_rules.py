@@ -243,3 +243,86 @@ def test_reading_time_matches_the_formula(spark):
     for n in (0, 1, 1250, 1251):
         df = spark.createDataFrame([("x" * n,)], "t string")
         assert df.select(text.reading_time(F.col("t"))).first()[0] == math.ceil(n / 5 / 250) * 60
+
+
+def texts(spark, *html):
+    rows = markup.blocks(prune_rows(spark, *html)).where("text <> ''").orderBy("page_id", "pos").collect()
+    return [(r.page_id, r.text) for r in rows]
+
+
+def prune_rows(spark, *html):
+    return markup.with_containers(markup.with_context(markup.segments(pages(spark, *html))))
+
+
+def test_text_without_block_tags_is_kept(spark):
+    got = texts(spark, "only words, no tags", "<html><head><title>t</title></head>Hello <p>para</p>", "<!DOCTYPE html><b>bold</b> start<p>x", "")
+    assert got == [(0, "only words, no tags"), (1, "Hello"), (1, "para"), (2, "bold start"), (2, "x")]
+
+
+def test_embedded_elements_with_block_tags_are_dropped(spark):
+    html = "<p>a</p><noscript><p>Enable JavaScript</p></noscript><template><div>x</div></template><button><p>go</p></button><p>b</p>"
+    assert texts(spark, html) == [(0, "a"), (0, "b")]
+
+
+def test_a_link_around_block_tags_keeps_its_target(spark):
+    df = markup.blocks(prune_rows(spark, '<div><a href="/x?a=1"><div>words</div></a><p>after</p></div>'))
+    found = render.neighbors(render.render(df)).collect()
+    assert [r.target for r in found] == ["/x?a=1"]
+
+
+def test_every_page_has_a_row(spark):
+    from pageloom.plans import extract
+
+    df = pages(spark, "", "only words", "<p>" + "some longer words here " * 20 + "</p>")
+    assert sorted(r.page_id for r in extract.extract_pages(df).collect()) == [0, 1, 2]
+    assert sorted(r.page_id for r in extract.page_digest(df).collect()) == [0, 1, 2]
+
+
+def test_entities_are_decoded_once(spark):
+    rows = [("it&#8217;s &ecirc;t&Eacute; &#x20AC;", "it’s êtÉ €"), ("&amp;lt; &lt;", "&lt; <"), ("&amp;#65;&#38;#66;", "&#65;&#66;"), ("&#0;&#xD800;&#1114112;", "\ufffd" * 3), ("&unknown; & plain", "&unknown; & plain"), (None, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, raw string, want string")
+    for r in df.withColumn("a", text.unescape(F.col("raw"))).selectExpr("*", f"{text.sql_unescape('raw')} AS b").collect():
+        assert r.a == r.want and r.b == r.want
+
+
+def test_bodies_of_all_charsets_and_broken_ones(spark):
+    rows = [(b"\x80 5", "windows-1252", "€ 5"), (b"a\xffb", "us-ascii", "a\ufffdb"), (b"\x00a\x00", "utf-16be", "a\ufffd"), (b"\xff\xfea\x00", "UTF-16", "a"), (b"\x00a", "utf-16", "a")]
+    rows += [(b"caf\xe9", "ISO-8859-1", "café"), ("é".encode(), None, "é"), (b"x", "no-such-charset", "x"), (None, "utf-16", None), (b"\xff", "utf-8", "\ufffd")]
+    df = spark.createDataFrame([(i, bytearray(b) if b is not None else None, c, w) for i, (b, c, w) in enumerate(rows)], "i int, body binary, charset string, want string")
+    for r in df.withColumn("got", archive.decode_body(F.col("body"), F.col("charset"))).collect():
+        assert r.got == r.want, r
+
+
+def test_scripts_are_read_one_by_one(spark):
+    from pageloom.plans.page_meta import page_meta
+
+    def script(body):
+        return f'<script type="application/ld+json">{body}</script>'
+
+    good = '{"@context":"https://schema.org","@type":"NewsArticle","headline":"H1","author":{"@type":"Person","name":"Ann Lee"}}'
+    html = [
+        script('{"broken": ') + script(good),
+        script(f" [{good}] "),
+        script('{"@context":"http://other.org","@type":"NewsArticle","headline":"no"}') + script(good),
+        script('{"@type":"Article","headline": "Saved", "author": {"name": "Bob Kay"'),
+    ]
+    rows = page_meta(pages(spark, *[f"<html><head>{h}</head><body><p>x</p></body></html>" for h in html])).orderBy("page_id").collect()
+    assert [(r.title, r.author) for r in rows] == [("H1", "Ann Lee")] * 3 + [("Saved", "Bob Kay")]
+
+
+def test_hrefs_are_decoded(spark):
+    html = '<html><head><link rel="canonical" href="https://a.example.org/x?a=1&amp;b=2"></head><body></body></html>'
+    assert metadata.canonical_url(metadata.with_head(pages(spark, html))).first().canonical == "https://a.example.org/x?a=1&b=2"
+
+
+def test_segments_without_text_are_kept(spark):
+    df = spark.createDataFrame([(1, 0, None), (1, 1, "short"), (2, 0, "a long enough line"), (3, 0, "a long enough line")], "doc_id long, pos long, text string")
+    assert dedup.dedup_segments(df, ["doc_id", "pos"], "text", 1, 10).count() == 3
+
+
+def test_transcripts_leave_other_visits_alone(spark):
+    rows = [("https://www.youtube.com/watch?v=a1", "x")] + [(f"https://b.org/{i}", f"t{i}") for i in range(50)]
+    visits_ = spark.createDataFrame(rows, "url string, text string")
+    found = spark.createDataFrame([("a1", 200, "spoken")], "video_id string, status int, transcript string")
+    got = {r.url: r.text for r in routing.with_transcript(visits_, found).collect()}
+    assert len(got) == 51 and got["https://www.youtube.com/watch?v=a1"] == "spoken" and got["https://b.org/7"] == "t7"
