@@ -22,7 +22,9 @@ from pyspark.sql import types as T
 from pageloom.llm.words import batches, rows, text_bytes
 
 #: Pieces of one generation that a worker remembers with their ids; it keeps two generations at most.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Pairs of tokens whose meeting a worker remembers.
+PAIRS = 400_000
 #: Pieces up to this many characters are remembered.
 SHORT = 64
 #: Texts over this many characters are cut into pieces one by one instead of into one list.
@@ -37,7 +39,7 @@ class PrefixBpe:
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
         self._parts: dict[int, tuple[int, int] | None] = {}
-        self._meets: dict[tuple[int, int], bool] = {}
+        self._meets: dict[int, bool] = {}
 
     def parts(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for single bytes and tokens no merge makes."""
@@ -57,10 +59,10 @@ class PrefixBpe:
 
     def meets(self, left: int, right: int) -> bool:
         """True if merging the joined bytes leaves exactly these two tokens."""
-        key = (left, right)
+        key = left << 32 | right
         known = self._meets.get(key)
         if known is None:
-            if len(self._meets) > 2_000_000:
+            if len(self._meets) >= PAIRS:
                 self._meets.clear()
             known = self._meets[key] = self._boundary_holds(left, right)
         return known
@@ -207,7 +209,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         own = codec(ranks_path, pattern)
         for batch in parts:
             out = pa.schema([pa.field(id_col, batch.schema.field(0).type), pa.field("ids", pa.list_(pa.field("element", pa.int32(), False)), False)])
-            yield from batches(((key, own.encode(raw.decode("utf-8", "replace"))) for key, raw in rows(batch, id_col, "_raw")), out, weight=4 << 20)
+            yield from batches(((key, own.encode(raw.decode("utf-8", "replace"))) for key, raw in rows(batch, id_col, "_raw")), out, weight=1 << 19)
 
     return slim.mapInArrow(run, schema)
 
