@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pageloom.llm.words import batches, rows, text_bytes
 
 #: Pieces of one generation that a worker remembers with their ids; it keeps two generations at most.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Pairs of tokens whose meeting a worker remembers.
 PAIRS = 400_000
 #: Pieces up to this many characters are remembered.
@@ -106,8 +106,23 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Extend the text; entries of shorter prefixes stay as they are."""
         self.text += more
-        for end in range(len(self.last) + 1, len(self.text) + 1):
-            self.last.append(self._token_ending_at(end))
+        text, last, bpe, rank, known = self.text, self.last, self.bpe, self.bpe.ranks.get, self.bpe._meets.get
+        for end in range(len(last) + 1, len(text) + 1):
+            for start in range(end - bpe.longest if end > bpe.longest else 0, end):
+                token = rank(text[start:end])
+                if token is not None:
+                    if start:
+                        left = last[start - 1]
+                        fits = known(left << 32 | token)
+                        if fits is None:
+                            fits = bpe.meets(left, token)
+                    else:
+                        fits = bpe.reachable(token)
+                    if fits:
+                        last.append(token)
+                        break
+            else:
+                raise ValueError("the vocabulary lacks a single byte")
 
     def _token_ending_at(self, end: int) -> int:
         text, ranks, last, bpe = self.text, self.bpe.ranks, self.last, self.bpe
