@@ -92,3 +92,22 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents: counts and digest of the base spans, and all spans."""
     return pii_crf.find_spans(table(spark, sf_dir, "documents"))
+
+
+# The digest is the usual CRC-32, whose table of 256 entries follows from its polynomial.
+ORACLES["op8_byte_shards"] = """
+WITH crc_table AS (
+  SELECT list(c ORDER BY n) AS entries FROM (SELECT n, list_reduce(list_concat([n], repeat([0::bigint], 8)),
+    lambda c, ignored: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) AS c FROM (SELECT unnest(range(256)) AS n))),
+sized AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast('0x' || h as bigint))),
+    lambda crc, byte: xor(entries[(xor(crc, byte) & 255) + 1], crc >> 8))) AS text_crc32
+  FROM documents, crc_table),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32 ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM sized),
+sharded AS (SELECT *, least(7, (8 * (2 * before + size)) // (2 * total)) AS shard FROM placed)
+SELECT doc_id, cast(size as bigint) AS size, cast(text_crc32 as bigint) AS text_crc32, 'bytes' AS law, cast(shard as int) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32) - 1 AS slot, cast(null as int) AS grown_shard
+FROM sharded
+"""
