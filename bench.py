@@ -18,6 +18,8 @@ HEADLINE = [
     "score_containers",
     "classify_blocks",
     "page_title",
+    "page_meta",
+    "extract_pages",
     "dedup_documents",
     "dedup_segments",
     "term_counts",
