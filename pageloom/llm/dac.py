@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 from itertools import compress, repeat
 from operator import is_
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -126,9 +127,13 @@ class _Words:
     """Ids of white-space separated words as little-endian 32-bit values."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        # the same vocabulary and merges for words that normalising and cutting would leave as they are
+        self.lean = Tokenizer.from_file(path)
+        self.lean.normalizer = None
+        self.lean.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -139,11 +144,17 @@ class _Words:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def encode(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word; words of letters only share one call, as each of them ends at an id that ends words."""
+        """Ids of each word; lower-case words of letters share one call, as each of them ends at an id that ends words."""
         texts = [w.decode("utf-8", "replace") for w in words]
-        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        plain = [i for i, t in enumerate(texts) if t.isalpha() and t.islower()]
+        letters = [texts[i] for i in plain]
+        if not is_normalized("NFC", " ".join(letters)):
+            plain = [i for i, t in zip(plain, letters) if is_normalized("NFC", t)]
+            letters = [texts[i] for i in plain]
         out: list[bytes | None] = [None] * len(words)
-        ids = np.array(self._ids(" ".join([texts[i] for i in plain])), "<u4") if plain else np.zeros(0, "<u4")
+        ids = np.zeros(0, "<u4")
+        if plain:
+            ids = np.array(self.lean.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
         ends = np.nonzero(self.last[ids])[0] + 1
         if len(ends) == len(plain):
             raw, ends = ids.tobytes(), (4 * ends).tolist()
@@ -167,15 +178,17 @@ class _Words:
                 if core[-1:].isalnum() and b"<|" not in w:
                     marks = w[len(core) :]
                     core = core.lower()
-                else:
-                    core, marks = w, b""
-                cut.append((w, core, marks))
-                for part in (core, marks) if marks else (core,):
-                    if part not in known and part not in new:
-                        new[part] = older.get(part)
+                    if core != w:
+                        cut.append((w, core, marks))
+                        for part in (core, marks) if marks else (core,):
+                            if part not in known and part not in new:
+                                new[part] = older.get(part)
+                        continue
+                new[w] = None
         unknown = [p for p, ids in new.items() if ids is None]
         for at in range(0, len(unknown), 5_000):
             new.update(zip(unknown[at : at + 5_000], self.encode(unknown[at : at + 5_000])))
+        gaps.update((p, new[p]) for p in unknown if p in gaps)
         known.update(new)
         for w, core, marks in cut:
             gaps[w] = known[core] + known[marks] if marks else known[core]
@@ -318,8 +331,10 @@ def read_token_files(spark, folder: str) -> DataFrame:
             def documents(batch=batch):
                 for first, keys, raw in rows(batch, "_start", "keys", "segment"):
                     segment, at = Segment(raw), 0
+                    # all documents of the segment are wanted, so they are one slice
+                    ids = memoryview(segment.tokens(0, segment.n_ids)).cast("B")
                     for key, n in zip(keys, segment.lengths.tolist()):
-                        yield key, first + at, n, zlib.crc32(segment.tokens(at, at + n).tobytes())
+                        yield key, first + at, n, zlib.crc32(ids[4 * at : 4 * (at + n)])
                         at += n
 
             yield from batches(documents(), out)
