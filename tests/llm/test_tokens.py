@@ -13,6 +13,7 @@ from pageloom.llm import byte_bpe, dac
 from pageloom.session import work_path
 from tests.llm.plain import AWKWARD, frame, sha
 
+WORD_TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -110,3 +111,12 @@ def test_token_files_of_no_rows(spark):
     folder = work_path(spark, "tokens")
     dac.write_token_files(frame(spark).limit(0), folder, public_tokenizers.path("word_bpe_49k.json"), 2)
     assert dac.read_token_files(spark, folder).count() == 0
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("aAbBzÉéİıΣσςǅß\u0301\u00adﬁ漢ไ9٣.,!'#<|>_-\u2019"), st.characters(codec="utf-8")), max_size=12), max_size=8))
+def test_words_put_together_have_the_ids_of_the_whole_text(words):
+    text = " ".join(words)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = np.frombuffer(dac._words(path).documents([text.encode()])[0], "<u4").tolist()
+    assert ids == WORD_TOKENIZER.encode(text, add_special_tokens=False).ids
