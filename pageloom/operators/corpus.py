@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import urls
 from pageloom.functions.stopwords import stop_words
 from pageloom.functions.text import rx, sql_list
+from pageloom.session import ensure_checkpoint_dir
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 # Document frequency bounds.
@@ -80,7 +81,9 @@ def tfidf(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         counts=counts,
         docs=docs.select(key),
     )
-    weighted = rows.join(kept, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("_w"))
+    # checkpointed, so the join has plain exchanges on both sides and Spark can split a frequent term's rows
+    ensure_checkpoint_dir(docs.sparkSession)
+    weighted = rows.join(kept.checkpoint(), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("_w") / norm).alias("weight"))
 
