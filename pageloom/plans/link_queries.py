@@ -181,6 +181,49 @@ def q_guess_sitemaps(spark, sf_dir):
     return L.guess_sitemaps(hosts)
 
 
+cte("search_mix", "SELECT url, body FROM sitemap_mix UNION ALL SELECT url, body FROM search_bodies")
+cte(
+    "search_raw",
+    f"""SELECT url, unnest(case when regexp_matches(body, '{L.SITEMAP_START}') then regexp_extract_all(body, '{L.LOC}', 1) else regexp_extract_all(body, '{L.PLAIN_LINK}', 0) end) AS link
+FROM search_mix WHERE {D_SITEMAP}""",
+)
+cte(
+    "search_edges",
+    f"""SELECT DISTINCT url, full_link AS link, case when regexp_matches(full_link, '{L.SITEMAP_NAME}') then 'sitemap' else 'link' end AS state
+FROM (SELECT url, link, {d_clean('r')} AS full_link FROM (SELECT url, link, {d_resolve('b', 'link')} AS r FROM (SELECT url, link, {d_base('url')} AS b FROM search_raw))) WHERE {D_OK}""",
+)
+D_GIVEN = "regexp_matches(start, '(\\.xml|\\.gz|sitemap)$')"
+cte(
+    "search_seeds",
+    f"""SELECT start, base, case when not {D_GIVEN} and length(start) > length(base) + 2 then start end AS pattern, case when {D_GIVEN} then start else base || '/sitemap.xml' end AS url
+FROM (SELECT DISTINCT url AS start, {d_base('url')} AS base FROM search_starts)""",
+)
+cte(
+    "search_robots",
+    f"""SELECT DISTINCT base_url AS base, {d_resolve('base_url', 'v')} AS url FROM (SELECT base_url, lower(trim(regexp_extract(line, '^([^:]*):', 1))) AS k, trim(regexp_extract(line, '^[^:]*:(.*)$', 1)) AS v
+FROM (SELECT base_url, trim(regexp_replace(unnest(regexp_split_to_array(body, '\\r\\n|\\n|\\r')), '#.*$', '')) AS line FROM robots WHERE length(body) <= {L.MAX_ROBOTS})) WHERE k = 'sitemap'""",
+)
+cte(
+    "search_first",
+    """SELECT start, pattern, url FROM search_seeds WHERE url in (SELECT url FROM search_edges)
+UNION SELECT s.start, s.pattern, r.url FROM search_seeds s JOIN search_robots r ON r.base = s.base WHERE s.url not in (SELECT url FROM search_edges)
+UNION SELECT start, pattern, base || '/' || g FROM (SELECT *, unnest(['sitemap.xml.gz', 'sitemap', 'sitemap_index.xml', 'sitemap_news.xml']) AS g FROM search_seeds
+  WHERE url not in (SELECT url FROM search_edges) and base not in (SELECT base FROM search_robots))""",
+)
+cte("recursive_search", "SELECT start, pattern, url FROM search_first UNION SELECT w.start, w.pattern, e.link FROM recursive_search w JOIN search_edges e ON e.url = w.url WHERE e.state = 'sitemap'")
+
+
+@query(
+    "sitemap_search_full",
+    "G12",
+    f"""SELECT start, link FROM (SELECT *, max(hit) OVER (PARTITION BY start) AS any_hit FROM (SELECT DISTINCT w.start, e.link, case when w.pattern is null or contains(e.link, w.pattern) then 1 else 0 end AS hit
+FROM recursive_search w JOIN search_edges e ON e.url = w.url WHERE e.state = 'link') WHERE hit = 1 or regexp_matches(link, '{urls.FEED_PROXY}')) WHERE hit = 1 or any_hit = 0""",
+)
+def q_sitemap_search_full(spark, sf_dir):
+    bodies = sitemap_mix(spark, sf_dir).unionByName(load(spark, sf_dir, "search_bodies"))
+    return L.search_sitemaps(load(spark, sf_dir, "search_starts"), bodies, load(spark, sf_dir, "robots"))
+
+
 # Depth-wise walk; UNION keeps (url, depth) pairs apart, the least depth is taken after.
 cte(
     "recursive_walk",

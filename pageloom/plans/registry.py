@@ -58,5 +58,5 @@ def with_ctes(sql: str) -> str:
     need(sql)
     if not ordered:
         return sql.strip()
-    recursive = "RECURSIVE " if "recursive_walk" in ordered else ""
+    recursive = "RECURSIVE " if any(n.startswith("recursive_") for n in ordered) else ""
     return f"WITH {recursive}" + ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in ordered) + "\n" + sql.strip()

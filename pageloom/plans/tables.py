@@ -178,6 +178,22 @@ derive(
       end""",
 )
 
+# Starts of a sitemap search: a home page, a sitemap, a page below a host with a robots file, a host without anything.
+derive(
+    "search_starts",
+    "pages",
+    url=f"""case page_id % 4 when 0 then concat('https://s', {PID}, '.example.org') when 1 then concat('https://s', cast(page_id - 1 as string), '.example.org/child.xml')
+      when 2 then concat('https://h', {PID}, '.example.org/a') else concat('https://g', {PID}, '.example.org/') end""",
+)
+# Sitemaps that only a robots file names, or that lie in one of the usual places.
+derive(
+    "search_bodies",
+    "pages",
+    where="page_id % 4 >= 2",
+    url=f"case page_id % 4 when 2 then concat('https://h', {PID}, '.example.org/sitemap-', {PID}, '.xml') else concat('https://g', {PID}, '.example.org/sitemap_index.xml') end",
+    body=f"""concat('<urlset><url><loc>https://', case page_id % 4 when 2 then 'h' else 'g' end, {PID}, '.example.org/a/', {PID}, '</loc></url><url><loc>https://',
+      case page_id % 4 when 2 then 'h' else 'g' end, {PID}, '.example.org/b/', {PID}, '</loc></url></urlset>')""",
+)
 # Step log: one INIT and one outcome per event.
 derive(
     "step_outcomes",
