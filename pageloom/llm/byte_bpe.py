@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import batches, rows, text_bytes
+from pageloom.llm.words import batches, rows, take_turn, text_bytes
 
 #: Pieces of one generation that a worker remembers with their ids; it keeps two generations at most.
 REMEMBERED = 300_000
@@ -203,6 +203,7 @@ _codecs: dict[tuple[str, str], TextCodec] = {}
 
 def codec(ranks_path: str, pattern: str) -> TextCodec:
     """The codec of a rank file (base64 bytes and rank per line); one per Python worker."""
+    take_turn(_codecs.clear)
     key = (ranks_path, pattern)
     if key not in _codecs:
         with open(ranks_path, "rb") as lines:

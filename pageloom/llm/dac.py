@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from pageloom.llm.words import batches, rows, text_bytes
+from pageloom.llm.words import batches, rows, take_turn, text_bytes
 
 MAGIC = b"DAC1"
 CHUNK = 8
@@ -215,6 +215,7 @@ _known: dict[str, _Words] = {}
 
 
 def _words(path: str) -> _Words:
+    take_turn(_known.clear)
     if path not in _known:
         _known[path] = _Words(path)
     return _known[path]

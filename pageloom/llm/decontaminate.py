@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import batches, rows, shingle_hashes, text_bytes, word_hashes
+from pageloom.llm.words import batches, rows, shingle_hashes, take_turn, text_bytes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -199,6 +199,7 @@ _index: dict[tuple, ItemIndex] = {}
 
 def _index_of(block, *rule) -> ItemIndex:
     """The index of a broadcast block; a worker keeps the last one."""
+    take_turn(_index.clear)
     key = (block.id, *rule) if hasattr(block, "id") else (id(block), *rule)
     if key not in _index:
         _index.clear()
@@ -247,5 +248,6 @@ def _keeper(block, text_col: str, k: int, threshold: float, recall: float):
             texts = batch.column(batch.schema.names.index(text_col))
             clean = [not index.search((text.as_py() or "").encode("utf-8", "surrogatepass")) for text in texts]
             yield batch.filter(pa.array(clean, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return run

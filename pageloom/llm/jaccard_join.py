@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.llm.graph import components
-from pageloom.llm.words import batches, combine, rows, shingle_hashes, text_bytes, word_hashes
+from pageloom.llm.words import batches, combine, rows, shingle_hashes, take_turn, text_bytes, word_hashes
 from pageloom.session import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -78,6 +78,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, n_bands: int
     )
 
     def run(parts):
+        take_turn()
         signer = Signer(n_bands, n_rows)
         for batch in parts:
             out = pa.schema(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import batches, rows, text_bytes
+from pageloom.llm.words import batches, rows, take_turn, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -426,6 +426,7 @@ def mask(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_ch
     names = docs.columns
 
     def run(parts):
+        take_turn()
         for batch in parts:
             column = batch.column(names.index(text_col))
             new: list[str | None] = [None] * batch.num_rows
@@ -433,6 +434,7 @@ def mask(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_ch
                 for (i, text), (_, spans) in zip(group, all_spans([t for _, t in group])):
                     new[i] = masked(text, spans) if spans else text
             yield batch.set_column(names.index(text_col), text_col, pa.array(new, column.type))
+        pa.default_memory_pool().release_unused()
 
     changed = docs.mapInArrow(run, docs.schema)
     if length_col in names:

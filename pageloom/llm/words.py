@@ -6,7 +6,7 @@ those six bytes, so texts travel as binary columns and are never decoded just to
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,20 @@ MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+_in_turn: Callable[[], None] | None = None
+
+
+def take_turn(drop: Callable[[], None] | None = None) -> None:
+    """Say that this worker now works for the operator whose store ``drop`` empties; the one before loses its store.
+
+    Workers outlive queries, so a pipeline's workers would otherwise end up with the stores of all its operators.
+    """
+    global _in_turn
+    if _in_turn is not None and _in_turn != drop:
+        _in_turn()
+    _in_turn = drop
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values."""
     x = (x ^ (x >> np.uint64(32))) * MIX_A
@@ -77,6 +91,7 @@ def batches(records: Iterable[tuple], schema: pa.Schema, size: int = 4000, weigh
             held, heavy = [], 0
     if held:
         yield _batch(held, schema)
+    pa.default_memory_pool().release_unused()
 
 
 def _batch(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
