@@ -12,12 +12,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.llm.graph import components
-from pageloom.llm.words import batches, combine, rows, shingle_hashes, take_turn, text_bytes, word_hashes
+from pageloom.llm.words import batches, combine, packed, rows, shingle_hashes, take_turn, text_bytes, word_hashes
 from pageloom.session import ensure_checkpoint_dir
 
 SHINGLE = 5
@@ -205,14 +206,15 @@ def _with_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, k
     """The n-gram sets (sorted 64-bit names) of the chosen nodes, each taken from its representative document."""
     slim = docs.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("_raw"))
     slim = slim.withColumn("node", F.unhex(F.md5("_raw")))
-    picked = slim.join(chosen.withColumnRenamed("node", "_n").withColumnRenamed("first_doc", "_d"), (F.col("node") == F.col("_n")) & F.col("doc").eqNullSafe(F.col("_d")))
+    picked = packed(slim, "_raw").join(chosen.withColumnRenamed("node", "_n").withColumnRenamed("first_doc", "_d"), (F.col("node") == F.col("_n")) & F.col("doc").eqNullSafe(F.col("_d")))
     schema = T.StructType([T.StructField("node", T.BinaryType(), False), T.StructField("shingles", T.BinaryType(), False)])
 
     def run(parts):
         out = pa.schema([pa.field("node", pa.binary(), False), pa.field("shingles", pa.binary(), False)])
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in parts:
             yield from batches(
-                ((node, np.unique(shingle_hashes(word_hashes(raw.split()), k)).tobytes()) for node, raw in rows(batch, "node", "_raw")), out
+                ((node, np.unique(shingle_hashes(word_hashes(unpack(raw).split()), k)).tobytes()) for node, raw in rows(batch, "node", "_raw")), out
             )
 
     return picked.select("node", "_raw").mapInArrow(run, schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import batches, combine, drop_folder, mix, rows, text_bytes, word_hashes
+from pageloom.llm.words import batches, combine, drop_folder, mix, packed, rows, text_bytes, word_hashes
 from pageloom.session import ensure_checkpoint_dir, work_path
 
 WINDOW = 35
@@ -301,21 +301,10 @@ def _finished(raw: bytes, runs: list[tuple[int, int]], window: int, digest: bool
     return len(words), len(words) - len(left), _kept(left, digest)
 
 
-def _packed(slim: DataFrame) -> DataFrame:
-    """The texts compressed one by one, as they are about to be shuffled."""
-    def run(found):
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in found:
-            at = batch.schema.names.index("_raw")
-            yield batch.set_column(at, "_raw", pa.array([pack(t.as_py()) for t in batch.column(at)], pa.binary()))
-
-    return slim.mapInArrow(run, slim.schema)
-
-
 def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> DataFrame:
     """Texts without windows to compare are finished here; the others wait with their runs and those windows."""
     listed = listed.withColumnsRenamed({"doc": "_d", "_th": "_t"})
-    joined = _packed(slim).join(listed, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("doc", "_th", "_raw", "runs")
+    joined = packed(slim, "_raw").join(listed, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("doc", "_th", "_raw", "runs")
     run_type = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("number", T.IntegerType())]))
     schema = T.StructType(
         [slim.schema["doc"], T.StructField("_th", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
@@ -351,10 +340,10 @@ def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> Data
             )
 
             def records(batch=batch):
-                for doc, th, packed, runs in rows(batch, "doc", "_th", "_raw", "runs"):
-                    raw = unpack(packed)
+                for doc, th, parcel, runs in rows(batch, "doc", "_th", "_raw", "runs"):
+                    raw = unpack(parcel)
                     if any(r["opened"] for r in runs or ()):
-                        yield doc, th, None, None, None, packed, *opened(raw, runs)
+                        yield doc, th, None, None, None, parcel, *opened(raw, runs)
                     else:
                         yield doc, th, *_finished(raw, [(r["pos"], r["n"]) for r in runs or ()], window, digest), None, None, None, None, None, None
 
@@ -374,9 +363,9 @@ def _close(both: DataFrame, window: int, digest: bool) -> DataFrame:
             out = pa.schema([batch.schema.field("doc"), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("kept", pa.string())])
 
             def records(batch=batch):
-                for doc, packed, runs, hits in rows(batch, "doc", "text", "runs", "hits"):
+                for doc, parcel, runs, hits in rows(batch, "doc", "text", "runs", "hits"):
                     found = [(r["pos"], r["number"]) for r in runs] + [(at, 1) for at in hits or ()]
-                    yield doc, *_finished(unpack(packed), found, window, digest)
+                    yield doc, *_finished(unpack(parcel), found, window, digest)
 
             yield from batches(records(), out)
 

@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -79,6 +80,17 @@ def rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
         yield tuple(c[i].as_py() for c in columns)
 
 
+def packed(frame: DataFrame, column: str) -> DataFrame:
+    """The frame with the bytes of ``column`` compressed one by one, as it is about to be shuffled."""
+    def run(found):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in found:
+            at = batch.schema.names.index(column)
+            yield batch.set_column(at, column, pa.array([pack(t.as_py()) for t in batch.column(at)], pa.binary()))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
 def batches(records: Iterable[tuple], schema: pa.Schema, size: int = 4000, weight: int = 32 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches of at most ``size`` rows, cut earlier once their byte and list values pass ``weight``."""
     held: list[tuple] = []
