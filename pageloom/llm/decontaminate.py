@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.llm.words import batches, rows, shingle_hashes, take_turn, text_bytes, word_hashes
+from pageloom.llm.words import Shared, batches, rows, shingle_hashes, take_turn, text_bytes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -188,7 +188,7 @@ def find_items(
     )
     found = None
     for block in item_blocks(items, item_col, item_text_col):
-        part = slim.mapInArrow(_finder(docs.sparkSession.sparkContext.broadcast(block), k, threshold, recall, item_type), schema)
+        part = slim.mapInArrow(_finder(Shared(docs.sparkSession, block), k, threshold, recall, item_type), schema)
         found = part if found is None else found.unionAll(part)
     result = found if found is not None else docs.sparkSession.createDataFrame([], schema)
     return result.withColumnsRenamed({"doc": id_col, "item": item_col if item_col != id_col else f"item_{item_col}"})
@@ -200,7 +200,7 @@ _index: dict[tuple, ItemIndex] = {}
 def _index_of(block, *rule) -> ItemIndex:
     """The index of a broadcast block; a worker keeps the last one."""
     take_turn(_index.clear)
-    key = (block.id, *rule) if hasattr(block, "id") else (id(block), *rule)
+    key = (block.name, *rule)
     if key not in _index:
         _index.clear()
         _index[key] = ItemIndex(block.value, *rule)
@@ -237,7 +237,7 @@ def drop_contaminated(
     """The rows of ``docs``, all columns as they are, whose text contains no item; same rules as ``find_items``."""
     kept = docs
     for block in item_blocks(items, item_col, item_text_col):
-        kept = kept.mapInArrow(_keeper(docs.sparkSession.sparkContext.broadcast(block), text_col, k, threshold, recall), docs.schema)
+        kept = kept.mapInArrow(_keeper(Shared(docs.sparkSession, block), text_col, k, threshold, recall), docs.schema)
     return kept
 
 

@@ -6,6 +6,7 @@ those six bytes, so texts travel as binary columns and are never decoded just to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -20,6 +21,17 @@ MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+class Shared:
+    """A broadcast value with a name of its own, by which workers know what they have built from it."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self.name, self._broadcast = uuid.uuid4().hex, spark.sparkContext.broadcast(value)
+
+    @property
+    def value(self):
+        return self._broadcast.value
+
+
 _in_turn: Callable[[], None] | None = None
 
 
