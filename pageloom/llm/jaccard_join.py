@@ -223,12 +223,14 @@ def _with_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, k
 def similarity_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL
 ) -> DataFrame:
-    """One row per row of ``docs``: ``(id, class_id, n_links, n_text_links, n_copies, node)``.
+    """One row per row of ``docs``: ``(id, class_id, n_links, n_text_links, n_copies, node, class_node)``.
 
     Two texts are linked if the Jaccard similarity of their sets of ``k``-word runs is at least ``threshold``; a text
     of fewer words counts as one run. ``class_id`` is the least id of all documents connected by links or equal texts.
     ``n_copies`` counts the documents with the same text, ``n_text_links`` the different texts linked with it,
-    ``n_links`` the other documents linked with it, copies included. ``node`` is the text's digest.
+    ``n_links`` the other documents linked with it, copies included. ``node`` is the text's digest, ``class_node`` the
+    least of the class: it names the class where ids are null or stand on texts of several classes, which then have
+    the same ``class_id``. It is null for texts without runs.
 
     Null, empty and blank texts have no runs: each is a class of its own with no link and one copy. Repeated rows are
     copies of each other; null ids are the least id only where no other is in the class. Other columns are not read.
@@ -261,26 +263,28 @@ def similarity_classes(
     known = linked.join(least, group == F.col("group")).select(
         "node",
         "class_id",
+        F.col("group").alias("class_node"),
         F.col("copies").alias("n_copies"),
         F.coalesce("n_text_links", F.lit(0)).alias("n_text_links"),
         (F.coalesce("weighted", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     with_class = worded.select("doc", "node").join(known, "node")
     wordless = signed.where("n_shingles = 0").select(
-        "doc", "node", F.col("doc").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_text_links"), F.lit(0).cast("long").alias("n_links")
+        "doc", "node", F.col("doc").alias("class_id"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_text_links"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("binary").alias("class_node")
     )
-    columns = ["doc", "class_id", "n_links", "n_text_links", "n_copies", "node"]
+    columns = ["doc", "class_id", "n_links", "n_text_links", "n_copies", "node", "class_node"]
     return with_class.select(columns).unionAll(wordless.select(columns)).withColumnRenamed("doc", id_col)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
     """The rows of ``docs`` without those that are like another: of each class the text with the least id stays.
 
-    Wordless texts all stay. Of repeated rows with the same id and text one stays. Columns are unchanged.
+    Wordless texts all stay. Of repeated rows with the same id and text one stays. Null ids come last, and of several
+    texts with the least id the one with the least digest stays. Columns are unchanged.
     """
     found = similarity_classes(docs, id_col, text_col, **rule)
-    class_rows = found.select(F.col("class_id").alias("_class"), F.col(id_col).alias("_doc"), F.col("node").alias("_node"))
-    kept = class_rows.where(F.col("_doc").eqNullSafe(F.col("_class"))).groupBy("_class").agg(F.min("_node").alias("_node"))
+    class_rows = found.where("class_node is not null").select("class_node", F.col("class_id").alias("_class"), F.col(id_col).alias("_doc"), F.col("node").alias("_node"))
+    kept = class_rows.where(F.col("_doc").eqNullSafe(F.col("_class"))).groupBy("class_node", "_class").agg(F.min("_node").alias("_node")).drop("class_node")
     keyed = docs.withColumn("_blank", ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     keyed = keyed.withColumn("_text_node", F.unhex(F.md5(text_bytes(text_col))))
     match = (F.col(id_col).eqNullSafe(F.col("_class"))) & (F.col("_text_node") == F.col("_node"))

@@ -50,8 +50,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate classes of all documents: doc_id, class_id, n_links, n_text_links, n_copies."""
-    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents")).drop("node")
+    """Near-duplicate classes of all documents: doc_id, class_id, n_links, n_text_links, n_copies, class_node (hex)."""
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents")).drop("node").withColumn("class_node", F.hex("class_node"))
 
 
 @query

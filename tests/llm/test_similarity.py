@@ -103,6 +103,22 @@ def test_one_of_each_class_stays(spark):
     assert len([t for t in texts if not shingles(t)]) == 3
 
 
+def test_classes_with_the_same_least_id_each_keep_one(spark):
+    """Null ids and one id on unrelated texts: the class is known by its texts, not by its least id."""
+    prose = {name: " ".join(f"{name}{i}" for i in range(60)) for name in "abcdef"}
+    rows = [(5, prose["a"]), (5, prose["b"]), (9, prose["b"] + " more"), (None, prose["c"]), (None, prose["d"]), (None, prose["d"] + " more")]
+    rows += [(None, prose["e"]), (7, prose["e"] + " more"), (None, prose["f"]), (None, prose["f"]), (5, None), (None, "")]
+    docs = frame(spark, [(*r, None, None) for r in rows])
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs).collect()]
+    either = [r for r in kept if r[0] is None and (r[1] or "").startswith("d0 ")]
+    assert len(either) == 1
+    assert by_id(set(kept) - set(either)) == by_id([rows[i] for i in (0, 1, 3, 7, 8, 10, 11)])
+    assert len(kept) == 8
+    found = jaccard_join.similarity_classes(docs).where("class_node is not null").collect()
+    assert by_id((r.doc_id, r.class_id) for r in found) == by_id((i, c) for (i, _), c in zip(rows, [5, 5, 5, None, None, None, 7, 7, None, None]))
+    assert len({r.class_node for r in found}) == 6
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.95):
         n_bands, n_rows = jaccard_join.bands(threshold, 0.9999)
