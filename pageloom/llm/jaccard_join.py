@@ -202,11 +202,13 @@ def _verifier(k: int, threshold: float):
     return run
 
 
-def _with_sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """The n-gram sets (sorted 64-bit names) of the chosen nodes, each taken from its representative document."""
-    slim = docs.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("_raw"))
+def _with_sets(docs: DataFrame, chosen: DataFrame, text_col: str, k: int) -> DataFrame:
+    """The n-gram sets (sorted 64-bit names) of the chosen nodes, one row each however many documents have the text."""
+    slim = docs.select(text_bytes(text_col).alias("_raw"))
     slim = slim.withColumn("node", F.unhex(F.md5("_raw")))
-    picked = packed(slim, "_raw").join(chosen.withColumnRenamed("node", "_n").withColumnRenamed("first_doc", "_d"), (F.col("node") == F.col("_n")) & F.col("doc").eqNullSafe(F.col("_d")))
+    # copies are combined before the shuffle, so a text leaves each task once
+    texts = packed(slim, "_raw").groupBy("node").agg(F.first("_raw").alias("_raw"))
+    picked = texts.join(chosen.select("node"), "node", "left_semi")
     schema = T.StructType([T.StructField("node", T.BinaryType(), False), T.StructField("shingles", T.BinaryType(), False)])
 
     def run(parts):
@@ -246,8 +248,7 @@ def similarity_classes(
     )
     placed = candidate_groups(nodes)
     spread = _spread(placed, nodes).checkpoint()
-    chosen = spread.select("node").distinct().join(nodes.select("node", "first_doc"), "node")
-    sets = _with_sets(docs, chosen, id_col, text_col, k)
+    sets = _with_sets(docs, spread.select("node").distinct(), text_col, k)
     verified = (
         spread.join(sets, "node")
         .groupBy("root", "i", "j")

@@ -119,6 +119,17 @@ def test_classes_with_the_same_least_id_each_keep_one(spark):
     assert len({r.class_node for r in found}) == 6
 
 
+def test_a_repeated_text_is_compared_once(spark, monkeypatch):
+    """Repeated rows, and copies with null ids, send one n-gram set to their group."""
+    sent, with_sets = [], jaccard_join._with_sets
+    monkeypatch.setattr(jaccard_join, "_with_sets", lambda *args: sent.append(with_sets(*args)) or sent[-1])
+    base = " ".join(f"r{i}" for i in range(60))
+    rows = [(1, base)] * 6 + [(None, base + " more")] * 6 + [(2, base + " other")]
+    got = jaccard_join.similarity_classes(frame(spark, [(*r, None, None) for r in rows])).select("doc_id", "class_id", "n_links", "n_text_links").collect()
+    assert by_id(got) == by_id(classes(rows))
+    assert sent[0].count() == 3
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.95):
         n_bands, n_rows = jaccard_join.bands(threshold, 0.9999)
