@@ -245,7 +245,7 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bo
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     slim = docs.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("_raw"))
-    slim = slim.withColumn("_th", F.hash("_raw"))
+    slim = slim.withColumn("_th", F.unhex(F.md5("_raw")))
     anchors_at, shared_at, opened_at = (work_path(spark, name) for name in ("anchors", "shared-anchors", "passages"))
     _anchors(slim, window).write.option("compression", "zstd").parquet(anchors_at)
     anchors = spark.read.parquet(anchors_at)
@@ -307,7 +307,7 @@ def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> Data
     joined = packed(slim, "_raw").join(listed, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("doc", "_th", "_raw", "runs")
     run_type = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("number", T.IntegerType())]))
     schema = T.StructType(
-        [slim.schema["doc"], T.StructField("_th", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+        [slim.schema["doc"], T.StructField("_th", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
         + [T.StructField("kept", T.StringType()), T.StructField("text", T.BinaryType()), T.StructField("runs", run_type)]
         + [T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("twice", T.ArrayType(T.BooleanType()))]
         + [T.StructField(lane, T.ArrayType(T.LongType())) for lane in ("a", "b")]
@@ -333,7 +333,7 @@ def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> Data
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in found:
             out = pa.schema(
-                [batch.schema.field("doc"), pa.field("_th", pa.int32()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64())]
+                [batch.schema.field("doc"), pa.field("_th", pa.binary()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64())]
                 + [pa.field("kept", pa.string()), pa.field("text", pa.binary()), pa.field("runs", pa.list_(pa.struct([("pos", pa.int32()), ("number", pa.int32())])))]
                 + [pa.field("at", pa.list_(pa.int32())), pa.field("twice", pa.list_(pa.bool_()))]
                 + [pa.field(lane, pa.list_(pa.int64())) for lane in ("a", "b")]

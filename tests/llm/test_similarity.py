@@ -18,6 +18,17 @@ def test_repeats_of_awkward_rows(spark):
     assert by_id(substring_dedup.repeat_digests(frame(spark)).collect()) == by_id(digests)
 
 
+@pytest.mark.parametrize("key", [None, 5])
+def test_texts_of_one_id_with_equal_short_hashes_keep_apart(spark, key):
+    """Texts whose 32-bit hashes are equal: 1217 and 204328, 14813 and 65572."""
+    other = " ".join(f"other{i}" for i in range(50))
+    texts = [f"{PASSAGE} 1217", f"{other} 204328", f"{PASSAGE} 14813", "short 65572"]
+    docs = frame(spark, [(key, t, None, None) for t in texts])
+    assert docs.selectExpr("hash(cast(text as binary))").distinct().count() == 2
+    got = substring_dedup.remove_repeats(docs).collect()
+    assert by_id(got) == by_id((key, *w) for w in without_repeats(texts, 35))
+
+
 def test_repeats_of_no_rows(spark):
     assert substring_dedup.repeat_digests(frame(spark).limit(0)).count() == 0
 
