@@ -188,18 +188,18 @@ def _parts(texts: Iterator[tuple[int, list[bytes]]], window: int) -> Iterator[tu
 
 
 def _anchors(slim: DataFrame, window: int) -> DataFrame:
-    """One row per run of windows: doc, digest of the text, first word, number of windows, symbol, context."""
+    """One row per run of windows: digest of the text, first word, number of windows, symbol, context."""
     schema = T.StructType(
-        [slim.schema["doc"], slim.schema["_th"]]
+        [slim.schema["_th"]]
         + [T.StructField(n, T.IntegerType(), False) for n in ("pos", "n")]
         + [T.StructField(n, T.LongType(), False) for n in ("name", "context")]
     )
 
     def run(found):
         for batch in found:
-            doc, digest, raw = (batch.column(c) for c in ("doc", "_th", "_raw"))
+            digest, raw = (batch.column(c) for c in ("_th", "_raw"))
             out = pa.schema(
-                [pa.field("doc", doc.type), pa.field("_th", digest.type)]
+                [pa.field("_th", digest.type)]
                 + [pa.field(n, pa.int32(), False) for n in ("pos", "n")]
                 + [pa.field(n, pa.int64(), False) for n in ("name", "context")]
             )
@@ -210,7 +210,7 @@ def _anchors(slim: DataFrame, window: int) -> DataFrame:
                 row = pa.array(places[text, 0])
                 pos = pos + places[text, 1]
                 yield pa.RecordBatch.from_arrays(
-                    [doc.take(row), digest.take(row), pa.array(pos, pa.int32()), pa.array(number, pa.int32())]
+                    [digest.take(row), pa.array(pos, pa.int32()), pa.array(number, pa.int32())]
                     + [pa.array(name.view(np.int64)), pa.array(context.view(np.int64))],
                     schema=out,
                 )
@@ -244,8 +244,7 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bool) -> DataFrame:
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    slim = docs.select(F.col(id_col).alias("doc"), text_bytes(text_col).alias("_raw"))
-    slim = slim.withColumn("_th", F.unhex(F.md5("_raw")))
+    slim = docs.select(text_bytes(text_col).alias("_raw")).withColumn("_th", F.unhex(F.md5("_raw")))
     anchors_at, shared_at, opened_at = (work_path(spark, name) for name in ("anchors", "shared-anchors", "passages"))
     _anchors(slim, window).write.option("compression", "zstd").parquet(anchors_at)
     anchors = spark.read.parquet(anchors_at)
@@ -260,30 +259,31 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, window: int, digest: bo
     # a symbol with one context repeats as it is; of mixed ones each context that occurs twice does, and the windows
     # of one sample per context are compared with those of the other contexts
     mixed = shared.where("mixed")
-    contexts = mixed.groupBy("name", "context").agg(F.count("*").alias("times"), F.min(F.struct("doc", "_th", "pos")).alias("sample"))
+    contexts = mixed.groupBy("name", "context").agg(F.count("*").alias("times"), F.min(F.struct("_th", "pos")).alias("sample"))
     judged = mixed.join(contexts, ["name", "context"]).select(
-        "doc", "_th", "pos", "n", (F.col("times") > 1).alias("whole"), F.struct("doc", "_th", "pos").eqNullSafe(F.col("sample")).alias("opened")
-    )
-    simple = shared.where("not mixed").select("doc", "_th", "pos", "n", F.lit(True).alias("whole"), F.lit(False).alias("opened"))
-    listed = (
-        judged.where("whole or opened").unionAll(simple).groupBy("doc", "_th").agg(F.collect_list(F.struct("pos", "n", "whole", "opened")).alias("runs"))
+        "_th", "pos", "n", (F.col("times") > 1).alias("whole"), (F.struct("_th", "pos") == F.col("sample")).alias("opened")
     )
+    simple = shared.where("not mixed").select("_th", "pos", "n", F.lit(True).alias("whole"), F.lit(False).alias("opened"))
+    # copies of a text have the same runs: each counts above, one list stands for all of them from here
+    listed = judged.where("whole or opened").unionAll(simple).groupBy("_th").agg(F.collect_set(F.struct("pos", "n", "whole", "opened")).alias("runs"))
     _open(slim, listed, window, digest).write.option("compression", "zstd").parquet(opened_at)
     drop_folder(spark, shared_at)
     opened = spark.read.parquet(opened_at)
     waiting = opened.where("n_removed is null")
 
     # equal first digests first, which leaves few rows, then both
-    windows = waiting.select("doc", "_th", F.explode(F.arrays_zip("at", "twice", "a", "b")).alias("w")).select("doc", "_th", "w.*")
+    windows = waiting.select("_th", F.explode(F.arrays_zip("at", "twice", "a", "b")).alias("w")).select("_th", "w.*")
     alike = windows.groupBy("a").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("times")).where("times > 1").select("a")
     likely = windows.join(alike, "a", "left_semi").checkpoint()
     again = likely.groupBy("a", "b").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("times")).where("times > 1").select("a", "b")
-    single = likely.where("not twice").join(again, ["a", "b"], "left_semi").groupBy("doc", "_th").agg(F.collect_set("at").alias("hits"))
-    texts = waiting.select("doc", "_th", "runs", "text")
-    both = texts.join(single.withColumnsRenamed({"doc": "_d", "_th": "_t"}), F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
-    done = _close(both.select("doc", "text", "runs", "hits"), window, digest)
-    finished = opened.where("n_removed is not null").select("doc", "n_words", "n_removed", "kept")
-    return finished.unionAll(done).withColumnsRenamed({"doc": id_col, "kept": "kept_sha256" if digest else "kept"})
+    single = likely.where("not twice").join(again, ["a", "b"], "left_semi").groupBy("_th").agg(F.collect_set("at").alias("hits"))
+    both = waiting.select("_th", "runs", "text").join(single, "_th", "left")
+    done = _close(both.select("_th", "text", "runs", "hits"), window, digest)
+    finished = opened.where("n_removed is not null").select("_th", "n_words", "n_removed", "kept").unionAll(done)
+    # every row takes what its text came to; plain exchanges on both sides, so Spark can split the rows of a frequent text
+    keyed = docs.select(F.col(id_col).alias("doc"), F.unhex(F.md5(text_bytes(text_col))).alias("_th"))
+    rowwise = keyed.join(finished, "_th").select("doc", "n_words", "n_removed", "kept")
+    return rowwise.withColumnsRenamed({"doc": id_col, "kept": "kept_sha256" if digest else "kept"})
 
 
 def _kept(words: list[bytes], digest: bool) -> str:
@@ -302,12 +302,13 @@ def _finished(raw: bytes, runs: list[tuple[int, int]], window: int, digest: bool
 
 
 def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> DataFrame:
-    """Texts without windows to compare are finished here; the others wait with their runs and those windows."""
-    listed = listed.withColumnsRenamed({"doc": "_d", "_th": "_t"})
-    joined = packed(slim, "_raw").join(listed, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("doc", "_th", "_raw", "runs")
+    """Different texts without windows to compare are finished here; the others wait with their runs and those windows."""
+    # copies are combined before the shuffle, so a text leaves each task once
+    texts = packed(slim, "_raw").groupBy("_th").agg(F.first("_raw").alias("_raw"))
+    joined = texts.join(listed, "_th", "left").select("_th", "_raw", "runs")
     run_type = T.ArrayType(T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("number", T.IntegerType())]))
     schema = T.StructType(
-        [slim.schema["doc"], T.StructField("_th", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+        [T.StructField("_th", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
         + [T.StructField("kept", T.StringType()), T.StructField("text", T.BinaryType()), T.StructField("runs", run_type)]
         + [T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("twice", T.ArrayType(T.BooleanType()))]
         + [T.StructField(lane, T.ArrayType(T.LongType())) for lane in ("a", "b")]
@@ -333,19 +334,19 @@ def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> Data
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in found:
             out = pa.schema(
-                [batch.schema.field("doc"), pa.field("_th", pa.binary()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64())]
+                [pa.field("_th", pa.binary()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64())]
                 + [pa.field("kept", pa.string()), pa.field("text", pa.binary()), pa.field("runs", pa.list_(pa.struct([("pos", pa.int32()), ("number", pa.int32())])))]
                 + [pa.field("at", pa.list_(pa.int32())), pa.field("twice", pa.list_(pa.bool_()))]
                 + [pa.field(lane, pa.list_(pa.int64())) for lane in ("a", "b")]
             )
 
             def records(batch=batch):
-                for doc, th, parcel, runs in rows(batch, "doc", "_th", "_raw", "runs"):
+                for th, parcel, runs in rows(batch, "_th", "_raw", "runs"):
                     raw = unpack(parcel)
                     if any(r["opened"] for r in runs or ()):
-                        yield doc, th, None, None, None, parcel, *opened(raw, runs)
+                        yield th, None, None, None, parcel, *opened(raw, runs)
                     else:
-                        yield doc, th, *_finished(raw, [(r["pos"], r["n"]) for r in runs or ()], window, digest), None, None, None, None, None, None
+                        yield th, *_finished(raw, [(r["pos"], r["n"]) for r in runs or ()], window, digest), None, None, None, None, None, None
 
             yield from batches(records(), out)
 
@@ -354,18 +355,18 @@ def _open(slim: DataFrame, listed: DataFrame, window: int, digest: bool) -> Data
 
 def _close(both: DataFrame, window: int, digest: bool) -> DataFrame:
     schema = T.StructType(
-        [both.schema["doc"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
+        [T.StructField("_th", T.BinaryType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     )
 
     def run(found):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in found:
-            out = pa.schema([batch.schema.field("doc"), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("kept", pa.string())])
+            out = pa.schema([pa.field("_th", pa.binary()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("kept", pa.string())])
 
             def records(batch=batch):
-                for doc, parcel, runs, hits in rows(batch, "doc", "text", "runs", "hits"):
+                for th, parcel, runs, hits in rows(batch, "_th", "text", "runs", "hits"):
                     found = [(r["pos"], r["number"]) for r in runs] + [(at, 1) for at in hits or ()]
-                    yield doc, *_finished(unpack(parcel), found, window, digest)
+                    yield th, *_finished(unpack(parcel), found, window, digest)
 
             yield from batches(records(), out)
 

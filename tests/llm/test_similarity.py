@@ -29,6 +29,18 @@ def test_texts_of_one_id_with_equal_short_hashes_keep_apart(spark, key):
     assert by_id(got) == by_id((key, *w) for w in without_repeats(texts, 35))
 
 
+def test_repeated_rows_are_judged_once(spark, monkeypatch):
+    """Copies of a text with one id, or with null ids, share one list of runs, whatever their number."""
+    lists, opening = [], substring_dedup._open
+    monkeypatch.setattr(substring_dedup, "_open", lambda slim, listed, *args: lists.append(listed.collect()) or opening(slim, listed, *args))
+    edit = PASSAGE.replace("passage40 ", "edit ")
+    rows = [(1, PASSAGE)] * 6 + [(None, f"before {PASSAGE} after")] * 5 + [(2, edit), (3, "ok"), (3, "ok"), (None, None)]
+    got = substring_dedup.remove_repeats(frame(spark, [(*r, None, None) for r in rows])).collect()
+    assert by_id(got) == by_id((key, *w) for (key, _), w in zip(rows, without_repeats([t for _, t in rows], 35)))
+    runs = [[r.pos for r in row.runs] for row in lists[0]]
+    assert len(runs) <= 3 and all(len(at) == len(set(at)) for at in runs)
+
+
 def test_repeats_of_no_rows(spark):
     assert substring_dedup.repeat_digests(frame(spark).limit(0)).count() == 0
 
