@@ -239,6 +239,14 @@ def test_held_out_accuracy(spark):
     assert toxicity.score(frame(spark).limit(0), network).count() == 0
 
 
+def test_few_labels_reject_no_document(spark):
+    """Three toxic labels and a clean one fit no network; their share alone must not decide."""
+    docs = frame(spark, [(i, f"text number {i}", None, None) for i in range(6)] + [(6, "", None, None), (7, None, None, None)])
+    network = toxicity.fit(docs, spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 0)], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(docs, network).collect()} == {0}
+    assert toxicity.drop_toxic(docs, network).count() == 8
+
+
 def test_one_class_alone_gives_its_share(spark):
     docs = frame(spark)
     for label, want in ((0, 0.0), (1, 0.0)):
