@@ -38,6 +38,9 @@ TRACKED = {
     "figure": ("figure",),
 }
 
+#: Stored bytes of pages for one partition.
+PART_BYTES = 16 << 20
+
 COMMENT = r"(?s)<!--.*?(?:-->|\z)|<\?.*?(?:>|\z)"
 SCRIPT = r"(?is)<script(?:\s[^>]*)?>.*?(?:</script\s*>|\z)|<style(?:\s[^>]*)?>.*?(?:</style\s*>|\z)"
 BLOCK_TAG = r"(?i)<(/?(?:" + "|".join(CONTAINERS + LEAVES) + r")(?:\s[^>]*|/)?>)"
@@ -68,14 +71,21 @@ def sql_strip_noise(html: str) -> str:
     return f"regexp_replace({plain}, {rx(SCRIPT)}, '')"
 
 
-def by_page(pages: DataFrame) -> DataFrame:
+def page_parts(pages: DataFrame) -> int:
+    """Partitions for the exchange of pages: the session's, or more if the optimizer's size of the input asks for it."""
+    size = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    known = size if size < 1 << 60 else 0  # an unknown size is given as a huge one
+    return max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // PART_BYTES))
+
+
+def by_page(pages: DataFrame, *names: str) -> DataFrame:
     """The one exchange of the page operators: raw rows hashed on the page key.
 
     The partition count is given, because runtime coalescing would size partitions by the
     raw bytes, while the work and the rows grow many times in the explode that follows.
     """
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return pages.select("page_id", "html").repartition(n, "page_id")
+    columns = dict.fromkeys(["page_id", "html", *names])
+    return pages.select(*columns).repartition(page_parts(pages), "page_id")
 
 
 def tokens(pages: DataFrame) -> DataFrame:
@@ -94,12 +104,16 @@ def tokens(pages: DataFrame) -> DataFrame:
     )
 
 
+def sql_cut(html: str) -> str:
+    """A page cut before every block tag."""
+    # embedded elements go before the cut, since they may hold block tags themselves
+    plain = f"regexp_replace({sql_strip_noise(html)}, {rx(EMBED)}, '')"
+    return f"split(regexp_replace({plain}, {rx(BLOCK_TAG)}, concat(chr(30), '<$1')), chr(30))"
+
+
 def segments(pages: DataFrame) -> DataFrame:
     """(page_id, pos, tag, closing, open_tag, cls, inner_html): one row per block tag."""
-    # embedded elements go before the cut, since they may hold block tags themselves
-    plain = f"regexp_replace({sql_strip_noise('html')}, {rx(EMBED)}, '')"
-    cut = f"split(regexp_replace({plain}, {rx(BLOCK_TAG)}, concat(chr(30), '<$1')), chr(30))"
-    rows = by_page(pages).selectExpr("page_id", f"posexplode({cut}) AS (pos, seg)")
+    rows = by_page(pages).selectExpr("page_id", f"posexplode({sql_cut('html')}) AS (pos, seg)")
     led = rows.selectExpr(
         "page_id",
         "cast(pos as bigint) AS pos",
@@ -195,14 +209,17 @@ ROLE = """case when closing then 'div' when tag = 'p' then 'p' when tag in ('li'
   when tag in ('td', 'th') then 'cell' when tag in ('figcaption', 'caption') then 'caption' else 'div' end"""
 
 
+# text before the first block tag, or right behind <html>, </head> and </html>, has no block tag of its own
+LOOSE = f"tag in ('', 'html', 'head') and (tag <> 'head' or closing) and regexp_replace(inner_html, {rx(ANY_TAG)}, '') rlike r'\\S'"
+IN_BODY = f"not in_head and (tag not in ('title', 'head', 'html', '') or ({LOOSE}))"
+
+
 def blocks(ctx: DataFrame) -> DataFrame:
     """Text and link measures of every body row.
 
     A link left open by an earlier row is re-opened with its target, so its text still counts as link text.
     """
-    # text before the first block tag, or right behind <html>, </head> and </html>, has no block tag of its own
-    loose = f"tag in ('', 'html', 'head') and (tag <> 'head' or closing) and regexp_replace(inner_html, {rx(ANY_TAG)}, '') rlike r'\\S'"
-    body = ctx.where(f"not in_head and (tag not in ('title', 'head', 'html', '') or ({loose}))")
+    body = ctx.where(IN_BODY)
     flow = "case when in_link then concat(link_tag, inner_html) else inner_html end"
     lens = f"transform(regexp_extract_all(flow, {rx(LINK)}, 1), t -> length({sql_inline_text('t')}))"
     return (

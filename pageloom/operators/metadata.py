@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.text import rx, sql_first_of, sql_list, sql_trim_ws, sql_unescape
 from pageloom.functions.urls import VALID_URL
+from pageloom.operators.inrow import bind
 from pageloom.operators.markup import ANY_TAG, sql_attr, sql_strip_noise
 
 HEAD = r"(?is)<head(?:\s[^>]*)?>(.*?)(?:</head\s*>|<body|\z)"
@@ -205,6 +206,53 @@ def heading_fields(blocks: DataFrame) -> DataFrame:
     )
 
 
+def structure_steps(on) -> list[tuple[str, str]]:
+    """Heading fields, found_author, license, found_cats and found_tags from ``rows``, the rows of one page in order.
+
+    ``on`` binds the columns of a rule to the row ``r``. The same rules as in ``heading_fields``, ``page_author``,
+    ``page_license`` and ``cats_tags``, which take exploded rows.
+    """
+
+    def first(rule: str) -> str:
+        return f"try_element_at(filter(rows, r -> {on(rule)}), 1).text"
+
+    heads = "not closing and tag in ('h1', 'h2', 'h3')"
+    lead = f"regexp_extract(h, {rx('^<[^>]*>')}, 0)"
+    label = sql_trim_ws(sql_unescape(f"regexp_replace(h, {rx(ANY_TAG)}, '')"))
+    carried = {n: on(e) for n, e in (("pos", "pos"), ("quiet", "in_byline_noise = 0"), ("foot", "in_footer > 0 or in_footer_named > 0"), ("topic", "in_topics > 0"))}
+    one = ", ".join([*[f"'{n}', {e}" for n, e in carried.items()], "'n', k", f"'href', {sql_unescape(sql_attr(lead, 'href'))}", f"'rel', {sql_attr(lead, 'rel')}", f"'label', {label}"])
+    anchors_of = f"transform(regexp_extract_all(r.flow, {rx(ANCHOR)}, 0), (h, k) -> named_struct({one}))"
+    links = f"filter(flatten(transform(filter(rows, r -> instr(r.flow, '<') > 0), r -> {anchors_of})), l -> l.href <> '')"
+
+    by_link = "transform(filter(links, l -> l.quiet and l.rel = 'author'), l -> named_struct('r', 1, 'o', l.pos, 'n', l.n, 'v', l.label))"
+    by_name = f"transform(filter(rows, r -> {on('in_byline_noise = 0 and not closing')}), r -> named_struct('r', {on(AUTHOR_RANK)}, 'o', r.pos, 'n', 0, 'v', r.text))"
+    named = f"array_min(filter(concat({by_link}, {by_name}), c -> c.r is not null and length(c.v) between 3 and 119)).v"
+    cc = bind(sql_license_code(), "l", ["href"])
+    strong = f"transform(filter(links, l -> l.rel = 'license'), l -> coalesce({cc}, nullif(l.label, '')))"
+    weak = f"transform(filter(links, l -> l.foot), l -> coalesce({cc}, nullif(regexp_extract(l.label, {rx(LICENSE_TEXT)}, 1), '')))"
+
+    def found(values: str) -> str:
+        return f"try_element_at(filter({values}, t -> t is not null), 1)"
+
+    def listed(pattern: str) -> str:
+        shown = "filter(links, l -> l.topic and l.label <> '')"
+        some = f"array_distinct(transform(filter({shown}, l -> l.href rlike {rx(pattern)}), l -> l.label))"
+        return f"if(size({shown}) > 0, {some}, null)"
+
+    h1 = "tag = 'h1' and not closing"
+    return [
+        ("n_h1", f"size(filter(rows, r -> {on(h1)}))"),
+        ("first_h1", first(h1)),
+        ("first_h2", first("tag = 'h2' and not closing")),
+        ("classed", first(f"{heads} and instr(cls, 'title') > 0 and text_len between 3 and 199")),
+        ("links", links),
+        ("found_author", f"if({named} is null, null, {sql_normalize_authors(f'array({named})')})"),
+        ("license", f"coalesce({found(strong)}, {found(weak)})"),
+        ("found_cats", listed(CATEGORY_PATH)),
+        ("found_tags", listed(TAG_PATH)),
+    ]
+
+
 SQL_TITLE = """case when n_h1 = 1 and first_h1 <> '' then first_h1 when classed is not null then classed
   when title_first is not null and instr(title_first, '.') = 0 then title_first
   when title_second is not null and instr(title_second, '.') = 0 then title_second
@@ -275,6 +323,9 @@ def site_name(df: DataFrame, name: str = "site", url: str = "url") -> DataFrame:
     )
 
 
+CATEGORY_PATH, TAG_PATH = r"/categor(?:y|ies|ys)/", r"/tags?/"
+AUTHOR_RANK = r"""case when cls rlike '(^|[\\s_-])author([\\s_-]|$)' then 2 when cls rlike 'byline' then 3
+      when cls rlike 'writer|contributor' then 4 when open_tag rlike '(?i)itemprop\\s*=\\s*.?author' then 5 when tag = 'address' then 6 end"""
 ANCHOR = r"(?is)<a\s[^>]*>.*?(?:</a\s*>|\z)"
 
 
@@ -299,14 +350,19 @@ def cats_tags(blocks: DataFrame) -> DataFrame:
         return f"array_distinct(transform(array_sort(collect_list({row})), r -> r.v))"
 
     return found.groupBy("page_id").agg(
-        F.expr(listed(r"/categor(?:y|ies|ys)/")).alias("categories"), F.expr(listed(r"/tags?/")).alias("tags")
+        F.expr(listed(CATEGORY_PATH)).alias("categories"), F.expr(listed(TAG_PATH)).alias("tags")
     )
 
 
+def sql_license_code() -> str:
+    """Creative Commons licence that ``href`` points at."""
+    return f"""case when href rlike {rx(LICENSE_PATH)} then concat('CC ', upper(regexp_extract(href, {rx(LICENSE_PATH)}, 1)), ' ',
+      regexp_extract(href, {rx(LICENSE_PATH)}, 2)) end"""
+
+
 def page_license(blocks: DataFrame) -> DataFrame:
     """Per page: licence of a rel=license link, else Creative Commons hints in a footer."""
-    cc = f"""case when href rlike {rx(LICENSE_PATH)} then concat('CC ', upper(regexp_extract(href, {rx(LICENSE_PATH)}, 1)), ' ',
-      regexp_extract(href, {rx(LICENSE_PATH)}, 2)) end"""
+    cc = sql_license_code()
     marked = anchors(blocks).selectExpr(
         "page_id", "pos", "n",
         f"case when rel = 'license' then coalesce({cc}, nullif(label, '')) end AS strong",
@@ -325,9 +381,7 @@ def page_author(blocks: DataFrame) -> DataFrame:
     """
     quiet = blocks.where("in_byline_noise = 0")
     links = anchors(quiet).where("rel = 'author'").selectExpr("page_id", "1 AS rank", "pos", "n", "label AS name")
-    named = r"""case when cls rlike '(^|[\\s_-])author([\\s_-]|$)' then 2 when cls rlike 'byline' then 3
-      when cls rlike 'writer|contributor' then 4 when open_tag rlike '(?i)itemprop\\s*=\\s*.?author' then 5 when tag = 'address' then 6 end"""
-    rows = quiet.where("not closing").selectExpr("page_id", f"{named} AS rank", "pos", "0 AS n", "text AS name").where("rank is not null")
+    rows = quiet.where("not closing").selectExpr("page_id", f"{AUTHOR_RANK} AS rank", "pos", "0 AS n", "text AS name").where("rank is not null")
     both = links.unionByName(rows).where("length(name) between 3 and 119")
     best = both.groupBy("page_id").agg(F.expr("min(named_struct('r', rank, 'o', pos, 'n', n, 'v', name)).v").alias("name"))
     return best.selectExpr("page_id", f"{sql_normalize_authors('array(name)')} AS author").where("author is not null")

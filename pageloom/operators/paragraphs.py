@@ -15,6 +15,30 @@ LOW_SHARE, HIGH_SHARE = 0.1, 0.2
 MAX_LINK_SHARE = 0.2
 
 
+def sql_stop_share(text: str, lang: str | None = None) -> str:
+    """Share of stop words among the words of a text."""
+    share = f"if(size(w) = 0, 0D, size(filter(w, t -> t in {sql_list(stop_words(lang))})) / size(w))"
+    return f"transform(array(regexp_extract_all(lower({text}), {rx(WORD)}, 0)), w -> {share})[0]"
+
+
+def sql_class(select: str = "select") -> str:
+    """Class of a row with ``text``, ``text_len``, ``link_len``, ``stop_share`` and whether it holds a selection."""
+    return f"""case when link_len > {MAX_LINK_SHARE}D * text_len then 'bad'
+      when text rlike {rx(COPYRIGHT)} or {select} then 'bad'
+      when text_len < {SHORT} then case when link_len > 0 then 'bad' else 'short' end
+      when stop_share >= {HIGH_SHARE}D then case when text_len > {LONG} then 'good' else 'near' end
+      when stop_share >= {LOW_SHARE}D then 'near' else 'bad' end"""
+
+
+FIRST_PASS = """case when class <> 'short' then class when _prev = _next then _prev
+  when (_prev = 'bad' and _prev_near = 'near') or (_next = 'bad' and _next_near = 'near') then 'good'
+  else 'bad' end"""
+
+
+def second_pass(before: str, after: str) -> str:
+    return f"case when _first <> 'near' then _first when {before} = 'bad' and {after} = 'bad' then 'bad' else 'good' end"
+
+
 def classify_blocks(df: DataFrame, lang: str | None = None) -> DataFrame:
     """Add ``class``: bad, short, near or good, for rows with text.
 
@@ -23,11 +47,7 @@ def classify_blocks(df: DataFrame, lang: str | None = None) -> DataFrame:
     """
     words = f"regexp_extract_all(lower(text), {rx(WORD)}, 0)"
     stops = f"size(filter(_words, w -> w in {sql_list(stop_words(lang))}))"
-    rule = f"""case when link_len > {MAX_LINK_SHARE}D * text_len then 'bad'
-      when text rlike {rx(COPYRIGHT)} or instr(inner_html, '<select') > 0 then 'bad'
-      when text_len < {SHORT} then case when link_len > 0 then 'bad' else 'short' end
-      when stop_share >= {HIGH_SHARE}D then case when text_len > {LONG} then 'good' else 'near' end
-      when stop_share >= {LOW_SHARE}D then 'near' else 'bad' end"""
+    rule = sql_class("instr(inner_html, '<select') > 0")
     return (
         df.selectExpr("*", f"{words} AS _words")
         .selectExpr("*", f"case when size(_words) = 0 then 0D else {stops} / size(_words) end AS stop_share")
@@ -59,13 +79,10 @@ def revise_blocks(df: DataFrame) -> DataFrame:
         f"{nearest(not_short, after)} AS _next_near",
     ).selectExpr(
         "*",
-        """case when class <> 'short' then class when _prev = _next then _prev
-          when (_prev = 'bad' and _prev_near = 'near') or (_next = 'bad' and _next_near = 'near') then 'good'
-          else 'bad' end AS _first""",
+        f"{FIRST_PASS} AS _first",
     )
     settled = "case when _first <> 'near' then _first end"
     return first.selectExpr(
         *df.columns,
-        f"""case when _first <> 'near' then _first
-          when {nearest(settled, before)} = 'bad' and {nearest(settled, after)} = 'bad' then 'bad' else 'good' end AS final_class""",
+        f"{second_pass(nearest(settled, before), nearest(settled, after))} AS final_class",
     )

@@ -78,6 +78,15 @@ def sql_starts(rule: Rule) -> str:
     return f"{hit} and not closing"
 
 
+def sql_mask(bits: dict[str, int]) -> str:
+    """The rules a row matches, as a sum of their bits."""
+    terms = {n: f"case when {sql_starts(RULES[n])} then {1 << bit}L else 0L end" for n, bit in bits.items()}
+    by_tag = [n for n in bits if not RULES[n].names]
+    by_name = " + ".join(t for n, t in terms.items() if n not in by_tag) or "0L"
+    # Rules on names look at rows with attributes only, a small share of all rows.
+    return " + ".join([f"case when length(open_tag) > length(tag) + 2 then {by_name} else 0L end", *[terms[n] for n in by_tag]])
+
+
 def with_sections(ctx: DataFrame, *names: str) -> DataFrame:
     """Add ``in_<rule>`` (0 = outside) for the named rules, all by default.
 
@@ -89,13 +98,7 @@ def with_sections(ctx: DataFrame, *names: str) -> DataFrame:
     rules = {n: RULES[n] for n in names or RULES}
     bits = {n: i for i, n in enumerate(rules)}
     first = [n for n, r in rules.items() if r.first_only]
-    terms = {n: f"case when {sql_starts(r)} then {1 << bits[n]} else 0 end" for n, r in rules.items()}
-    by_tag = [n for n, r in rules.items() if not r.names]
-    by_name = " + ".join(t for n, t in terms.items() if n not in by_tag) or "0"
-    # Rules on names look at rows with attributes only, a small share of all rows.
-    mask = " + ".join(
-        [f"case when length(open_tag) > length(tag) + 2 then {by_name} else 0 end", *[terms[n] for n in by_tag]]
-    )
+    mask = sql_mask(bits)
 
     def bit(c: str, n: str) -> str:
         return f"(shiftright({c}, {bits[n]}) & 1)"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.text import rx, sql_sanitize, sql_trim_ws, sql_unescape
 from pageloom.functions.urls import IMAGE_FILE
+from pageloom.operators.inrow import let
 from pageloom.operators.markup import ANY_TAG, LINE_BREAK, sql_attr, sql_strip_noise
 
 TARGET = r"\]\((.+?)\)"
@@ -73,15 +74,23 @@ def sql_render_inline(markup: str, formatting: bool = True, links: bool = True,
     return sql_unescape(sql_sanitize(f"(case when instr({plain}, '<') > 0 then {markup} else {plain} end)"))
 
 
+def _sql_line(role: str, tag: str, shown: str, formatting: bool) -> str:
+    bars = f"repeat('=', case when {tag} rlike '^h[1-6]$' then cast(substring({tag}, 2, 1) as int) else 2 end)"
+    head = f"when {role} = 'head' then concat({bars}, ' ', {shown}, ' ', {bars})" if formatting else ""
+    return f"""case when {shown} = '' then '' when {role} = 'item' then concat('- ', {shown})
+          when {role} = 'cell' then concat('|', {shown}, '|') {head} else {shown} end"""
+
+
+def sql_line(row: str, formatting: bool = True, links: bool = True, images: bool = False) -> str:
+    """The block row in the struct ``row`` as text."""
+    shown = sql_render_inline("w.flow", formatting, links, images)
+    return let("w", row, let("shown", shown, _sql_line("w.role", "w.tag", "shown", formatting)))
+
+
 def render_lines(df: DataFrame, formatting: bool = True, links: bool = True, images: bool = False) -> DataFrame:
     """Add ``line``: the block row as text."""
-    bars = "repeat('=', case when tag rlike '^h[1-6]$' then cast(substring(tag, 2, 1) as int) else 2 end)"
-    head = f"when role = 'head' then concat({bars}, ' ', _shown, ' ', {bars})" if formatting else ""
-    return df.selectExpr("*", f"{sql_render_inline('flow', formatting, links, images)} AS _shown").selectExpr(
-        "*",
-        f"""case when _shown = '' then '' when role = 'item' then concat('- ', _shown)
-          when role = 'cell' then concat('|', _shown, '|') {head} else _shown end AS line""",
-    ).drop("_shown")
+    shown = df.selectExpr("*", f"{sql_render_inline('flow', formatting, links, images)} AS _shown")
+    return shown.selectExpr("*", f"{_sql_line('role', 'tag', '_shown', formatting)} AS line").drop("_shown")
 
 
 def sql_ordered_text(value: str, sep: str = "chr(10)", order: str = "pos") -> str:

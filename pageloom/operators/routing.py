@@ -101,10 +101,24 @@ def salted_join(big: DataFrame, unique: DataFrame, key: str, how: str, salts: in
     return spread.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
-def with_response(visits: DataFrame, archive: DataFrame) -> DataFrame:
-    """Visits joined to their stored response, statuses 200-299 only."""
-    good = archive.where(F.col("status").between(200, 299))
-    return visits.join(good, "url")
+#: Visits of one URL that meet its response in one task.
+HOT_VISITS = 1_000_000
+
+
+def with_response(visits: DataFrame, archive: DataFrame, hot: int = HOT_VISITS) -> DataFrame:
+    """Visits joined to their stored response, statuses 200-299 only.
+
+    The visits of a URL are dealt over one part for each ``hot`` of them, and only the responses of such URLs are
+    repeated, once for each part. Responses that nobody visited stay out of the join.
+    """
+    counts = visits.groupBy("url").agg(F.count("*").alias("_n")).where("url is not null")
+    many = counts.where(F.col("_n") > hot).select("url", F.ceil(F.col("_n") / hot).cast("int").alias("_parts"))
+    good = archive.where(F.col("status").between(200, 299)).join(counts.select("url"), "url", "left_semi")
+    parts = F.coalesce("_parts", F.lit(1))
+    repeated = good.join(many, "url", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    known = salted_join(visits, many, "url", "left")
+    dealt = known.withColumn("_part", F.pmod(F.xxhash64(*visits.columns), parts).cast("int")).drop("_parts")
+    return dealt.join(repeated, ["url", "_part"]).drop("_part")
 
 
 def respond(visits: DataFrame, archive: DataFrame) -> DataFrame:

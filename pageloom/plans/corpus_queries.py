@@ -198,3 +198,17 @@ def q_stream_unseen(spark, sf_dir):
     visits = st.stream_visits(spark, visit_folder(spark, sf_dir, repeats=2), files_per_batch=3)
     st.append_available(st.stream_unseen(visits), out, work_path(spark, "stream-cp"))
     return spark.read.parquet(out).select("digest", "url")
+
+
+@query("stream_seen", "I3", "SELECT DISTINCT md5(url) AS digest, url FROM visits WHERE not (page_id % 7 = 3 or page_id % 9 = 4)")
+def q_stream_seen(spark, sf_dir):
+    """The log twice, under two checkpoints: what the first run has seen is not handed on by the second."""
+    out, seen = work_path(spark, "stream-out"), st.seen_set(spark, work_path(spark, "seen"))
+
+    def keep(fresh, name):
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={name}")
+
+    folder = visit_folder(spark, sf_dir, repeats=2)
+    for _ in range(2):
+        st.stream_seen(spark, st.stream_visits(spark, folder, files_per_batch=5), seen, keep, work_path(spark, "stream-cp"), runs=2)
+    return spark.read.parquet(out).select("digest", "url")

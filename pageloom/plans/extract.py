@@ -1,116 +1,21 @@
 """The page cascade: rows -> own / scored / classified / baseline text -> one choice.
 
-All candidates are flags on the same row stream and are gathered by one aggregate per
-page, so the whole cascade costs a single exchange (of the raw HTML rows).
+The rows of a page and all candidates are made in its own row (``plans.cascade``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import rx, sql_fingerprint, sql_reading_time, sql_trim_ws
-from pageloom.operators import markup, paragraphs, prune, render, score
+from pageloom.operators import markup, prune
+from pageloom.operators.inrow import bind, lets, struct
+from pageloom.plans.cascade import Options, sql_page, with_page
 
-PARAGRAPH_LIKE = "role in ('p', 'quote')"
-KNOWN_ROLES = "role in ('p', 'item', 'head', 'quote', 'cell', 'caption', 'div')"
 ARTICLE_BODY = r"(?is)\x22articlebody\x22\s*:\s*\x22((?:[^\x22\\]|\\.)+)\x22"
 LD_SCRIPT = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script\s*>"
 
-RULES_USED = (
-    "boilerplate", "paywall", "teaser", "caption", "extras", "comment_noise", "comments", "unlikely",
-    *prune.REGIONS, *prune.COMMENT_AREAS,
-)
-
-
-@dataclass(frozen=True)
-class Options:
-    """Extraction options. ``min_size`` is the shortest text accepted without recovery."""
-
-    min_size: int = 250
-    precision: bool = False
-    recall: bool = False
-    tables: bool = False
-    images: bool = False
-    links: bool = True
-    formatting: bool = True
-    fallback: bool = True
-
-    @property
-    def paragraph_factor(self) -> int:
-        return 5 if self.recall else 1 if self.precision else 3
-
-
-def mark_own(df: DataFrame, o: Options) -> DataFrame:
-    """Flags ``pruned`` (rows left after pruning) and ``own`` (rows of the main region)."""
-    df = prune.first_area(
-        df, prune.COMMENT_AREAS, 1, "comment_area", "(in_comment_noise = 0 and text_len > 0)"
-    )
-    df = df.withColumn("clean", F.lit(True))
-    df = markup.drop_containers(df, o.tables, o.images, flag="clean")
-    df = df.selectExpr("*", f"clean and not {prune.sql_in_area(prune.COMMENT_AREAS, 'comment_area')} AS pruned")
-    df = prune.drop_sections(df, "boilerplate", guard=True, flag="pruned")
-    families = ["paywall"] + ([] if o.images else ["caption"]) + ([] if o.recall else ["teaser"])
-    families += ["extras", "comments"] if o.precision else []
-    df = prune.drop_sections(df, *families, flag="pruned")
-    df = prune.link_density_filter(df, ("div",), flag="pruned")
-    df = prune.repeated_links_filter(df, o.precision, flag="pruned")
-    roles = ("p", "item") + (("head", "quote") if o.precision else ())
-    df = prune.link_density_filter(df, roles, flag="pruned")
-    if o.tables or o.precision:
-        df = prune.link_table_filter(df, flag="pruned")
-    df = prune.text_filter(df, flag="pruned")
-    paragraph_chars = "coalesce(sum(case when pruned and role = 'p' then text_len end) OVER (PARTITION BY page_id), 0)"
-    df = df.selectExpr(
-        "*", f"pruned and (role <> 'div' or {paragraph_chars} < {o.min_size * o.paragraph_factor}) AS own"
-    )
-    df = prune.main_region(df, flag="own")
-    df = prune.trim_tail(df, flag="own")
-    return recover_text(df, o.min_size, o.recall)
-
-
-def recover_text(df: DataFrame, min_size: int, recall: bool = False) -> DataFrame:
-    """If a page's own text is short, take every paragraph-like pruned row as well."""
-    wild = f"({PARAGRAPH_LIKE} or role = 'div')" if recall else PARAGRAPH_LIKE
-    chars = "coalesce(sum(case when own then text_len + 1 end) OVER (PARTITION BY page_id), 0) - 1"
-    return df.withColumn("own", F.expr(f"own or (pruned and {wild} and {chars} < {min_size})"))
-
-
-def mark_scored(df: DataFrame) -> DataFrame:
-    """Flag ``scored``: the scored article, without unlikely containers unless that leaves
-    fewer than 250 characters."""
-    df = score.with_measures(df).selectExpr("*", f"{score.sql_class_weight()} AS class_weight")
-    for suffix, alive in (("_strict", "in_paywall = 0 and in_unlikely = 0"), ("_loose", "in_paywall = 0")):
-        df = score.scored_rows(df, alive, suffix)
-        df = df.withColumnRenamed(f"kept{suffix}", f"article{suffix}")
-        df = score.clean_scored(df, flag=f"article{suffix}")
-        df = score.clean_containers(df, suffix, flag=f"article{suffix}")
-    strict = "coalesce(sum(case when article_strict then text_len end) OVER (PARTITION BY page_id), 0)"
-    return df.selectExpr("*", f"case when {strict} >= 250 then article_strict else article_loose end AS scored")
-
-
-def mark_classified(df: DataFrame) -> DataFrame:
-    """Flag ``good``: rows that paragraph classification takes for text."""
-    df = df.selectExpr("*", "clean and in_paywall = 0 and in_comments = 0 and text_len > 0 AS _cand")
-    classed = paragraphs.classify_blocks(df).withColumn("class", F.expr("case when _cand then class end"))
-    return paragraphs.revise_blocks(classed).selectExpr(
-        *[c for c in df.columns if c != "_cand"], "_cand and final_class = 'good' AS good"
-    )
-
-
-def mark_baseline(df: DataFrame) -> DataFrame:
-    """Flags ``in_first_article`` and ``first_of_text`` (first row of each distinct text)."""
-    quiet = "in_aside = 0 and in_footer = 0 and text_len > 0"
-    rank = f"row_number() OVER (PARTITION BY page_id, {PARAGRAPH_LIKE} and {quiet}, text ORDER BY pos)"
-    return df.selectExpr(
-        "*",
-        f"{quiet} and in_region2 > 0 AS in_first_article",
-        f"{quiet} and {PARAGRAPH_LIKE} and {rank} = 1 AS first_of_text",
-        f"{quiet} AS in_body",
-    )
-
 
 def gather(flag: str, value: str, sep: str = "chr(10)") -> str:
     """Aggregate: ``value`` of the flagged rows in row order."""
@@ -125,11 +30,11 @@ def article_body(html: str) -> str:
     return f"nullif({sql_trim_ws(f'replace({found}, chr(92) || chr(34), chr(34))')}, '')"
 
 
-def choose_extraction(df: DataFrame, o: Options = Options()) -> DataFrame:
-    """Add ``choice``: own, scored, classified or baseline, from the candidate lengths.
+LENGTHS = ("own_len", "scored_len", "plain_len", "good_len", "own_p_len", "own_ps", "own_tables", "scored_noise")
 
-    Needs own_len, scored_len, own_p_len, own_tables, own_ps, scored_noise, good_len.
-    """
+
+def choice_steps(o: Options) -> list[tuple[str, str]]:
+    """From the lengths to ``choice``: own, scored, classified or baseline."""
     scored_wins = f"""case when scored_len in (0, own_len) then false when own_len = 0 then true
       when own_len > 2 * scored_len then false when scored_len > 2 * own_len then true
       else scored_len > {2 * o.min_size} and (own_p_len = 0 or own_tables > own_ps) end"""
@@ -137,58 +42,46 @@ def choose_extraction(df: DataFrame, o: Options = Options()) -> DataFrame:
         scored_wins = "false"
     elif o.recall:
         scored_wins = f"case when own_len > {10 * o.min_size} then false else {scored_wins} end"
-    df = df.selectExpr("*", f"{scored_wins} AS _scored")
-    length = "case when _scored then scored_len else own_len end"
-    rescue = f"(({length}) < {o.min_size} or (_scored and scored_noise > 0)) and good_len > 0"
+    rescue = f"(if(by_score, scored_len, own_len) < {o.min_size} or (by_score and scored_noise > 0)) and good_len > 0"
     if not o.fallback:
         rescue = "false"
     elif o.recall:
         rescue = f"own_len <= {10 * o.min_size} and {rescue}"
-    df = df.selectExpr("*", f"case when {rescue} then 'classified' when _scored then 'scored' else 'own' end AS _pick")
-    taken = "case _pick when 'classified' then good_len when 'scored' then plain_len else own_len end"
-    return df.selectExpr("*", f"case when {taken} < {o.min_size} then 'baseline' else _pick end AS choice").drop(
-        "_scored", "_pick"
-    )
+    return [
+        ("by_score", scored_wins),
+        ("pick", f"case when {rescue} then 'classified' when by_score then 'scored' else 'own' end"),
+        ("taken", "case pick when 'classified' then good_len when 'scored' then plain_len else own_len end"),
+        ("choice", f"if(taken < {o.min_size}, 'baseline', pick)"),
+    ]
 
 
-CANDIDATES = [
-    ("own_text", gather("own and line <> ''", "line")),
-    ("scored_text", gather("scored_known and line <> ''", "line")),
-    ("good_text", gather("good", "text")),
-    ("comments", gather("comment", "text")),
-    ("article_text", gather("in_first_article", "text", "' '")),
-    ("paragraph_text", gather("first_of_text", "text")),
-    ("body_text", gather("in_body", "text")),
-    ("own_len", "coalesce(sum(case when own then text_len + 1 end), 1) - 1"),
-    ("scored_len", "coalesce(sum(case when scored then text_len + 1 end), 1) - 1"),
-    ("plain_len", "coalesce(sum(case when scored_known then text_len + 1 end), 1) - 1"),
-    ("good_len", "coalesce(sum(case when good then text_len + 1 end), 1) - 1"),
-    ("own_p_len", "coalesce(sum(case when own and role = 'p' then text_len end), 0)"),
-    ("own_ps", "count_if(own and role = 'p')"),
-    ("own_tables", "count(distinct case when own and table_no > 0 then table_no end)"),
-    ("scored_noise", "count_if(scored and not scored_known)"),
-]
-
-
-def page_rows(pages: DataFrame, o: Options = Options()) -> DataFrame:
-    """Block rows with every candidate flag."""
-    df = mark_own(prune.page_blocks(pages, *RULES_USED), o)
-    df = mark_baseline(mark_classified(mark_scored(df)))
-    df = render.render_lines(df, o.formatting, o.links, o.images)
-    noise = "in_nav = 0 and in_footer = 0 and in_aside = 0 and in_form = 0"
-    optional = ("" if o.tables else " and in_table = 0") + ("" if o.images else " and in_figure = 0")
-    area = prune.sql_in_area(prune.COMMENT_AREAS, "comment_area")
-    return df.selectExpr(
-        "*",
-        f"scored and {noise}{optional} and {KNOWN_ROLES} AS scored_known",
-        f"clean and in_comment_noise = 0 and text_len > 0 and {area} AS comment",
-    )
+def choose_extraction(df: DataFrame, o: Options = Options()) -> DataFrame:
+    """Add ``choice`` from the columns ``LENGTHS``."""
+    return df.selectExpr("*", f"{lets(choice_steps(o), 'choice')} AS choice")
+
+
+def picked_rows(pages: DataFrame, candidate: str, o: Options = Options()) -> DataFrame:
+    """(page_id, pos, role, text): the rows of a candidate: ``own``, ``scored_known`` or ``good`` (without the role)."""
+    steps, _ = sql_page("html", o)
+    shown = {"pos": "r.pos", "text": "r.text"} if candidate == "good" else {"pos": "r.pos", "role": "r.role", "text": "get(rows, r.at).text"}
+    shown = f"transform({candidate}, r -> {struct(**shown)})"
+    return with_page(pages, steps, {"found": shown}, "page_id").selectExpr("page_id", "inline(found)")
 
 
-def extract_candidates(pages: DataFrame, o: Options = Options()) -> DataFrame:
-    """One row per page with every candidate text and its measures."""
-    rows = page_rows(pages, o)
-    return rows.groupBy("page_id").agg(*[F.expr(e).alias(n) for n, e in CANDIDATES])
+def candidate_lengths(pages: DataFrame, o: Options = Options()) -> DataFrame:
+    """(page_id, lengths): one row for each page that has rows."""
+    steps, values = sql_page("html", o)
+    fields = {n: values[n] for n in LENGTHS} | {"n_rows": "size(rows)"}
+    return with_page(pages, steps, fields, "page_id").where("n_rows > 0").drop("n_rows")
+
+
+def baseline_texts(pages: DataFrame) -> DataFrame:
+    """(page_id, text, article_text, paragraph_text) of each page that has rows."""
+    steps, values = sql_page("html", Options())
+    steps = steps[: [n for n, _ in steps].index("rows") + 1]
+    fields = {n: values[n] for n in ("article_text", "paragraph_text", "body_text")} | {"ld_body": article_body("html"), "n_rows": "size(rows)"}
+    found = with_page(pages, steps, fields, "page_id").where("n_rows > 0")
+    return found.selectExpr("page_id", f"{sql_baseline('ld_body')} AS text", "article_text", "paragraph_text")
 
 
 def sql_baseline(body: str) -> str:
@@ -199,23 +92,19 @@ def sql_baseline(body: str) -> str:
 def extract_pages(pages: DataFrame, o: Options = Options()) -> DataFrame:
     """(page_id, text, choice, comments, n_chars, seconds, fingerprint) per page.
 
-    The JSON-LD body is read from the raw page; it joins the rows by page in the same
-    partitioning.
+    Only the text of the choice is put together. A page without any text row gives a row without a text.
     """
-    bodies = markup.by_page(pages).selectExpr("page_id", f"{article_body('html')} AS ld_body")
-    df = bodies.join(choose_extraction(extract_candidates(pages, o), o), "page_id", "left")
-    # a page without any text row has no candidate, but a row here
-    df = df.withColumns({"choice": F.coalesce("choice", F.lit("baseline")), "comments": F.coalesce("comments", F.lit(""))})
-    text = f"""case choice when 'own' then own_text when 'scored' then scored_text when 'classified' then good_text
-      else {sql_baseline('ld_body')} end"""
-    return (
-        df.selectExpr("page_id", f"{text} AS text", "choice", "comments")
-        .selectExpr(
-            "*",
-            "cast(length(text) as bigint) AS n_chars",
-            f"{sql_reading_time('text')} AS seconds",
-            f"{sql_fingerprint('text')} AS fingerprint",
-        )
+    steps, values = sql_page("html", o)
+    steps = steps + [(n, values[n]) for n in LENGTHS] + choice_steps(o)
+    baseline = bind(sql_baseline(article_body("html")), "", {n: f"({values[n]})" for n in ("article_text", "paragraph_text", "body_text")})
+    text = f"""case choice when 'own' then {values['own_text']} when 'scored' then {values['scored_text']}
+      when 'classified' then {values['good_text']} else {baseline} end"""
+    found = with_page(pages, steps, {"text": text, "choice": "choice", "comments": values["comments"]}, "page_id")
+    return found.selectExpr(
+        "*",
+        "cast(length(text) as bigint) AS n_chars",
+        f"{sql_reading_time('text')} AS seconds",
+        f"{sql_fingerprint('text')} AS fingerprint",
     )
 
 

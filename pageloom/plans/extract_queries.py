@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from pageloom.functions.stopwords import stop_words
 from pageloom.operators import markup, paragraphs, prune, score
 from pageloom.plans import extract
@@ -65,13 +63,9 @@ WHERE EXISTS (SELECT 1 FROM own_core o WHERE o.page_id = p.page_id and o.pos = p
 )
 
 
-def own(spark, sf_dir):
-    return extract.mark_own(rich_blocks(spark, sf_dir, *extract.RULES_USED), extract.Options())
-
-
 @query("recover_text", "D18", "SELECT page_id, pos, role, text FROM own_rows")
 def q_recover_text(spark, sf_dir):
-    return own(spark, sf_dir).where("own").select("page_id", "pos", "role", "text")
+    return extract.picked_rows(rich(spark, sf_dir), "own")
 
 
 cte(
@@ -97,14 +91,7 @@ LEFT JOIN (SELECT page_id, string_agg(text, chr(10) ORDER BY pos) AS text FROM b
     "coalesce(paragraph_text, '') AS paragraph_text FROM baseline_parts WHERE page_id in (SELECT page_id FROM blk)",
 )
 def q_baseline_text(spark, sf_dir):
-    pages = rich(spark, sf_dir)
-    rows = extract.mark_baseline(prune.page_blocks(pages, "region2"))
-    wanted = ("article_text", "paragraph_text", "body_text")
-    parts = rows.groupBy("page_id").agg(*[F.expr(e).alias(n) for n, e in extract.CANDIDATES if n in wanted])
-    bodies = markup.by_page(pages).selectExpr("page_id", f"{extract.article_body('html')} AS ld_body")
-    return parts.join(bodies, "page_id").selectExpr(
-        "page_id", f"{extract.sql_baseline('ld_body')} AS text", "article_text", "paragraph_text"
-    )
+    return extract.baseline_texts(rich(spark, sf_dir))
 
 
 def d_classified(source: str) -> str:
@@ -210,18 +197,18 @@ INT_COLS = ", ".join(f"cast({c} as bigint) AS {c}" for c in LENGTH_COLS.split(",
 
 @query("choose_extraction", "D26", f"SELECT page_id, {INT_COLS}, choice FROM chosen")
 def q_choose_extraction(spark, sf_dir):
-    df = extract.choose_extraction(extract.extract_candidates(rich(spark, sf_dir)))
+    df = extract.choose_extraction(extract.candidate_lengths(rich(spark, sf_dir)))
     return df.selectExpr("page_id", *INT_COLS.split(", "), "choice")
 
 
 @query("sanitize_scored", "D32", "SELECT page_id, pos, role, text FROM article_known")
 def q_sanitize_scored(spark, sf_dir):
-    return extract.page_rows(rich(spark, sf_dir)).where("scored_known").select("page_id", "pos", "role", "text")
+    return extract.picked_rows(rich(spark, sf_dir), "scored_known")
 
 
 @query("rescue_rows", "D33", "SELECT page_id, pos, text FROM good_rows")
 def q_rescue_rows(spark, sf_dir):
-    return extract.page_rows(rich(spark, sf_dir)).where("good").select("page_id", "pos", "text")
+    return extract.picked_rows(rich(spark, sf_dir), "good")
 
 
 cte("own_lines", d.d_render("own_rows"))

@@ -230,6 +230,18 @@ def q_visit_responses(spark, sf_dir):
     return routing.with_response(v, a).select("page_id", "url", "status", "content_type")
 
 
+@query(
+    "archive_lookup",
+    "C2",
+    "SELECT url, status, md5(html) AS body_md5 FROM archive WHERE url in (SELECT url FROM visits WHERE page_id % 3 = 0)",
+)
+def q_archive_lookup(spark, sf_dir):
+    """Responses of a third of the visits, through the index of the laid-out archive."""
+    found = ar.index_responses(spark, load(spark, sf_dir, "archive"), work_path(spark, "responses"))
+    wanted = load(spark, sf_dir, "visits").where("page_id % 3 = 0").select(F.md5("url").alias("digest"))
+    return found.lookup(wanted).select("url", "status", F.md5(F.col("html").cast("binary")).alias("body_md5"))
+
+
 # Video visits have no page of their own, so every visit takes the stored response of its page.
 def routed(spark, sf_dir):
     p = load(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"))

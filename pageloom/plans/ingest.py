@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.operators import markup, metadata, prune, render, routing
 from pageloom.plans.extract import Options, extract_pages
 from pageloom.plans.page_meta import page_meta
+from pageloom.sources.keyed import KeyedLog
 
 #: Columns of a page record; the store keeps these.
 RECORD = """
@@ -43,20 +44,25 @@ def article_records(pages: DataFrame, o: Options = Options()) -> DataFrame:
 
 
 def ingest_pages(
-    visits: DataFrame, archive: DataFrame, transcripts: DataFrame, seen: DataFrame | None = None, o: Options = Options()
+    visits: DataFrame, archive: DataFrame | KeyedLog, transcripts: DataFrame, seen: DataFrame | None = None, o: Options = Options()
 ) -> DataFrame:
     """Page records of all visited URLs, with ``error`` and ``error_stage``: every URL or malformed line gives one row.
 
     ``visits`` has date, quality, url and perhaps an error channel; ``archive`` url, status, content_type, html;
     ``transcripts`` video_id, status, transcript; ``seen`` the digests of pages that are stored already, which are left
-    out. Only stored responses of wanted URLs take part in the joins.
+    out. Only stored responses of wanted URLs take part in the joins; an archive with an index opens only files that
+    can hold them.
     """
     rows = first_visits(visits)
     if seen is not None:
         rows = rows.join(seen.select("digest").distinct(), "digest", "left_anti")
     rows = routing.parse_visits(rows.withColumnRenamed("digest", "_key")).drop("digest").withColumnRenamed("_key", "digest")
     wanted = rows.where("error is null").select("url")
-    routed = routing.route(routing.respond(rows, archive.join(wanted, "url", "left_semi")))
+    if isinstance(archive, KeyedLog):
+        stored = archive.lookup(wanted.select(F.md5("url").alias("digest"))).drop("digest")
+    else:
+        stored = archive.join(wanted, "url", "left_semi")
+    routed = routing.route(routing.respond(rows, stored))
     routed = routed.select("digest", "url", F.col("date").alias("visit_date"), F.col("quality").alias("visit_quality"), F.col("kind").alias("visit_kind"), "route", "error", "error_stage", "html").checkpoint()
     pages = routed.where("error is null").select(F.col("digest").alias("page_id"), "url", "html", "route")
     articles = article_records(pages.where("route = 'article'").drop("route"), o).withColumn("duration", F.lit(None).cast("bigint"))

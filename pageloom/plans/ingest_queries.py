@@ -78,7 +78,8 @@ STREAMED = f"SELECT digest, url, text, null AS error FROM ingested WHERE error i
 def q_stream_extract(spark, sf_dir):
     store, bad = work_path(spark, "store"), work_path(spark, "quarantine")
     visits = st.stream_visits(spark, visit_folder(spark, sf_dir))
-    st.stream_extract(spark, visits, responses(spark, sf_dir), transcripts(spark, sf_dir), store, bad, work_path(spark, "stream-cp"))
+    archive = ar.index_responses(spark, responses(spark, sf_dir), work_path(spark, "responses"))
+    st.stream_extract(spark, visits, archive, transcripts(spark, sf_dir), store, bad, work_path(spark, "stream-cp"))
     schema = spark.createDataFrame([], ingest.RECORD).schema
     good = ar.read_store(spark, store, schema, "visit_date").selectExpr("digest", "url", "text", "cast(null as string) AS error")
     return good.unionByName(spark.read.parquet(bad).selectExpr("digest", "url", "cast(null as string) AS text", "error"))

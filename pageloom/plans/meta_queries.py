@@ -289,15 +289,17 @@ def d_anchors(where: str) -> str:
 FROM (SELECT *, unnest(t) AS a, generate_subscripts(t, 1) - 1 AS n FROM (SELECT *, regexp_extract_all(flow, '{M.ANCHOR}', 0) AS t FROM blk WHERE {where})) WHERE {d.d_attr(lead, 'href')} <> '')"""
 
 
-@query(
-    "page_author",
-    "E11",
+cte(
+    "found_authors",
     f"""SELECT * FROM (SELECT page_id, {d_normalize_authors('[name]')} AS author FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY rank, pos, n) AS rn FROM (
   SELECT page_id, 1 AS rank, pos, n, label AS name FROM {d_anchors('in_byline_noise = 0')} WHERE rel = 'author'
   UNION ALL SELECT page_id, case when regexp_matches(cls, '(^|[\\s_-])author([\\s_-]|$)') then 2 when regexp_matches(cls, 'byline') then 3 when regexp_matches(cls, 'writer|contributor') then 4
     when regexp_matches(open_tag, '(?i)itemprop\\s*=\\s*.?author') then 5 when tag = 'address' then 6 end AS rank, pos, 0, text FROM blk WHERE in_byline_noise = 0 and not closing)
   WHERE rank is not null and length(name) between 3 and 119) WHERE rn = 1) WHERE author is not null""",
 )
+
+
+@query("page_author", "E11", "SELECT * FROM found_authors")
 def q_page_author(spark, sf_dir):
     return M.page_author(rich_blocks(spark, sf_dir, "byline_noise"))
 
@@ -341,12 +343,14 @@ def q_site_name(spark, sf_dir):
     return M.site_name(df).select("page_id", "sitename")
 
 
-@query(
-    "categories_tags",
-    "E15",
+cte(
+    "found_topics",
     f"""SELECT page_id, coalesce(string_agg(label, '|' ORDER BY pos, n) FILTER (regexp_matches(href, '/categor(?:y|ies|ys)/')), '') AS categories,
 coalesce(string_agg(label, '|' ORDER BY pos, n) FILTER (regexp_matches(href, '/tags?/')), '') AS tags FROM {d_anchors('in_topics > 0')} WHERE label <> '' GROUP BY page_id""",
 )
+
+
+@query("categories_tags", "E15", "SELECT * FROM found_topics")
 def q_categories_tags(spark, sf_dir):
     df = M.cats_tags(rich_blocks(spark, sf_dir, "topics"))
     return df.select("page_id", F.array_join("categories", "|").alias("categories"), F.array_join("tags", "|").alias("tags"))
@@ -355,13 +359,15 @@ def q_categories_tags(spark, sf_dir):
 D_CC = f"case when regexp_matches(href, '{M.LICENSE_PATH}') then 'CC ' || upper(regexp_extract(href, '{M.LICENSE_PATH}', 1)) || ' ' || regexp_extract(href, '{M.LICENSE_PATH}', 2) end"
 
 
-@query(
-    "page_license",
-    "E16",
+cte(
+    "found_licenses",
     f"""SELECT page_id, coalesce(s, w) AS license FROM (SELECT page_id, arg_min(case when rel = 'license' then coalesce({D_CC}, nullif(label, '')) end, pos * 1000 + n) AS s,
 arg_min(case when in_footer > 0 or in_footer_named > 0 then coalesce({D_CC}, nullif(regexp_extract(label, '{M.LICENSE_TEXT}', 1), '')) end, pos * 1000 + n) AS w
 FROM {d_anchors('true')} GROUP BY page_id) WHERE coalesce(s, w) is not null""",
 )
+
+
+@query("page_license", "E16", "SELECT * FROM found_licenses")
 def q_page_license(spark, sf_dir):
     return M.page_license(rich_blocks(spark, sf_dir, "footer_named"))
 
@@ -426,7 +432,41 @@ def q_duration_seconds(spark, sf_dir):
     return df.selectExpr("page_id", f"{M.sql_duration('c')} AS seconds")
 
 
-@query("page_meta", "E21")
+# Whole records: the parts above put together by precedence, with subqueries per field instead of arrays on the row.
+ld_ctes("rich_", f"(SELECT page_id, nullif(regexp_extract(html, '{jsonld.LD_SCRIPT}', 1), '') AS js FROM rich_pages)")
+cte(
+    "rich_titles",
+    f"""SELECT page_id, title_tag, nullif(regexp_extract(title_tag, '{M.TITLE_SPLIT}', 1), '') AS title_first, nullif(regexp_extract(title_tag, '{M.TITLE_SPLIT}', 2), '') AS title_second
+FROM (SELECT page_id, {D_TITLE_TAG} AS title_tag FROM rich_pages)""",
+)
+cte(
+    "rich_ld",
+    f"""SELECT page_id, arg_max(publisher, n) FILTER (publisher is not null) AS publisher, arg_min(section, n) FILTER (section is not null and type in {ART}) AS ld_section,
+  arg_min(headline, n) FILTER (headline is not null and type in {ART}) AS ld_title, coalesce(flatten(list(authors ORDER BY n) FILTER (type in {ART})), []) AS names FROM rich_ld_rows GROUP BY page_id""",
+)
+cte(
+    "meta_parts",
+    f"""SELECT p.page_id, p.url, coalesce(f.meta_url, c.canonical) AS page_url, coalesce(f.meta_title, l.ld_title, {D_TITLE}) AS title,
+  coalesce({d_normalize_authors('coalesce(l.names, [])', "case when f.meta_author is null then []::varchar[] else string_split(f.meta_author, '; ') end")}, a.author) AS author,
+  coalesce(l.publisher, f.meta_site, case when contains(t.title_first, '.') then t.title_first when contains(t.title_second, '.') then t.title_second end) AS site, f.meta_description AS description,
+  coalesce(cast(try_cast(regexp_extract({d_pick(PUB_META)}, '{M.ISO_DATE}', 1) as date) as varchar), case when regexp_matches(p.url, '{M.URL_DATE}') then
+    cast(try_cast(regexp_extract(p.url, '{M.URL_DATE}', 1) || '-' || lpad(regexp_extract(p.url, '{M.URL_DATE}', 2), 2, '0') || '-' || lpad(regexp_extract(p.url, '{M.URL_DATE}', 3), 2, '0') as date) as varchar) end) AS date,
+  case when l.ld_section is not null then replace(l.ld_section, ';', '|') else k.categories end AS categories, coalesce(nullif(f.meta_tags, ''), k.tags) AS tags, i.license,
+  case when length({D_IMAGE}) <= 1000 then {D_IMAGE} end AS image, lower(nullif(regexp_extract(p.html, '{M.HTML_LANG}', 1), '')) AS lang
+FROM rich_pages p JOIN meta_found f ON f.page_id = p.page_id JOIN canonicals c ON c.page_id = p.page_id JOIN rich_titles t ON t.page_id = p.page_id
+LEFT JOIN rich_ld l ON l.page_id = p.page_id LEFT JOIN headings h ON h.page_id = p.page_id LEFT JOIN found_authors a ON a.page_id = p.page_id
+LEFT JOIN found_licenses i ON i.page_id = p.page_id LEFT JOIN found_topics k ON k.page_id = p.page_id""",
+)
+D_BARE = "regexp_replace(site, '^@', '')"
+
+
+@query(
+    "page_meta",
+    "E21",
+    f"""SELECT page_id, url, page_url, title, author, description, date, categories, tags, license, image, lang,
+  case when site is null then nullif(regexp_extract(page_url, '^https?://(?:www[.]|w[0-9]+[.])?([^/]+)', 1), '') when not contains({D_BARE}, '.') and regexp_matches({D_BARE}, '^[^A-ZÄÖÜ]')
+  then array_to_string(list_transform(string_split({D_BARE}, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') else {D_BARE} end AS sitename FROM meta_parts""",
+)
 def q_page_meta(spark, sf_dir):
     df = pm.page_meta(rich(spark, sf_dir))
     return df.withColumns({c: F.array_join(c, "|") for c in ("categories", "tags")})

@@ -6,36 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.functions.text import rx
-from pageloom.operators import jsonld, markup, metadata, prune
+from pageloom.operators import jsonld, markup, metadata
+from pageloom.operators.inrow import staged
+from pageloom.operators.pagerows import PageRows
 
+ROWS = PageRows(("byline_noise", "footer_named", "topics"), {"cls": ("cls", "string"), "open_tag": ("open_tag", "string")}, links=False)
 
-def structure_fields(pages: DataFrame) -> DataFrame:
-    """Per page: heading fields, author, licence, categories and tags from the block rows.
 
-    One aggregate for headings; the link-based fields come from a small share of the rows.
-    All are keyed on the page and share the exchange of the raw rows.
+def structure_fields(pages: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` of each page with heading fields, author, licence, categories and tags of its rows.
+
+    All are picked from the rows inside the page's own row (``operators.pagerows``).
     """
-    rows = prune.page_blocks(pages, "byline_noise", "footer_named", "topics")
-    return (
-        metadata.heading_fields(rows)
-        .join(metadata.page_author(rows).withColumnRenamed("author", "found_author"), "page_id", "left")
-        .join(metadata.page_license(rows), "page_id", "left")
-        .join(metadata.cats_tags(rows).withColumnsRenamed({"categories": "found_cats", "tags": "found_tags"}), "page_id", "left")
-    )
+    steps = [("segs", ROWS.segments("coalesce(html, '')")), ("rows", ROWS.rows(ROWS.context("segs")))]
+    steps += metadata.structure_steps(ROWS.on)
+    names = [n for n, _ in steps if n not in ("segs", "rows", "links")]
+    return staged(pages, steps, {n: n for n in names}, *keep, depth=4)
 
 
 def page_meta(pages: DataFrame) -> DataFrame:
     """(page_id, url, title, author, sitename, description, date, categories, tags, license, image, lang)."""
-    n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    head = metadata.meta_fields(metadata.title_parts(metadata.with_head(pages.repartition(n, "page_id"))))
+    head = metadata.meta_fields(metadata.title_parts(metadata.with_head(markup.by_page(pages, "url"))))
     head = metadata.canonical_url(metadata.lead_image(head))
     head = head.selectExpr("*", f"regexp_extract_all(html, {rx(jsonld.LD_SCRIPT)}, 1) AS _scripts")
     head = head.selectExpr("*", f"{jsonld.sql_scripts('_scripts')} AS _js", f"{jsonld.sql_broken('_scripts')} AS _broken")
     head = head.selectExpr("*", *[f"{e} AS broken_{n}" for n, e in jsonld.sql_salvage("_broken").items()])
     ld = jsonld.jsonld_members(head, "_js")
     ld = jsonld.jsonld_fields(ld.withColumn("members", F.expr("coalesce(members, array())")), "meta_site")
-    ld = metadata.page_lang(metadata.page_date(ld, "ld_date"))
-    both = ld.join(structure_fields(pages), "page_id", "left")
+    ld = metadata.page_lang(metadata.page_date(ld, "ld_date")).drop("metas", "members", "_scripts", "_js", "_broken")
+    both = structure_fields(ld, *[c for c in ld.columns if c != "html"])
     start = "case when meta_author is null then cast(array() as array<string>) else split(meta_author, '; ') end"
     named = metadata.sql_normalize_authors("ld_author_names", start)
     out = both.selectExpr(

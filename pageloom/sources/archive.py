@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pageloom.session import work_path
+from pageloom.sources.keyed import KeyedLog
 
 ARCHIVE_SCHEMA = """
 url struct<raw: string, quality: string, date: string, scheme: string, netloc: string, path: string, query: string, hostname: string>,
@@ -99,51 +99,44 @@ def latest(df: DataFrame, *order: str) -> DataFrame:
     return salted.drop("_salt")
 
 
-def buckets_of(df: DataFrame) -> DataFrame:
-    """Rows with their folder of the store; the letter keeps digits from being read back as numbers."""
-    return df.withColumn("bucket", F.concat(F.lit("b"), F.substring("digest", 1, 2)))
+def store_of(spark: SparkSession, path: str, schema: StructType) -> KeyedLog:
+    """The store of processed pages at ``path``: a log of versions keyed by digest."""
+    return KeyedLog(spark, path, schema)
 
 
 def upsert_processed(spark: SparkSession, new: DataFrame, path: str, *order: str) -> None:
     """Add the batch's last version of each digest to the store at ``path``.
 
-    The store is a log of versions: a batch writes its own rows and no others, and Spark's commit makes them visible
-    all at once. `read_store` shows the last version of each digest, `compact_store` drops the others. A batch that
-    runs twice adds equal versions, which reading treats as one. Pages without text are refused by the caller's error
-    channel.
+    A batch writes its own rows and no others, and one rename makes them visible all at once. `read_store` shows the
+    last version of each digest, `compact_store` drops the others. A batch that runs twice adds equal versions, which
+    reading treats as one. Pages without text are refused by the caller's error channel.
     """
-    fresh = buckets_of(latest(new, *order))
-    fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    store_of(spark, path, new.schema).append(latest(new, *order))
 
 
 def read_store(spark: SparkSession, path: str, schema: StructType, *order: str) -> DataFrame:
-    """The last version of each digest; a store that was never written, or holds no file, is empty."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
-    typed = StructType([*schema.fields, StructField("bucket", StringType())])
-    return latest(spark.read.schema(typed).parquet(path).drop("bucket"), *order)
+    """The last version of each digest, of the versions there are now; a store that was never written is empty."""
+    return latest(store_of(spark, path, schema).read(), *order)
 
 
-def stored_digests(spark: SparkSession, path: str) -> DataFrame | None:
-    """Digests of all stored pages; none if the store was never written. Only that column is read."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        return None
-    return spark.read.schema("digest string").parquet(path).select("digest")
+def stored_digests(spark: SparkSession, path: str, among: DataFrame) -> DataFrame:
+    """Those of the digests ``among`` that the store holds; only their files are opened, and only that column is read."""
+    return store_of(spark, path, StructType([StructField("digest", StringType())])).lookup(among)
 
 
 def compact_store(spark: SparkSession, path: str, schema: StructType, *order: str) -> None:
-    """Rewrite the store without superseded versions: staged first, then published bucket by bucket."""
-    staged = work_path(spark, "compact")
-    buckets_of(read_store(spark, path, schema, *order)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(staged)
-    typed = StructType([*schema.fields, StructField("bucket", StringType())])
-    (
-        spark.read.schema(typed).parquet(staged).hint("rebalance", "bucket")
-        .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("bucket").parquet(path)
-    )
-    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Rewrite the store without superseded versions; readers and appends go on meanwhile."""
+    store_of(spark, path, schema).compact(lambda rows: latest(rows, *order))
+
+
+RESPONSE_SCHEMA = "digest string, url string, status int, content_type string, html string"
+
+
+def index_responses(spark: SparkSession, responses: DataFrame, path: str) -> KeyedLog:
+    """Stored responses (url, status, content_type, html) laid out by digest of the URL, with an index of their files."""
+    found = KeyedLog(spark, path, spark.createDataFrame([], RESPONSE_SCHEMA).schema)
+    found.append(responses.withColumn("digest", F.md5("url")).withColumn("status", F.col("status").cast("int")))
+    return found
 
 
 def delete_processed(df: DataFrame, keys: DataFrame) -> DataFrame:

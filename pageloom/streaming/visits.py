@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +12,7 @@ from pageloom.operators import routing
 from pageloom.plans.ingest import ingest_pages
 from pageloom.session import ensure_checkpoint_dir
 from pageloom.sources.archive import stored_digests, upsert_processed
+from pageloom.sources.keyed import KeyedLog
 from pageloom.sources.visits import OPTIONS, SCHEMA, split_fields
 
 
@@ -51,19 +54,20 @@ def first_sight(visits: DataFrame) -> DataFrame:
 
 
 def stream_extract(
-    spark: SparkSession, visits: DataFrame, archive: DataFrame, transcripts: DataFrame, store: str, quarantine: str, checkpoint: str
+    spark: SparkSession, visits: DataFrame, archive: DataFrame | KeyedLog, transcripts: DataFrame, store: str, quarantine: str, checkpoint: str
 ) -> StreamingQuery:
     """Visits -> store of page records by digest, and a quarantine folder for all other visits.
 
     Pages that the store holds already are not extracted again, even under a new checkpoint. A batch that runs twice
-    changes nothing: it finds its pages in the store, and overwrites its own quarantine folder.
+    changes nothing: it finds its pages in the store, and overwrites its own quarantine folder. With an indexed archive
+    (``sources.archive.index_responses``) a batch opens the files that can hold its pages and no others.
     """
     ensure_checkpoint_dir(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        done = ingest_pages(batch.drop("digest"), archive, transcripts, stored_digests(spark, store)).checkpoint()
+        done = ingest_pages(batch.drop("digest"), archive, transcripts, stored_digests(spark, store, batch)).checkpoint()
         good, bad = routing.split_results(done)
         if not good.isEmpty():
             upsert_processed(spark, good, store, "visit_date")
@@ -71,3 +75,37 @@ def stream_extract(
         rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
 
     return run_available(first_sight(visits), handle, checkpoint)
+
+
+SEEN_SCHEMA = "digest string"
+
+
+def seen_set(spark: SparkSession, path: str) -> KeyedLog:
+    """The digests seen so far, as sorted runs with an index instead of state that grows with the stream."""
+    return KeyedLog(spark, path, spark.createDataFrame([], SEEN_SCHEMA).schema, digits=1, file_rows=1_000_000)
+
+
+def stream_seen(spark: SparkSession, visits: DataFrame, seen: KeyedLog, handle, checkpoint: str, runs: int = 50) -> StreamingQuery:
+    """Give ``handle(fresh, name)`` the visits of each batch whose URL was in no batch before, one for each URL.
+
+    What was seen lies in ``seen``, so neither the query's state nor a batch grows with the stream, and a new checkpoint
+    goes on where the old one ended. ``handle`` must overwrite what it wrote under the same name: a batch is noted
+    after it, and a noted batch is not handled again. After ``runs`` batches their runs are merged into one.
+    """
+    ensure_checkpoint_dir(spark)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        owner = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        name = f"{uuid.uuid5(uuid.NAMESPACE_URL, owner).hex}-{batch_id}"
+        if seen.has(name):
+            return
+        keyed = batch.where("error is null").withColumn("digest", F.md5("url"))
+        # the first of equal URLs is chosen before the shuffle ends, so a URL that fills a third of the log costs a row per task
+        one = keyed.groupBy("digest").agg(F.min(F.struct("date", "quality", "url")).alias("v")).select("digest", "v.*").checkpoint()
+        fresh = one.join(seen.lookup(one), "digest", "left_anti").checkpoint()
+        handle(fresh, name)
+        seen.append(fresh.select("digest"), name)
+        if len(seen.live()) > runs:
+            seen.compact(lambda rows: rows.distinct())
+
+    return run_available(visits, work, checkpoint)

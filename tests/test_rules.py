@@ -198,7 +198,7 @@ def test_upsert_is_idempotent_and_last_writer_wins(spark, tmp_path):
         archive.upsert_processed(spark, batch, path)
     assert {(r.url, r.text) for r in archive.read_store(spark, path, df.schema).collect()} == {("u1", "new"), ("u2", "x")}
     archive.compact_store(spark, path, df.schema)
-    assert sorted((r.url, r.text) for r in spark.read.parquet(path).collect()) == [("u1", "new"), ("u2", "x")]
+    assert sorted((r.url, r.text) for r in archive.store_of(spark, path, df.schema).read().collect()) == [("u1", "new"), ("u2", "x")]
 
 
 def test_stores_with_number_like_folders_or_no_files(spark, tmp_path):
