@@ -286,8 +286,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = similarity_classes(docs, id_col, text_col, **rule)
     class_rows = found.where("class_node is not null").select("class_node", F.col("class_id").alias("_class"), F.col(id_col).alias("_doc"), F.col("node").alias("_node"))
     kept = class_rows.where(F.col("_doc").eqNullSafe(F.col("_class"))).groupBy("class_node", "_class").agg(F.min("_node").alias("_node")).drop("class_node")
-    keyed = docs.withColumn("_blank", ~F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    keyed = keyed.withColumn("_text_node", F.unhex(F.md5(text_bytes(text_col))))
-    match = (F.col(id_col).eqNullSafe(F.col("_class"))) & (F.col("_text_node") == F.col("_node"))
-    chosen = keyed.where("not _blank").join(kept, match).dropDuplicates([id_col, "_text_node"])
-    return chosen.select(docs.columns).unionAll(keyed.where("_blank").select(docs.columns))
+    # the input row travels as one value, so its columns may have any names
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(f"`{id_col}`").alias("_id"),
+        (~F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("_blank"),
+        F.unhex(F.md5(text_bytes(text_col))).alias("_text_node"),
+    )
+    match = (F.col("_id").eqNullSafe(F.col("_class"))) & (F.col("_text_node") == F.col("_node"))
+    chosen = keyed.where("not _blank").join(kept, match).dropDuplicates(["_id", "_text_node"])
+    return chosen.select("_row.*").unionAll(keyed.where("_blank").select("_row.*"))

@@ -37,7 +37,7 @@ def frame(spark, rows=AWKWARD, columns=COLUMNS):
     """The rows with more columns of clashing names."""
     from pyspark.sql import functions as F
 
-    clash = ["_raw", "_id", "doc", "key", "part", "size", "score", "kept", "_th", "words", "item_id"]
+    clash = ["_raw", "_id", "doc", "key", "part", "size", "score", "kept", "_th", "words", "item_id", "_row", "_blank", "_class", "_node", "_doc", "_text_node", "_text", "_lang", "name", "check", "wanted"]
     return spark.createDataFrame(rows, columns).withColumns({c: F.lit("clash") for c in clash})
 
 

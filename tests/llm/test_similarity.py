@@ -121,7 +121,9 @@ def test_one_of_each_class_stays(spark):
     for (key, text, *_), (_, least, *_) in zip(AWKWARD, classes([(r[0], r[1]) for r in AWKWARD])):
         if shingles(text) and key == least:
             want[least, text] = 1
-    texts = [r.text for r in kept.collect()]
+    rows = kept.collect()
+    texts = [r.text for r in rows]
+    assert all(r._class == r._node == r._blank == r._text_node == r._row == "clash" for r in rows)
     assert sorted(t for t in texts if shingles(t)) == sorted(t for _, t in want)
     assert len([t for t in texts if not shingles(t)]) == 3
 
