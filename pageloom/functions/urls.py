@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.functions.domains import domain_of_host
+
 # Tracking parameter names.
 TRACKING_PARAM = r"^utm_(source|medium|campaign|term|content)="
 VIDEO_TIME_PARAM = r"^t=[0-9]"
@@ -27,7 +29,9 @@ ASSET_FILE = r"(?i)\.(css|js|json|ico|svg|woff2?|ttf|mp3|mp4|avi|mov|zip|gz|exe|
 # Image file extensions.
 IMAGE_EXTENSIONS = "avif bmp gif heic heif jpg jpeg png webp".split()
 IMAGE_FILE = r"\S\.(" + "|".join(IMAGE_EXTENSIONS) + r")\b"
-BLOG_PLATFORM = r"(?i)(^|\.)(blogger|blogspot|medium|squarespace|tumblr|typepad|wordpress|wixsite|ghost)\."
+# Hosts of which a label names a platform with many sites; links to them never count as foreign.
+PLATFORMS = "blogspot ghost medium substack tumblr wixsite wordpress".split()
+BLOG_PLATFORM = r"(?i)(^|\.)(" + "|".join(PLATFORMS) + r")\."
 FEED_PROXY = r"feedburner|feedproxy"
 
 
@@ -133,12 +137,6 @@ def is_page_url(c: Column) -> Column:
     return is_valid_url(c) & ~path(c).rlike(ASSET_FILE) & ~is_image(path(c))
 
 
-def domain_of_host(host: Column) -> Column:
-    """Last two labels of the host (a documented limit: no public-suffix list)."""
-    short = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
-    return F.when(short == "", host).otherwise(short)
-
-
 def host_info(c: Column) -> dict[str, Column]:
     return {"domain": domain_of_host(hostname(c)), "base_url": base_url(c)}
 
@@ -180,10 +178,10 @@ def filter_urls(df: DataFrame, pattern: str | None, key: str = "list_id", url: s
     )
 
 
-def same_domain(link: Column, domain: Column) -> Column:
-    """Link stays on ``domain``, or goes to a known blog platform."""
+def same_domain(link: Column, domain: Column, platforms: str = BLOG_PLATFORM) -> Column:
+    """Link stays on ``domain``, or goes to a host that fits ``platforms``."""
     host = hostname(link)
-    return (domain_of_host(host) == domain) | host.rlike(BLOG_PLATFORM)
+    return (domain_of_host(host) == domain) | host.rlike(platforms)
 
 
 def with_clean_link(df: DataFrame, base: str, link: str, out: str) -> DataFrame:

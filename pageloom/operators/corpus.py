@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.functions import urls
+from pageloom.functions.stem import with_stem
 from pageloom.functions.stopwords import stop_words
 from pageloom.functions.text import rx, sql_list
-from pageloom.session import ensure_checkpoint_dir
+from pageloom.session import ensure_checkpoint_dir, work_path
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 # Document frequency bounds.
@@ -71,18 +72,43 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return _bounded(counts, docs.select("text"))
 
 
+def term_rows(docs: DataFrame, key: str = "doc_id", ngrams: int = 1, stem: bool = False) -> DataFrame:
+    """(key, term, tf): the terms of each document, or the stems of its words.
+
+    Stems are made once per different word and joined to the rows; words of one stem add up in their document.
+    """
+    rows = with_terms(docs.select(key, "text"), ngrams).selectExpr(key, "inline(terms)")
+    if not stem:
+        return rows
+    stems = with_stem(rows.select("term").distinct(), "term")
+    return rows.join(stems, "term").groupBy(key, F.col("stem").alias("term")).agg(F.sum("tf").cast("int").alias("tf"))
+
+
+def stem_counts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(term, df, n) of the stems within the document frequency bounds; ``key`` must tell the documents apart."""
+    counts = term_rows(docs, key, stem=True).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("tf").cast("bigint")).alias("n"))
+    return _bounded(counts, docs.select("text"))
+
+
 def tfidf(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, term, weight): smoothed idf, L2 norm per document, over words and word pairs."""
-    rows = with_terms(docs.select(key, "text"), ngrams=2).selectExpr(key, "inline(terms)")
+    """(key, term, weight): smoothed idf, L2 norm per document, over words and word pairs.
+
+    The rows of terms are made and written once; the dictionary with document frequencies and the weights both come
+    from there. The dictionary is checkpointed, so the join has plain exchanges on both sides and Spark can split the
+    rows of a frequent term.
+    """
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = work_path(spark, "terms")
+    term_rows(docs, key, ngrams=2).write.parquet(path)
+    rows = spark.read.parquet(path)
     counts = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    kept = docs.sparkSession.sql(
+    kept = spark.sql(
         f"""SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM (SELECT term, df, (SELECT count(*) FROM {{docs}}) AS n FROM {{counts}})
         WHERE df >= {MIN_DOCS} AND df <= {MAX_SHARE}D * n""",
         counts=counts,
         docs=docs.select(key),
     )
-    # checkpointed, so the join has plain exchanges on both sides and Spark can split a frequent term's rows
-    ensure_checkpoint_dir(docs.sparkSession)
     weighted = rows.join(kept.checkpoint(), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
     return weighted.select(key, "term", (F.col("_w") / norm).alias("weight"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pageloom.functions.stem import DUCKDB, with_stem
 from pageloom.functions.stopwords import stop_words
 from pageloom.operators import corpus, runlog, topics
 from pageloom.plans import markup_sql as d
@@ -63,6 +64,39 @@ def q_nmf_topics(spark, sf_dir):
     return topics.nmf_topics(docs(spark, sf_dir))
 
 
+@query("nmf_documents", "H4")
+def q_nmf_documents(spark, sf_dir):
+    return topics.nmf_documents(docs(spark, sf_dir), iterations=4)
+
+
+def d_stem(word: str) -> str:
+    """The steps of the stemmer as nested subqueries, in the other engine's functions."""
+    source = f"(SELECT *, {word} AS w FROM (SELECT DISTINCT term FROM doc_terms))"
+    for found, new in DUCKDB.steps():
+        source = f"(SELECT term, w, case when length(term) > 2 then {found} else '' end AS s FROM {source})"
+        source = f"(SELECT term, {new} AS w FROM (SELECT *, left(w, length(w) - length(s)) AS b FROM {source}))"
+    return source
+
+
+cte("doc_stems", f"SELECT term, w AS stem FROM {d_stem('term')}")
+
+
+@query("stems", "H10", "SELECT term, stem FROM doc_stems")
+def q_stems(spark, sf_dir):
+    words = corpus.term_rows(docs(spark, sf_dir)).select("term").distinct()
+    return with_stem(words, "term")
+
+
+@query(
+    "stem_counts",
+    "H10",
+    "SELECT stem AS term, count(*) AS df, cast(sum(tf) as bigint) AS n FROM (SELECT doc_id, stem, sum(tf) AS tf FROM doc_terms JOIN doc_stems USING (term) GROUP BY ALL) "
+    "GROUP BY stem HAVING count(*) >= 2 and count(*) <= 0.8 * (SELECT count(*) FROM documents)",
+)
+def q_stem_counts(spark, sf_dir):
+    return corpus.stem_counts(docs(spark, sf_dir))
+
+
 @query("embedding_topics", "H5")
 def q_embedding_topics(spark, sf_dir):
     return topics.embedding_topics(load(spark, sf_dir, "embeddings"), docs(spark, sf_dir))
@@ -116,7 +150,8 @@ def q_cards(spark, sf_dir):
 
 @query("lda_topics_wide", "H10")
 def q_lda_topics_wide(spark, sf_dir):
-    return topics.lda_topics(docs(spark, sf_dir), k=10, max_iter=20)
+    """Ten topics over stems, twenty rounds."""
+    return topics.lda_topics(docs(spark, sf_dir), k=10, max_iter=20, stem=True)
 
 
 cte(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pageloom.functions import urls
+from pageloom.functions import domains, urls
 from pageloom.plans.registry import cte, query
 from pageloom.plans.tables import load
 
@@ -50,8 +50,19 @@ def d_clean(u: str) -> str:
     return f"({d_base(u)} || regexp_replace({d_path(u)}, '/+$', '') || case when {q} = '' then '' else '?' || {q} end)"
 
 
+PLAIN, WILD, BUT = (str(sorted(rules)) for rules in domains.parted(domains.RULES))
+
+
 def d_domain(h: str) -> str:
-    return f"coalesce(nullif(regexp_extract({h}, '([^.]+\\.[^.]+)$', 1), ''), {h})"
+    """All rules are tried on the end of the host, instead of its ends among the rules."""
+    def longest(rules: str, fits: str) -> str:
+        return f"list_max(list_transform(list_filter({rules}, lambda r: {fits}), lambda r: len(string_split(r, '.'))))"
+
+    ends = f"ends_with('.' || {h}, '.' || r)"
+    labels = (
+        f"coalesce({longest(BUT, ends)}, 1 + greatest(1, coalesce({longest(PLAIN, ends)}, 1), coalesce(1 + {longest(WILD, f'{ends} and {h} <> r')}, 1)))"
+    )
+    return f"case when regexp_matches({h}, '{domains.ADDRESS}') then {h} else array_to_string(string_split({h}, '.')[-{labels}:], '.') end"
 
 
 def d_valid(u: str) -> str:
@@ -252,3 +263,16 @@ def q_image_file(spark, sf_dir):
     return link_pairs(spark, sf_dir).select(
         "page_id", "link", urls.is_image(F.lower("link")).cast("int").alias("image")
     )
+
+
+HOSTS = """case page_id % 9 when 0 then 'a.b.co.uk' when 1 then 'co.uk' when 2 then concat('www.x', cast(page_id as string), '.com.au') when 3 then 'deep.a.other.ck'
+  when 4 then 'www.ck' when 5 then 'city.kawasaki.jp' when 6 then 'h.any.kawasaki.jp' when 7 then '192.168.0.7' else concat('n', cast(page_id as string), '.example.org') end"""
+
+
+@query("registered_domain", "B10", f"SELECT page_id, host, {d_domain('host')} AS domain, {d_domain('host')} AS by_table FROM (SELECT page_id, {HOSTS} AS host FROM pages)")
+def q_registered_domain(spark, sf_dir):
+    """By the list of rules in the plan, and by the same rules as a table."""
+    hosts = load(spark, sf_dir, "pages").selectExpr("page_id", f"{HOSTS} AS host")
+    rules = spark.createDataFrame([(r,) for r in domains.RULES], "rule string")
+    by_table = domains.registered_domains(hosts, rules).withColumnRenamed("domain", "by_table")
+    return hosts.withColumn("domain", domains.domain_of_host(F.col("host"))).join(by_table, "host").select("page_id", "host", "domain", "by_table")
