@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Named and numeric entities decoded by `unescape`, `&amp;` last.
+# The entities that the check SQL replaces, `&amp;` last.
 ENTITIES = (
     ("&nbsp;", " "),
     ("&lt;", "<"),
@@ -40,6 +40,10 @@ ENTITIES = (
     *((f"&{name};", chr(code)) for name, code in sorted(name2codepoint.items()) if 0xC0 <= code <= 0xFF and name not in ("auml", "ouml", "uuml", "szlig")),
     ("&amp;", "&"),
 )
+# All named entities of HTML 4 but the blank and the ampersand, which have their own steps; built from the standard table.
+NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items()) if name not in ("amp", "nbsp")}
+NAME = "&([A-Za-z][A-Za-z0-9]+);"
+AMPERSAND = "&(?:amp|#38);"
 # Numeric references; `#38` is left to the end with `&amp;`, so nothing is decoded twice.
 NUMERIC = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});"
 
@@ -72,10 +76,10 @@ def sql_unescape(c: str) -> str:
     char_of = f"if({valid}, decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32'), decode(unhex('0000FFFD'), 'UTF-32'))"
     found = f"filter(array_distinct(regexp_extract_all(x, {rx(NUMERIC)}, 1)), e -> {number} <> 38)"
     out = f"case when instr(x, '&#') > 0 then aggregate({found}, x, (acc, e) -> replace(acc, concat('&', e, ';'), {char_of})) else x end"
-    for entity, char in ENTITIES:
-        shown = "chr(39)" if char == "'" else f"'{char}'"
-        out = f"replace({out}, '{entity}', {shown})"
-    return f"transform(array({c}), x -> case when instr(x, '&') > 0 then {out} else x end)[0]"
+    known = f"map_from_arrays(split('{' '.join(NAMED)}', ' '), split('{' '.join(NAMED.values())}', ' '))"
+    named = f"array_distinct(regexp_extract_all(y, {rx(NAME)}, 1))"
+    out = f"transform(array(replace(replace({out}, '&nbsp;', ' '), '&apos;', chr(39))), y -> aggregate({named}, y, (acc, e) -> coalesce(replace(acc, concat('&', e, ';'), try_element_at({known}, e)), acc)))[0]"
+    return f"transform(array({c}), x -> case when instr(x, '&') > 0 then regexp_replace({out}, {rx(AMPERSAND)}, '&') else x end)[0]"
 
 
 def sql_clean_line(c: str) -> str:
@@ -122,9 +126,14 @@ def _decoded(x: Column) -> Column:
 
     found = F.filter(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMERIC), F.lit(1))), lambda e: code(e) != 38)
     x = F.aggregate(found, x, lambda acc, e: F.replace(acc, F.concat(F.lit("&"), e, F.lit(";")), char_of(e)))
-    for entity, char in ENTITIES:
-        x = F.replace(x, F.lit(entity), F.lit(char))
-    return x
+    x = F.replace(F.replace(x, F.lit("&nbsp;"), F.lit(" ")), F.lit("&apos;"), F.lit("'"))
+    known = F.map_from_arrays(F.split(F.lit(" ".join(NAMED)), " "), F.split(F.lit(" ".join(NAMED.values())), " "))
+    named = lambda y: F.aggregate(
+        F.array_distinct(F.regexp_extract_all(y, F.lit(NAME), F.lit(1))),
+        y,
+        lambda acc, e: F.coalesce(F.replace(acc, F.concat(F.lit("&"), e, F.lit(";")), F.try_element_at(known, e)), acc),
+    )
+    return F.regexp_replace(F.transform(F.array(x), named)[0], AMPERSAND, "&")
 
 
 def clean_line(c: Column) -> Column:

@@ -129,8 +129,8 @@ def _topic_bound(weights: DataFrame, k: int, eta: float, totals: list[float], n_
     return part + float((log_gamma(n_terms * eta) - log_gamma(np.array(totals))).sum())
 
 
-def fit_topics(counts: DataFrame, terms: DataFrame, k: int, rounds: int, seed: int) -> tuple[DataFrame, list[float]]:
-    """(id, w0 ...): weights of the numbered terms in k topics, and the bound after each round, which never falls.
+def fit_topics(counts: DataFrame, terms: DataFrame, k: int, rounds: int, seed: int, bound: bool = False) -> tuple[DataFrame, list[float]]:
+    """(id, w0 ...): weights of the numbered terms in k topics, and the bound of each round if asked for, which never falls.
 
     ``counts`` has (doc, id, tf). Both priors are 1 / k. Equal seeds give equal topics but for the order in which
     sums of doubles are formed.
@@ -148,7 +148,8 @@ def fit_topics(counts: DataFrame, terms: DataFrame, k: int, rounds: int, seed: i
         parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         expected = joined.repartition(parts, "doc").sortWithinPartitions("doc", "id").mapInArrow(_expected(k, prior, totals), "id long, " + ", ".join(f"{c} double" for c in names))
         summed = expected.groupBy("id").agg(*[F.sum(c).alias(c) for c in names]).checkpoint()
-        of_docs = summed.where("id is null").select(sum(F.col(c) for c in names)).first()
-        bounds.append((of_docs[0] if of_docs else 0.0) + _topic_bound(weights, k, prior, totals, n_terms))
+        if bound:
+            of_docs = summed.where("id is null").select(sum(F.col(c) for c in names)).first()
+            bounds.append((of_docs[0] if of_docs else 0.0) + _topic_bound(weights, k, prior, totals, n_terms))
         weights = summed.where("id is not null").select("id", *[(F.col(c) + prior).alias(c) for c in names]).checkpoint()
     return weights, bounds

@@ -1,7 +1,4 @@
-"""Every registered query against its check SQL on the smallest data set.
-
-A few long ones run only with PAGELOOM_FULL=1; `tools/check.py` runs all of them.
-"""
+"""Every registered query against its check SQL on the smallest data set."""
 
 import os
 
@@ -11,9 +8,7 @@ from pageloom.plans import catalog
 from tools.check import compare, connect
 
 SF_DIR = os.environ.get("PAGELOOM_SF_DIR", "/root/testdata/sf0.001")
-# Their parts run in other queries: the cascade in extract_pages, the ingest in ingest_pages.
-LONG = {"choose_extraction", "sanitize_scored", "ingest_quarantine", "stream_extract", "nmf_topics", "lda_topics_wide"}
-NAMES = [n for n in catalog.all_queries() if n not in LONG or os.environ.get("PAGELOOM_FULL")]
+NAMES = list(catalog.all_queries())
 
 
 @pytest.fixture(scope="module")

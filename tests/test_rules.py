@@ -1,5 +1,6 @@
 """Rules on hand-written rows: inputs the given tables do not hold."""
 
+import html
 import math
 
 import pytest
@@ -280,6 +281,9 @@ def test_every_page_has_a_row(spark):
 
 def test_entities_are_decoded_once(spark):
     rows = [("it&#8217;s &ecirc;t&Eacute; &#x20AC;", "it’s êtÉ €"), ("&amp;lt; &lt;", "&lt; <"), ("&amp;#65;&#38;#66;", "&#65;&#66;"), ("&#0;&#xD800;&#1114112;", "\ufffd" * 3), ("&unknown; & plain", "&unknown; & plain"), (None, None)]
+    rows += [("&#38;eacute; &amp;eacute; &amp;amp;", "&eacute; &eacute; &amp;"), ("a&nbsp;b&apos;s", "a b's")]
+    rows += [(f"x&{name};y &{name}", f"x{char}y &{name}") for name, char in text.NAMED.items()]
+    assert len(text.NAMED) == 250 and all(html.unescape(f"&{name};") == char for name, char in text.NAMED.items() if name not in ("lang", "rang"))
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, raw string, want string")
     for r in df.withColumn("a", text.unescape(F.col("raw"))).selectExpr("*", f"{text.sql_unescape('raw')} AS b").collect():
         assert r.a == r.want and r.b == r.want

@@ -66,7 +66,7 @@ def test_gamma_functions():
 
 def test_lda_finds_planted_topics_and_its_bound_rises(spark):
     docs = planted(spark)
-    _, weights, bounds = topics.lda_model(docs, k=3, max_iter=8, seed=3)
+    _, weights, bounds = topics.lda_model(docs, k=3, max_iter=8, seed=3, bound=True)
     assert len(bounds) == 8 and all(b >= a - 1e-6 * abs(a) for a, b in zip(bounds, bounds[1:])) and bounds[-1] > bounds[0]
     assert weights.count() == 25
     shown = topics.lda_topics(docs, k=3, max_iter=8, top=8, seed=3).collect()
