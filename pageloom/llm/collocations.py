@@ -4,9 +4,9 @@ Prefix polynomials over the bytes give a fingerprint of every word, those over t
 n-gram. Lengths are counted one after the other: an n-gram goes to the shuffle only if both n-grams of one word less
 inside it may be frequent, as no phrase is more frequent than its parts. What may be frequent is known from a bitmap
 of fixed size: a bit for each frequent fingerprint. A fingerprint that meets another, or a full bitmap, lets more
-n-grams through and loses none. The last pass finds the n-grams that may be frequent again, checks every occurrence
-against the text of the first one, cuts that text out and counts by text, so equal fingerprints of different phrases
-never mix. Each row takes a pointer to an occurrence along (document and word).
+n-grams through and loses none. The last count shuffles the fingerprints that may be frequent with a second, independent
+one and a pointer to an occurrence; phrases that share the first differ in the second and stay apart. Only then are the
+frequent phrases cut from the texts the pointers point at, where both fingerprints are checked against the text.
 """
 
 from __future__ import annotations
@@ -15,22 +15,25 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from pageloom.llm.sharding import with_running_totals
 from pageloom.llm.words import Shared, batches, mix, rows, take_turn, text_bytes
 from pageloom.session import ensure_checkpoint_dir
 
 BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: Bits left out of second fingerprints and of pointers: 96 bits name a phrase, 40 a text to look in.
+CHECK_SPARE, SPARE = np.uint64(32), np.uint64(24)
 #: Bits of the filter of frequent fingerprints: 8 MiB, whatever the input.
 FILTER_BITS = 26
 #: Bytes of text that are hashed at a time; longer texts are cut between words.
 CHUNK_BYTES = 1 << 20
 #: Fingerprints a task holds before it hands them to the shuffle.
-HELD = 3 << 20
-HELD_PHRASES = 400_000
+HELD = 2 << 20
 
 _BREAK, _BLANK = b".,;:!?\n\x0b\x0c\r", b" \t"
 _breaks = np.zeros(256, bool)
@@ -217,95 +220,138 @@ def _emit(part: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequent(texts: DataFrame, n: int, least: int, bits: int, known: Shared | None) -> Shared:
-    """Bitmap of the fingerprints of n-grams that occur ``least`` times or more; at most 2**bits / 64 words reach the driver."""
-    counts = texts.mapInArrow(_counter(n, bits, known), "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    slot = F.shiftrightunsigned("name", 64 - bits)
-    words = counts.select(slot.alias("slot")).selectExpr("slot >>> 6 as word", "shiftleft(1L, cast(slot & 63 as int)) as bit")
+    """Bitmap of the fingerprints of n-grams that occur ``least`` times or more."""
+    counts = texts.mapInArrow(_counter(n, bits, known), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
+    return _bitmap(counts.where(F.col("n") >= least), bits)
+
+
+#: Longs that describe a counted phrase: words, fingerprint, second fingerprint, occurrences, pointer.
+COUNTED = "lang string, m long, name long, check long, n long, pointer long"
+_COUNTED = pa.schema([("lang", pa.string()), *[(c, pa.int64()) for c in ("m", "name", "check", "n", "pointer")]])
+
+
+def _runs(names: np.ndarray, checks: np.ndarray, counts: np.ndarray, pointers: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums of equal (name, check), with the least pointer; a name with several checks keeps a row for each run of one."""
+    order = np.argsort(names, kind="stable")
+    names, checks = names[order], checks[order]
+    first = np.flatnonzero(np.concatenate(([True], (names[1:] != names[:-1]) | (checks[1:] != checks[:-1]))))
+    return names[first], checks[first], np.add.reduceat(counts[order], first), np.minimum.reduceat(pointers[order], first)
+
+
+def _checks(chunk: Chunk, powers: _Powers, longest: int) -> list[np.ndarray]:
+    return [c >> CHECK_SPARE for c in chunk.fingerprints(powers, longest)]
+
+
+def _pointer_counter(longest: int, bits: int, filters: list[Shared]):
+    """Counts with a second fingerprint and a pointer for the n-grams that may be frequent, and the words of each language."""
+
+    def run(found):
+        take_turn()
+        powers, others = _Powers(BASE), _Powers(CHECK_BASE)
+        flts = [_Filter(np.frombuffer(f.value, np.uint64), bits) for f in filters]
+        totals: dict[str, int] = {}
+        parts: list[list[tuple]] = [[] for _ in flts]
+
+        def emit(m):
+            held = _runs(*map(np.concatenate, zip(*parts[m - 1])))
+            for i in range(0, len(held[0]), 100_000):
+                name, check, n, pointer = (c[i : i + 100_000].view(np.int64) for c in held)
+                size = len(name)
+                yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.string()), pa.array(np.full(size, m)), *map(pa.array, (name, check, n, pointer))], schema=_COUNTED)
+            parts[m - 1] = []
+
+        for chunk, about in _chunks(found, longest):
+            for doc, n in zip(*np.unique(chunk.doc[chunk.skip :], return_counts=True)):
+                lang = about[int(doc)][0]
+                totals[lang] = totals.get(lang, 0) + int(n)
+            pointers = np.array([key for _, key, _ in about], np.int64)
+            prints, checks = chunk.fingerprints(powers, longest), _checks(chunk, others, longest)
+            for m in range(1, longest + 1):
+                at = np.flatnonzero(chunk.valid(m) & flts[m - 1].passes(prints[m - 1]))
+                if len(at):
+                    # single words are never cut out, so they need no pointer
+                    seen = pointers[chunk.doc[at]] if m > 1 else np.zeros(len(at), np.int64)
+                    parts[m - 1].append(_runs(prints[m - 1][at], checks[m - 1][at], np.ones(len(at), np.int64), seen))
+                if sum(len(p[0]) for p in parts[m - 1]) > HELD:
+                    parts[m - 1] = [_runs(*map(np.concatenate, zip(*parts[m - 1])))]
+                    if len(parts[m - 1][0][0]) > HELD // 2:
+                        yield from emit(m)
+        for m in range(1, longest + 1):
+            if parts[m - 1]:
+                yield from emit(m)
+        if totals:
+            none = pa.nulls(len(totals), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals)), none, none, none, pa.array(list(totals.values())), none], schema=_COUNTED)
+
+    return run
+
+
+def _bitmap(slots: DataFrame, bits: int) -> Shared:
+    """Bitmap of the first ``bits`` bits of the longs in column ``name``; at most 2**bits / 64 words reach the driver."""
+    slot = slots.select(F.shiftrightunsigned("name", 64 - bits).alias("slot"))
+    words = slot.selectExpr("slot >>> 6 as word", "shiftleft(1L, cast(slot & 63 as int)) as bit")
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
     bitmap = np.zeros(max(1, (1 << bits) >> 6), np.uint64)
     bitmap[found.column("word").to_numpy()] = found.column("bit").to_numpy().view(np.uint64)
-    return Shared(texts.sparkSession, bitmap.tobytes())
-
-
-class _Phrases:
-    """Phrases of a task with counts, found by fingerprint and checked by a second polynomial or, if that differs, by text."""
-
-    def __init__(self):
-        self.names, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.checks: list[np.ndarray] = [np.zeros(0, np.uint64)]
-        self.counts: list[np.ndarray] = [np.zeros(0, np.int64)]
-        self.texts: list[tuple] = []
-        self.odd: dict[tuple, list] = {}
-
-    def add(self, chunk: Chunk, about: list[tuple], n: int, where: np.ndarray, names: np.ndarray, checks: np.ndarray) -> None:
-        order = np.argsort(names, kind="stable")
-        names, checks, where = names[order], checks[order], where[order]
-        first = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
-        counts = np.diff(np.append(first, len(names)))
-        at = np.searchsorted(self.names, names[first])
-        old = np.zeros(len(first), bool)
-        old[at < len(self.names)] = self.names[at[at < len(self.names)]] == names[first][at < len(self.names)]
-        all_checks, all_counts = np.concatenate(self.checks), np.concatenate(self.counts)
-        slots = np.empty(len(first), np.int64)
-        slots[old] = self.slots[at[old]]
-        slots[~old] = len(self.texts) + np.arange(int((~old).sum()))
-        new = first[~old]
-        for i in where[new].tolist():
-            self.texts.append(self._pointed(chunk, about, i, n))
-        all_checks, all_counts = np.append(all_checks, checks[new]), np.append(all_counts, np.zeros(len(new), np.int64))
-        differs = checks != np.repeat(all_checks[slots], counts)
-        if differs.any():
-            for i in where[differs].tolist():
-                lang, text, key, word = self._pointed(chunk, about, i, n)
-                entry = self.odd.setdefault((lang, text), [0, key, word])
-                entry[0] += 1
-            counts = counts - np.add.reduceat(differs.astype(np.int64), first)
-        all_counts[slots] += counts
-        self.checks, self.counts = [all_checks], [all_counts]
-        if len(new):
-            both = np.concatenate((self.names, names[new]))
-            order = np.argsort(both, kind="stable")
-            self.names, self.slots = both[order], np.concatenate((self.slots, slots[~old]))[order]
-
-    @staticmethod
-    def _pointed(chunk: Chunk, about: list[tuple], i: int, n: int) -> tuple:
-        doc = int(chunk.doc[i])
-        lang, key, before = about[doc]
-        return lang, chunk.phrase(i, n), key, before + i - int(np.searchsorted(chunk.doc, doc))
-
-    def records(self) -> Iterator[tuple]:
-        for (lang, text, key, word), count in zip(self.texts, self.counts[0].tolist()):
-            if count:
-                yield lang, text, count, key, word
-        for (lang, text), (count, key, word) in self.odd.items():
-            yield lang, text, count, key, word
-
-
-def _finder(longest: int, bits: int, filters: list[Shared], out: pa.Schema):
+    return Shared(slots.sparkSession, bitmap.tobytes())
+
+
+def _pointed_at(bits: int, known: Shared):
+    """The texts that some pointer may point at, packed."""
+
+    def run(found):
+        flt, pack = _Filter(np.frombuffer(known.value, np.uint64), bits), zstandard.ZstdCompressor(level=1).compress
+        for batch in found:
+            keys = batch.column(batch.schema.names.index("_id")).to_numpy().view(np.uint64)
+            kept = batch.filter(pa.array(flt.passes(keys << SPARE)))
+            texts = kept.schema.names.index("_text")
+            yield kept.set_column(texts, kept.schema.field(texts), pa.array([pack(t.as_py()) for t in kept.column(texts)], pa.binary()))
+
+    return run
+
+
+PHRASE = "lang string, m long, name long, check long, a long, phrase string, parts array<long>, inner array<long>"
+
+
+def _cutter(longest: int):
+    """Phrases cut from the texts their pointers point at, with the fingerprints of the parts of every cut."""
+    longs = pa.list_(pa.int64())
+    out = pa.schema([("lang", pa.string()), ("m", pa.int64()), ("name", pa.int64()), ("check", pa.int64()), ("a", pa.int64()), ("phrase", pa.string()), ("parts", longs), ("inner", longs)])
+
     def run(found):
         take_turn()
         powers, others = _Powers(BASE), _Powers(CHECK_BASE)
-        flts = [_Filter(np.frombuffer(f.value, np.uint64), bits) for f in filters]
-        totals: dict[str, int] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def records():
-            phrases = _Phrases()
-            for chunk, about in _chunks(found, longest):
-                for doc, n in zip(*np.unique(chunk.doc[chunk.skip :], return_counts=True)):
-                    lang = about[int(doc)][0]
-                    totals[lang] = totals.get(lang, 0) + int(n)
-                prints, checks = chunk.fingerprints(powers, longest), chunk.fingerprints(others, longest)
-                for n in range(1, longest + 1):
-                    ok = chunk.valid(n)
-                    where = np.flatnonzero(ok & flts[n - 1].passes(prints[n - 1]))
-                    if len(where):
-                        phrases.add(chunk, about, n, where, prints[n - 1][where], checks[n - 1][where])
-                if len(phrases.texts) > HELD_PHRASES:
-                    yield from phrases.records()
-                    phrases = _Phrases()
-            yield from phrases.records()
-            for lang, n in totals.items():
-                yield lang, None, n, None, None
+            for batch in found:
+                lists = batch.column(batch.schema.names.index("wanted"))
+                wanted = [lists.flatten().field(f).to_numpy().view(np.uint64) for f in ("m", "name", "check", "a")]
+                order = np.argsort(wanted[1], kind="stable")
+                ms, names, sums, counts = (w[order] for w in wanted)
+                done = np.zeros(len(names), bool)
+                texts = pa.array([unpack(t.as_py()) for t in batch.column(batch.schema.names.index("_text"))], pa.binary())
+                plain = pa.RecordBatch.from_arrays([texts, *(batch.column(batch.schema.names.index(c)) for c in ("_lang", "_id"))], names=["_text", "_lang", "_id"])
+                for chunk, about in _chunks([plain], longest):
+                    prints = chunk.fingerprints(powers, longest), _checks(chunk, others, longest)
+                    pair = lambda n, i: [int(p[n - 1][i].view(np.int64)) for p in prints]
+                    for m in range(2, longest + 1):
+                        here = prints[0][m - 1]
+                        lo, hi = np.searchsorted(names, here, "left"), np.searchsorted(names, here, "right")
+                        at = np.flatnonzero(chunk.valid(m) & (lo < hi))
+                        at = at[np.lexsort((prints[1][m - 1][at], here[at]))]
+                        name, check = here[at], prints[1][m - 1][at]
+                        fresh = np.ones(len(at), bool)
+                        fresh[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
+                        for i in at[fresh].tolist():
+                            for w in range(int(lo[i]), int(hi[i])):  # several only where fingerprints collide
+                                if done[w] or ms[w] != m or sums[w] != prints[1][m - 1][i]:
+                                    continue
+                                done[w] = True
+                                parts = [x for k in range(1, m) for x in (*pair(k, i), *pair(m - k, i + k))]
+                                inner = [x for n in range(2, m) for j in range(m - n + 1) for x in pair(n, i + j)]
+                                lang = about[int(chunk.doc[i])][0]
+                                yield lang, m, *pair(m, i), int(counts[w]), chunk.phrase(i, m).decode("utf-8", "replace"), parts, inner
 
         yield from batches(records(), out, 20_000)
 
@@ -313,83 +359,96 @@ def _finder(longest: int, bits: int, filters: list[Shared], out: pa.Schema):
 
 
 def count_phrases(
-    docs: DataFrame, longest: int = 3, least: int = 10, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", filter_bits: int = FILTER_BITS
-) -> DataFrame:
-    """Rows ``(lang, phrase, n, seen)``: all phrases of 1 to ``longest`` words that occur ``least`` times or more in a language.
+    docs: DataFrame, longest: int = 3, least: int = 10, text_col: str = "text", lang_col: str = "lang", filter_bits: int = FILTER_BITS
+) -> tuple[DataFrame, DataFrame]:
+    """Counts of all phrases of 1 to ``longest`` words that occur ``least`` times or more in a language, and the texts of those of 2 and more.
 
     Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and those into words ``[^\\x20\\x09]+``;
-    a phrase is words of one piece, joined by one space, counted with overlaps. ``seen`` points at an occurrence:
-    the document's id and the index of the first word in its text, the smallest that any task reports, not always the
-    smallest of all. One more row for each language has a null phrase and the number of all its words. A null text has no words, a null
+    a phrase is words of one piece, joined by one space, counted with overlaps in each language. The first table has
+    ``(lang, m, name, check, n, pointer)``: number of words, two fingerprints that name phrase and language, count, and
+    the least digest of a text that has it; one row for each language (the only ones with ``lang``) has the number of
+    all its words. The second has ``(lang, m, name, check, a, phrase, parts, inner)``: the phrase, the names and checks of both
+    parts of each cut, and those of all shorter phrases of two and more words inside. A null text has no words, a null
     language is ``und``; repeated rows count each. Texts of any length are cut between words, phrases across the cut
     included. Empty tables give no rows.
     """
-    texts = docs.select(text_bytes(text_col).alias("_text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("_lang"), F.col(id_col).cast("long").alias("_id"))
+    ensure_checkpoint_dir(docs.sparkSession)
+    lang = F.coalesce(F.col(lang_col), F.lit("und"))
+    texts = docs.select(text_bytes(text_col).alias("_text"), lang.alias("_lang")).withColumn("_id", F.shiftrightunsigned(F.xxhash64("_lang", "_text"), int(SPARE)))
     filters: list[Shared] = []
     for n in range(1, longest + 1):
         filters.append(_frequent(texts, n, least, filter_bits, filters[-1] if filters else None))
-    out = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64()), ("doc", pa.int64()), ("word", pa.int64())])
-    found = texts.mapInArrow(_finder(longest, filter_bits, filters, out), "lang string, phrase binary, n long, doc long, word long")
-    summed = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "word")).alias("seen"))
-    return summed.where((F.col("n") >= least) | F.col("phrase").isNull()).select("lang", F.col("phrase").cast("string").alias("phrase"), "n", "seen")
+    found = texts.mapInArrow(_pointer_counter(longest, filter_bits, filters), COUNTED)
+    summed = found.groupBy("lang", "m", "name", "check").agg(F.sum("n").alias("n"), F.min("pointer").alias("pointer"))
+    counted = summed.where((F.col("n") >= least) | F.col("lang").isNotNull()).checkpoint()
 
+    long = counted.where("m > 1")
+    needed = _bitmap(long.select(F.shiftleft("pointer", int(SPARE)).alias("name")), filter_bits)
+    pages = texts.mapInArrow(_pointed_at(filter_bits, needed), texts.schema)
+    # copies of a text leave a task once; the few other texts of a digest stay
+    pages = pages.groupBy("_id", F.md5("_text")).agg(F.first("_lang").alias("_lang"), F.first("_text").alias("_text")).select("_id", "_lang", "_text")
+    wanted = long.groupBy(F.col("pointer").alias("_id")).agg(F.collect_list(F.struct("m", "name", "check", F.col("n").alias("a"))).alias("wanted"))
+    return counted, pages.join(wanted, "_id").mapInArrow(_cutter(longest), PHRASE).checkpoint()
 
-def score_phrases(counted: DataFrame, covered: int = 50) -> DataFrame:
-    """Rows ``(lang, phrase, a, l, r, n, score, seen)`` for the phrases of two and more words of ``count_phrases``.
+
+def score_phrases(counted: DataFrame, phrases: DataFrame, covered: int = 50, longest: int = 3) -> DataFrame:
+    """Rows ``(lang, phrase, a, l, r, n, score)`` for the phrases of two and more words of ``count_phrases``.
 
     Every cut of a phrase into two parts scores ``floor(1000000 * a * a / (l * r))`` from the counts of the phrase and
     its parts; the lowest counts, the one after the fewest words if several are lowest. Phrases inside a longer one
     that is at least ``covered`` percent as frequent are left out.
     """
-    entries = counted.where("phrase is not null").select("lang", "phrase", F.col("n").alias("f"), "seen", F.split("phrase", " ").alias("w"))
-    long = entries.where("size(w) > 1")
-    parts = long.select("lang", "phrase", F.col("f").alias("a"), "seen", "w", F.explode(F.expr("sequence(1, size(w) - 1)")).alias("k"))
-    sides = parts.select(
-        "*", F.explode(F.expr("array(struct(0 as side, concat_ws(' ', slice(w, 1, k)) as part), struct(1 as side, concat_ws(' ', slice(w, k + 1, size(w) - k)) as part))")).alias("s")
-    ).select("lang", "phrase", "a", "seen", "k", "s.side", "s.part")
-    known = entries.select("lang", F.col("phrase").alias("part"), "f")
-    joined = sides.join(known, ["lang", "part"])
-    cuts = joined.groupBy("lang", "phrase", "k").agg(
-        F.first("a").alias("a"), F.first("seen").alias("seen"), F.max(F.expr("if(side = 0, f, null)")).alias("l"), F.max(F.expr("if(side = 1, f, null)")).alias("r")
+    sides = phrases.select(
+        "name", "check", F.expr("inline(transform(sequence(0, size(parts) div 2 - 1), i -> struct(i as side, parts[2 * i] as part, parts[2 * i + 1] as part_check)))")
     )
+    known = counted.where("lang is null").select(F.col("name").alias("part"), F.col("check").alias("part_check"), F.col("n").alias("f"))
+    # two counts for each cut, in the order of the cuts; everything from here on stays with the phrase
+    most = 2 * (longest - 1)
+    counts = sides.join(known, ["part", "part_check"]).groupBy("name", "check").agg(*[F.max(F.expr(f"if(side = {i}, f, null)")).alias(f"c{i}") for i in range(most)])
+    # texts of one pointer may give a phrase more than once
+    whole = phrases.select("name", "check", "lang", "phrase", "a").dropDuplicates(["name", "check"])
     wide = "cast({} as decimal(19, 0))"
-    exact = f"(1000000bd * {wide.format('a')} * {wide.format('a')}) div ({wide.format('l')} * {wide.format('r')})"
-    best = (
-        cuts.withColumn("score", F.expr(exact).cast("long"))
-        .groupBy("lang", "phrase")
-        .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.first("a").alias("a"), F.first("seen").alias("seen"))
-    )
-    # every shorter phrase inside a longer one, with the count of its most frequent holder
-    inner = long.where("size(w) > 2").select(
-        "lang",
-        "f",
-        F.explode(F.expr("flatten(transform(sequence(2, size(w) - 1), m -> transform(sequence(1, size(w) - m + 1), i -> concat_ws(' ', slice(w, i, m)))))")).alias("phrase"),
+    exact = f"(1000000bd * {wide.format('a')} * {wide.format('a')}) div ({{}} * {{}})"
+    cuts = [
+        f"if(c{2 * k - 2} is null, null, struct({exact.format(wide.format(f'c{2 * k - 2}'), wide.format(f'c{2 * k - 1}'))} as score, {k} as k, c{2 * k - 2} as l, c{2 * k - 1} as r))"
+        for k in range(1, longest)
+    ]
+    best = counts.join(whole, ["name", "check"]).select("name", "check", "lang", "phrase", "a", F.expr(f"array_min(array({', '.join(cuts)}))").alias("cut"))
+    # the most frequent holder of every shorter phrase
+    inner = phrases.where("size(inner) > 0").select(
+        F.expr("inline(transform(sequence(0, size(inner) div 2 - 1), i -> struct(inner[2 * i] as name, inner[2 * i + 1] as check, a as f)))")
     )
-    holders = inner.groupBy("lang", "phrase").agg(F.max("f").alias("_held"))
-    kept = best.join(holders, ["lang", "phrase"], "left").where(F.expr(f"_held is null or 100 * _held < {int(covered)} * a"))
-    totals = counted.where("phrase is null").select("lang", "n")
-    return kept.join(totals, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score", "seen")
+    holders = inner.groupBy("name", "check").agg(F.max("f").alias("_held"))
+    kept = best.join(holders, ["name", "check"], "left").where(F.expr(f"_held is null or 100 * _held < {int(covered)} * a"))
+    totals = counted.where("lang is not null").select("lang", "n")
+    return kept.join(totals, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
-def top_phrases(scored: DataFrame, first: int = 2000, strands: int = 64) -> DataFrame:
+def top_phrases(scored: DataFrame, first: int = 2000) -> DataFrame:
     """The ``first`` phrases of each language by score, count (both descending) and phrase, with ``rank`` from 1.
 
-    Each strand of a language is cut first, so that the last ordering sees at most ``first`` rows of each strand.
+    A histogram of the scores (at most 10,001 classes a language) gives the class in which the last of them lies; only
+    phrases from there on are ordered, by running totals over range partitions, so no task holds a language as a whole.
     """
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    strand = scored.withColumn("_strand", F.pmod(F.xxhash64("phrase"), F.lit(strands)))
-    near = strand.withColumn("rank", F.row_number().over(W.partitionBy("lang", "_strand").orderBy(*order))).where(F.col("rank") <= first)
-    ranked = near.drop("_strand").withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)))
-    return ranked.where(F.col("rank") <= first).withColumn("rank", F.col("rank").cast("long"))
+    level = F.expr("score div 100")
+    classes = scored.groupBy("lang", level.alias("level")).agg(F.count("*").alias("_n"))
+    above = F.sum("_n").over(W.partitionBy("lang").orderBy(F.col("level").desc()).rowsBetween(W.unboundedPreceding, -1))
+    least = classes.withColumn("_above", above).where(F.coalesce("_above", F.lit(0)) < first).groupBy("lang").agg(F.min("level").alias("_least"))
+    columns = scored.columns
+    scored = scored.join(least, "lang").where(level >= F.col("_least")).select(columns)
+    numbered = with_running_totals(
+        scored.select("*", (-F.col("score")).alias("_score"), (-F.col("a")).alias("_a"), F.lit(1).alias("_one")), ["lang", "_score", "_a", "phrase"], "_one"
+    )
+    # one row per language
+    starts = numbered.groupBy("lang").agg(F.min("_index").alias("_start"))
+    ranked = numbered.join(starts, "lang").withColumn("rank", (F.col("_index") - F.col("_start") + 1).cast("long"))
+    return ranked.where(F.col("rank") <= first).select("rank", *scored.columns)
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, covered: int = 50, first: int = 2000, **names) -> DataFrame:
-    """Rows ``(lang, rank, phrase, a, l, r, n, score, seen_doc, seen_word)``: the strongest phrases of each language.
+    """Rows ``(lang, rank, phrase, a, l, r, n, score)``: the strongest phrases of each language.
 
     Cases are those of ``count_phrases``; ties are settled by the order of ``top_phrases``.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
-    # read four times below
-    counted = count_phrases(docs, longest, least, **names).checkpoint()
-    found = top_phrases(score_phrases(counted, covered), first)
-    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", F.col("seen.doc").alias("seen_doc"), F.col("seen.word").alias("seen_word"))
+    counted, phrases = count_phrases(docs, longest, least, **names)
+    return top_phrases(score_phrases(counted, phrases, covered, longest).checkpoint(), first).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -123,7 +123,7 @@ def op12_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    return collocations.collocations(table(spark, sf_dir, "documents")).drop("seen_doc", "seen_word")
+    return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
 # The digest is the usual CRC-32, whose table of 256 entries follows from its polynomial.

@@ -10,7 +10,6 @@ import numpy as np
 import pytest
 
 from pageloom.llm import collocations, licences, prefix_trie
-from pageloom.llm.words import Shared
 from tests.llm.plain import AWKWARD, frame
 
 LICENCE_TEXTS = [
@@ -140,7 +139,7 @@ def doc_frame(spark, docs):
 def test_collocations_against_plain(spark, bits):
     """A filter of 256 bits lets nearly all through; the result stays."""
     docs = some_docs()
-    got = collocations.collocations(doc_frame(spark, docs).repartition(5), least=10, first=20, filter_bits=bits).drop("seen_doc", "seen_word")
+    got = collocations.collocations(doc_frame(spark, docs).repartition(5), least=10, first=20, filter_bits=bits)
     assert sorted(map(tuple, got.collect())) == plain_collocations(docs, 10, 20)
 
 
@@ -148,7 +147,7 @@ def test_phrase_counts_of_long_texts(spark, monkeypatch):
     """Texts longer than a chunk are cut between words; nothing on the cut is lost or counted twice."""
     docs = [(" ".join(t for t, _ in some_docs() if t) * 3, "en"), ("verylongword" * 50 + " a  b" * 30 + " " * 500 + "c b " * 40, "en")]
     texts = doc_frame(spark, docs).select("text", "lang").collect()
-    from pageloom.llm.collocations import Chunk, _chunks, _Powers, BASE
+    from pageloom.llm.collocations import _chunks
     import pyarrow as pa
 
     monkeypatch.setattr(collocations, "CHUNK_BYTES", 100)
@@ -180,16 +179,22 @@ def test_equal_fingerprints_stay_apart(spark, monkeypatch):
     class Full:
         value = np.full(4, 2**64 - 1, np.uint64).tobytes()
 
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64()), ("doc", pa.int64()), ("word", pa.int64())])
-    got = Counter()
-    for out in collocations._finder(3, 8, [Full, Full, Full], schema)([batch]):
+    counted, pointers = Counter(), {}
+    for out in collocations._pointer_counter(3, 8, [Full, Full, Full])([batch]):
         for row in out.to_pylist():
-            if row["phrase"] is not None:
-                got[row["lang"], row["phrase"].decode()] += row["n"]
-                text = "".join(c.lower() if "A" <= c <= "Z" else c for c in docs[row["doc"]][0])
-                words = [w for piece in re.split("[.,;:!?\x0a-\x0d]", text) for w in re.findall("[^\x20\x09]+", piece)]
-                assert " ".join(words[row["word"] :]).startswith(row["phrase"].decode())
-    assert got == plain_counts(docs)[0]
+            if row["lang"] is None:
+                key = row["m"], row["name"], row["check"]
+                counted[key] += row["n"]
+                pointers[key] = min(row["pointer"], pointers.get(key, row["pointer"]))
+    assert len({name for _, name, _ in counted}) <= 8
+    wanted = [[{"m": m, "name": n, "check": c, "a": counted[m, n, c]} for (m, n, c), at in pointers.items() if at == i and m > 1] for i in range(len(docs))]
+    kind = pa.list_(pa.struct([(f, pa.int64()) for f in ("m", "name", "check", "a")]))
+    import zstandard
+
+    texts = pa.array([zstandard.compress(r[0]) for r in batch_rows], pa.binary())
+    pointed = pa.RecordBatch.from_arrays([texts, *batch.columns[1:], pa.array(wanted, kind)], names=[*batch.schema.names, "wanted"])
+    got = {(r["lang"], r["phrase"]): r["a"] for out in collocations._cutter(3)([pointed]) for r in out.to_pylist()}
+    assert got == {(lang, p): n for (lang, p), n in plain_counts(docs)[0].items() if " " in p}
 
 
 def test_collocations_of_nothing(spark):
@@ -199,9 +204,10 @@ def test_collocations_of_nothing(spark):
 
 def test_scores_beyond_64_bits(spark):
     big = 4 * 10**12
-    rows = [("en", "a", 10**13, None), ("en", "b", big, None), ("en", "a b", big - 1, None), ("en", None, 10**15, None)]
-    got = collocations.score_phrases(spark.createDataFrame(rows, "lang string, phrase string, n long, seen struct<doc long, word long>")).collect()
-    assert [r.score for r in got] == [1000000 * (big - 1) ** 2 // (10**13 * big)]
+    counted = spark.createDataFrame([(None, 1, 1, 1, 10**13, 0), (None, 1, 2, 2, big, 0), (None, 2, 3, 3, big - 1, 0), ("en", None, None, None, 10**15, None)], collocations.COUNTED)
+    phrases = spark.createDataFrame([("en", 2, 3, 3, big - 1, "a b", [1, 1, 2, 2], [])], collocations.PHRASE)
+    got = collocations.score_phrases(counted, phrases).collect()
+    assert [(r.score, r.l, r.r) for r in got] == [(1000000 * (big - 1) ** 2 // (10**13 * big), 10**13, big)]
 
 
 # --- conversation trie --------------------------------------------------------------------------------------------

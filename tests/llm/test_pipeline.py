@@ -57,5 +57,5 @@ def test_stages_against_a_plain_version(spark, tmp_path):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert toxicity.DECISION == 0.7
