@@ -72,10 +72,15 @@ def sql_strip_noise(html: str) -> str:
 
 
 def page_parts(pages: DataFrame) -> int:
-    """Partitions for the exchange of pages: the session's, or more if the optimizer's size of the input asks for it."""
-    size = pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    known = size if size < 1 << 60 else 0  # an unknown size is given as a huge one
-    return max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // PART_BYTES))
+    """Partitions for the exchange of pages: the session's, or more if the files they come from ask for it.
+
+    Only sizes of files count; the optimizer's guess for joins and checkpoints can be off by any factor.
+    """
+    leaves = pages._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = [leaves.apply(i) for i in range(leaves.size())]
+    files = all(leaf.getClass().getSimpleName() == "LogicalRelation" for leaf in leaves)
+    size = sum(leaf.stats().sizeInBytes() for leaf in leaves) if files else 0
+    return max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
 
 def by_page(pages: DataFrame, *names: str) -> DataFrame:
