@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -189,7 +189,7 @@ def _may_extend(chunk: Chunk, prints: list[np.ndarray], n: int, known: _Filter |
     return ok
 
 
-def _counter(n: int, bits: int, known: Shared | None):
+def _counter(n: int, bits: int, known: Shared | None, buckets: int):
     def run(found):
         take_turn()
         powers = _Powers(BASE)
@@ -205,24 +205,83 @@ def _counter(n: int, bits: int, known: Shared | None):
                 parts = [_merged(parts)]
                 held = len(parts[0][0])
                 if held > HELD // 2:
-                    yield from _emit(parts[0])
+                    yield from _pack(parts[0], buckets)
                     parts, held = [], 0
         if held:
-            yield from _emit(_merged(parts))
+            yield from _pack(_merged(parts), buckets)
 
     return run
 
 
-def _emit(part: tuple[np.ndarray, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    names, counts = part
-    for i in range(0, len(names), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 100_000].view(np.int64)), pa.array(counts[i : i + 100_000].astype(np.int64))], names=["name", "n"])
+#: What the shuffle carries: rows of longs sorted by fingerprint, packed by its first bits, or the words of a language.
+PACKED = "bucket long, rows binary, lang string, n long"
+_PACKED = pa.schema([("bucket", pa.int64()), ("rows", pa.binary()), ("lang", pa.string()), ("n", pa.int64())])
+
+
+def _bucket_bits(spark: SparkSession) -> int:
+    """Bits of a fingerprint that name its bucket: some eight buckets for each shuffle partition."""
+    return max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 3)
+
+
+def _pack(columns: tuple[np.ndarray, ...], bits: int, first: int = 0) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by fingerprint, the first column, as one value per bucket; buckets count from ``first``.
+
+    Fingerprints become differences and all bytes of one place lie together, so the many zeros pack away.
+    """
+    pack = zstandard.ZstdCompressor(level=1).compress
+    bounds = np.searchsorted(columns[0] >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    found, blobs = np.flatnonzero(bounds[1:] > bounds[:-1]), []
+    for b in found.tolist():
+        part = np.array([c[bounds[b] : bounds[b + 1]].view(np.uint64) for c in columns])
+        part[0, 1:] = part[0, 1:] - part[0, :-1]
+        blobs.append(pack(np.ascontiguousarray(part.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)).tobytes()))
+    size = len(found)
+    for i in range(0, size, 1000):
+        cut = slice(i, i + 1000)
+        held = len(blobs[cut])
+        yield pa.RecordBatch.from_arrays([pa.array(found[cut].astype(np.int64) + first), pa.array(blobs[cut], pa.binary()), pa.nulls(held, pa.string()), pa.nulls(held, pa.int64())], schema=_PACKED)
+
+
+def _unpack(raw: bytes, columns: int) -> np.ndarray:
+    part = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(columns, 8, -1).transpose(0, 2, 1)
+    part = part.copy(order="C").view(np.uint64).reshape(columns, -1)
+    part[0] = np.cumsum(part[0], dtype=np.uint64)
+    return part
+
+
+def _by_bucket(found: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Buckets one after the other, each with its (rows, lang, n); rows lie together by bucket."""
+    now, held = None, []
+    for batch in found:
+        for bucket, *row in rows(batch, "bucket", "rows", "lang", "n"):
+            if bucket != now and held:
+                yield now, held
+                held = []
+            now = bucket
+            held.append(tuple(row))
+    if held:
+        yield now, held
+
+
+def _gathered(packed: DataFrame) -> DataFrame:
+    """The packed rows of a bucket together: a bucket is an even share of all fingerprints, however often one occurs."""
+    parts = int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
+
+
+def _frequent_of(least: int):
+    def run(found):
+        for _, held in _by_bucket(found):
+            names, counts = _merged([(part[0], part[1].view(np.int64)) for part in (_unpack(raw, 2) for raw, _, _ in held)])
+            yield pa.RecordBatch.from_arrays([pa.array(names[counts >= least].view(np.int64))], names=["name"])
+
+    return run
 
 
 def _frequent(texts: DataFrame, n: int, least: int, bits: int, known: Shared | None) -> Shared:
     """Bitmap of the fingerprints of n-grams that occur ``least`` times or more."""
-    counts = texts.mapInArrow(_counter(n, bits, known), "name long, n long").groupBy("name").agg(F.sum("n").alias("n"))
-    return _bitmap(counts.where(F.col("n") >= least), bits)
+    packed = texts.mapInArrow(_counter(n, bits, known, _bucket_bits(texts.sparkSession)), PACKED)
+    return _bitmap(_gathered(packed).mapInArrow(_frequent_of(least), "name long"), bits)
 
 
 #: Longs that describe a counted phrase: words, fingerprint, second fingerprint, occurrences, pointer.
@@ -231,8 +290,11 @@ _COUNTED = pa.schema([("lang", pa.string()), *[(c, pa.int64()) for c in ("m", "n
 
 
 def _runs(names: np.ndarray, checks: np.ndarray, counts: np.ndarray, pointers: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sums of equal (name, check), with the least pointer; a name with several checks keeps a row for each run of one."""
+    """Sums of equal (name, check), with the least pointer, in the order of both."""
     order = np.argsort(names, kind="stable")
+    same = names[order]
+    if (same[1:] == same[:-1]).any() and (checks[order][1:][same[1:] == same[:-1]] != checks[order][:-1][same[1:] == same[:-1]]).any():
+        order = np.lexsort((checks, names))  # several checks of one name may alternate
     names, checks = names[order], checks[order]
     first = np.flatnonzero(np.concatenate(([True], (names[1:] != names[:-1]) | (checks[1:] != checks[:-1]))))
     return names[first], checks[first], np.add.reduceat(counts[order], first), np.minimum.reduceat(pointers[order], first)
@@ -242,7 +304,7 @@ def _checks(chunk: Chunk, powers: _Powers, longest: int) -> list[np.ndarray]:
     return [c >> CHECK_SPARE for c in chunk.fingerprints(powers, longest)]
 
 
-def _pointer_counter(longest: int, bits: int, filters: list[Shared]):
+def _pointer_counter(longest: int, bits: int, filters: list[Shared], buckets: int):
     """Counts with a second fingerprint and a pointer for the n-grams that may be frequent, and the words of each language."""
 
     def run(found):
@@ -254,10 +316,7 @@ def _pointer_counter(longest: int, bits: int, filters: list[Shared]):
 
         def emit(m):
             held = _runs(*map(np.concatenate, zip(*parts[m - 1])))
-            for i in range(0, len(held[0]), 100_000):
-                name, check, n, pointer = (c[i : i + 100_000].view(np.int64) for c in held)
-                size = len(name)
-                yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.string()), pa.array(np.full(size, m)), *map(pa.array, (name, check, n, pointer))], schema=_COUNTED)
+            yield from _pack(held, buckets, m << buckets)
             parts[m - 1] = []
 
         for chunk, about in _chunks(found, longest):
@@ -280,8 +339,31 @@ def _pointer_counter(longest: int, bits: int, filters: list[Shared]):
             if parts[m - 1]:
                 yield from emit(m)
         if totals:
-            none = pa.nulls(len(totals), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(list(totals)), none, none, none, pa.array(list(totals.values())), none], schema=_COUNTED)
+            size = len(totals)
+            keys = [-1 - (_seed(lang) >> (64 - buckets)) for lang in totals]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(size, pa.binary()), pa.array(list(totals)), pa.array(list(totals.values()))], schema=_PACKED)
+
+    return run
+
+
+def _summed(least: int, buckets: int):
+    """Sums of the packed counts of each bucket that reach ``least``, and of the words of each language."""
+
+    def run(found):
+        for bucket, held in _by_bucket(found):
+            if bucket < 0:
+                totals: dict[str, int] = {}
+                for _, lang, n in held:
+                    totals[lang] = totals.get(lang, 0) + n
+                none = pa.nulls(len(totals), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(list(totals)), none, none, none, pa.array(list(totals.values())), none], schema=_COUNTED)
+                continue
+            parts = [_unpack(raw, 4) for raw, _, _ in held]
+            name, check, n, pointer = _runs(*(np.concatenate([p[i] for p in parts]).view(np.uint64 if i < 2 else np.int64) for i in range(4)))
+            often = n >= least
+            size = int(often.sum())
+            longs = [pa.array(c[often].view(np.int64)) for c in (name, check, n, pointer)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.string()), pa.array(np.full(size, bucket >> buckets)), *longs], schema=_COUNTED)
 
     return run
 
@@ -378,9 +460,9 @@ def count_phrases(
     filters: list[Shared] = []
     for n in range(1, longest + 1):
         filters.append(_frequent(texts, n, least, filter_bits, filters[-1] if filters else None))
-    found = texts.mapInArrow(_pointer_counter(longest, filter_bits, filters), COUNTED)
-    summed = found.groupBy("lang", "m", "name", "check").agg(F.sum("n").alias("n"), F.min("pointer").alias("pointer"))
-    counted = summed.where((F.col("n") >= least) | F.col("lang").isNotNull()).checkpoint()
+    buckets = _bucket_bits(docs.sparkSession)
+    packed = texts.mapInArrow(_pointer_counter(longest, filter_bits, filters, buckets), PACKED)
+    counted = _gathered(packed).mapInArrow(_summed(least, buckets), COUNTED).checkpoint()
 
     long = counted.where("m > 1")
     needed = _bitmap(long.select(F.shiftleft("pointer", int(SPARE)).alias("name")), filter_bits)

@@ -179,13 +179,15 @@ def test_equal_fingerprints_stay_apart(spark, monkeypatch):
     class Full:
         value = np.full(4, 2**64 - 1, np.uint64).tobytes()
 
-    counted, pointers = Counter(), {}
-    for out in collocations._pointer_counter(3, 8, [Full, Full, Full])([batch]):
+    counted, pointers = {}, {}
+    sent = [out for out in collocations._pointer_counter(3, 8, [Full, Full, Full], 6)([batch.slice(0, 50)])] + [out for out in collocations._pointer_counter(3, 8, [Full, Full, Full], 6)([batch.slice(50)])]
+    gathered = pa.Table.from_batches(sent).sort_by("bucket").combine_chunks().to_batches()
+    for out in collocations._summed(1, 6)(gathered):
         for row in out.to_pylist():
             if row["lang"] is None:
                 key = row["m"], row["name"], row["check"]
-                counted[key] += row["n"]
-                pointers[key] = min(row["pointer"], pointers.get(key, row["pointer"]))
+                assert key not in counted
+                counted[key], pointers[key] = row["n"], row["pointer"]
     assert len({name for _, name, _ in counted}) <= 8
     wanted = [[{"m": m, "name": n, "check": c, "a": counted[m, n, c]} for (m, n, c), at in pointers.items() if at == i and m > 1] for i in range(len(docs))]
     kind = pa.list_(pa.struct([(f, pa.int64()) for f in ("m", "name", "check", "a")]))
