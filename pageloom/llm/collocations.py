@@ -219,8 +219,8 @@ _PACKED = pa.schema([("bucket", pa.int64()), ("rows", pa.binary()), ("lang", pa.
 
 
 def _bucket_bits(spark: SparkSession) -> int:
-    """Bits of a fingerprint that name its bucket: some eight buckets for each shuffle partition."""
-    return max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 3)
+    """Bits of a fingerprint that name its bucket: four buckets or more for each shuffle partition."""
+    return max(6, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2)
 
 
 def _pack(columns: tuple[np.ndarray, ...], bits: int, first: int = 0) -> Iterator[pa.RecordBatch]:
