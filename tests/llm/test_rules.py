@@ -261,3 +261,12 @@ def test_parts_of_a_long_text_score_alike(monkeypatch):
     text = " ".join(rng.choice([w for t in texts for w in t], 120_000))
     whole = network.logit(np.concatenate([network.project(toxicity.words_of(text)[a : a + 1000]) for a in range(0, 120_000, 1000)]))
     assert toxicity.Scorer(network).score(text) == pytest.approx(network.score(whole, toxicity.language(toxicity.words_of(text))), abs=1e-4)
+
+
+def test_the_fit_goes_through_its_texts_once():
+    """Words of all texts at once took most of the driver's memory; texts may come one by one."""
+    rows = corpus(120, 5)
+    texts, y = [toxicity.words_of(t) for _, t, _ in rows], np.array([y for _, _, y in rows])
+    one = toxicity.calibrate(toxicity.train(texts, y), texts, y)
+    other = toxicity.calibrate(toxicity.train(iter(texts), y), iter(texts), y)
+    assert (one.embedding == other.embedding).all() and (one.thresholds == other.thresholds).all() and (one.scales == other.scales).all()
