@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageloom.functions import text, urls
-from pageloom.operators import corpus, dedup, jsonld, links, markup, metadata, paragraphs, prune, render, routing, runlog
+from pageloom.operators import corpus, dedup, inrow, jsonld, links, markup, metadata, paragraphs, prune, render, routing, runlog
 from pageloom.sources import archive, visits
 
 
@@ -330,3 +330,10 @@ def test_transcripts_leave_other_visits_alone(spark):
     found = spark.createDataFrame([("a1", 200, "spoken")], "video_id string, status int, transcript string")
     got = {r.url: r.text for r in routing.with_transcript(visits_, found).collect()}
     assert len(got) == 51 and got["https://www.youtube.com/watch?v=a1"] == "spoken" and got["https://b.org/7"] == "t7"
+
+
+def test_steps_that_nothing_names_are_left_out(spark):
+    df = spark.createDataFrame([(1, 5)], "page_id int, x int")
+    steps = [("a1", "x + 1"), ("dead", "cast(raise_error('not wanted') as int)"), ("dead2", "dead + a1"), ("b1", "a1 * 2")]
+    for depth in (1, 5):
+        assert [tuple(r) for r in inrow.staged(df, steps, {"b1": "b1"}, "page_id", depth=depth).collect()] == [(1, 12)]
