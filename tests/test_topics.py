@@ -136,3 +136,10 @@ def test_nmf_of_texts_equals_nmf_of_their_weights(spark):
     for x, y in zip(a[:2], b[:2]):
         x, y = sorted(map(tuple, x.collect())), sorted(map(tuple, y.collect()))
         assert [r[0] for r in x] == [r[0] for r in y] and np.allclose([r[1:] for r in x], [r[1:] for r in y])
+
+
+def test_words_are_sorted_natively_and_analysed_once_for_stems(spark):
+    docs = spark.createDataFrame([(1, "running runs run"), (2, "run jumped")], "doc_id long, text string")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort" not in plan(corpus.with_terms(docs))
+    assert "regexp_extract_all" not in plan(corpus.stem_counts(docs))
