@@ -68,9 +68,12 @@ AUTHOR_STEPS = (("[._+]", " "), *((pattern, "") for pattern in AUTHOR_CUTS.value
 QUOTES = r"[\x22\x27]"
 
 
-def with_head(pages: DataFrame) -> DataFrame:
-    """Add ``metas``: array of (tag, prop, name, itemprop, rel, type, hreflang, href, content)."""
-    head = f"regexp_extract({sql_strip_noise('html')}, {rx(HEAD)}, 1)"
+def with_head(pages: DataFrame, plain: str = sql_strip_noise("html")) -> DataFrame:
+    """Add ``metas``: array of (tag, prop, name, itemprop, rel, type, hreflang, href, content).
+
+    ``plain`` is the page without noise, which a caller with more use for it keeps in a column.
+    """
+    head = f"regexp_extract({plain}, {rx(HEAD)}, 1)"
     # `property` is matched exactly, `name` without case.
     fields = {
         "tag": f"lower(regexp_extract(x, {rx(r'^<([A-Za-z]+)')}, 1))",
@@ -210,7 +213,8 @@ def structure_steps(on) -> list[tuple[str, str]]:
     """Heading fields, found_author, license, found_cats and found_tags from ``rows``, the rows of one page in order.
 
     ``on`` binds the columns of a rule to the row ``r``. The same rules as in ``heading_fields``, ``page_author``,
-    ``page_license`` and ``cats_tags``, which take exploded rows.
+    ``page_license`` and ``cats_tags``, which take exploded rows. The rows carry ``CARRIED``, and those that do not fit
+    ``STRUCTURE_ROWS`` may be left out.
     """
 
     def first(rule: str) -> str:
@@ -225,7 +229,7 @@ def structure_steps(on) -> list[tuple[str, str]]:
     links = f"filter(flatten(transform(filter(rows, r -> instr(r.flow, '<') > 0), r -> {anchors_of})), l -> l.href <> '')"
 
     by_link = "transform(filter(links, l -> l.quiet and l.rel = 'author'), l -> named_struct('r', 1, 'o', l.pos, 'n', l.n, 'v', l.label))"
-    by_name = f"transform(filter(rows, r -> {on('in_byline_noise = 0 and not closing')}), r -> named_struct('r', {on(AUTHOR_RANK)}, 'o', r.pos, 'n', 0, 'v', r.text))"
+    by_name = f"transform(filter(rows, r -> {on('in_byline_noise = 0 and not closing')}), r -> named_struct('r', r.rank, 'o', r.pos, 'n', 0, 'v', r.text))"
     named = f"array_min(filter(concat({by_link}, {by_name}), c -> c.r is not null and length(c.v) between 3 and 119)).v"
     cc = bind(sql_license_code(), "l", ["href"])
     strong = f"transform(filter(links, l -> l.rel = 'license'), l -> coalesce({cc}, nullif(l.label, '')))"
@@ -244,9 +248,10 @@ def structure_steps(on) -> list[tuple[str, str]]:
         ("n_h1", f"size(filter(rows, r -> {on(h1)}))"),
         ("first_h1", first(h1)),
         ("first_h2", first("tag = 'h2' and not closing")),
-        ("classed", first(f"{heads} and instr(cls, 'title') > 0 and text_len between 3 and 199")),
+        ("classed", first(f"{heads} and titled and text_len between 3 and 199")),
         ("links", links),
-        ("found_author", f"if({named} is null, null, {sql_normalize_authors(f'array({named})')})"),
+        ("named", named),
+        ("found_author", f"if(named is null, null, {sql_normalize_authors('array(named)')})"),
         ("license", f"coalesce({found(strong)}, {found(weak)})"),
         ("found_cats", listed(CATEGORY_PATH)),
         ("found_tags", listed(TAG_PATH)),
@@ -280,9 +285,9 @@ def sql_simple_description() -> str:
     )
 
 
-def lead_image(df: DataFrame) -> DataFrame:
+def lead_image(df: DataFrame, plain: str = sql_strip_noise("html")) -> DataFrame:
     """Add ``image``: Open Graph, Twitter, itemprop, icon, any image; over 1000 characters is null."""
-    first_img = f"regexp_extract({sql_strip_noise('html')}, {rx(IMG_WITH_SRC)}, 0)"
+    first_img = f"regexp_extract({plain}, {rx(IMG_WITH_SRC)}, 0)"
     img = f"nullif({sql_attr(first_img, 'src')}, '')"
     found = sql_first_of(
         sql_pick("m.prop = 'og:image'"),
@@ -327,6 +332,16 @@ CATEGORY_PATH, TAG_PATH = r"/categor(?:y|ies|ys)/", r"/tags?/"
 AUTHOR_RANK = r"""case when cls rlike '(^|[\\s_-])author([\\s_-]|$)' then 2 when cls rlike 'byline' then 3
       when cls rlike 'writer|contributor' then 4 when open_tag rlike '(?i)itemprop\\s*=\\s*.?author' then 5 when tag = 'address' then 6 end"""
 ANCHOR = r"(?is)<a\s[^>]*>.*?(?:</a\s*>|\z)"
+#: What a row of ``structure_steps`` carries, as SQL over ``tag``, ``closing``, ``open_tag`` and ``cls``, and its type.
+CARRIED = {
+    "rank": (f"if(instr(open_tag, '=') > 0, {AUTHOR_RANK}, if(tag = 'address', 6, null))", "int"),
+    "titled": ("instr(cls, 'title') > 0", "boolean"),
+}
+_REL = rx(r"(?i)\srel\s*=")
+#: The rows that ``structure_steps`` reads: headings, named authors, and links that say what they are by ``rel`` or place.
+STRUCTURE_ROWS = f"""(not closing and (tag in ('h1', 'h2', 'h3') or (rank is not null and in_byline_noise = 0)))
+  or ((link_tag is not null or instr(inner_html, '<') > 0)
+    and (in_footer > 0 or in_footer_named > 0 or in_topics > 0 or link_tag rlike {_REL} or inner_html rlike {_REL}))"""
 
 
 def anchors(blocks: DataFrame) -> DataFrame:

@@ -314,6 +314,56 @@ def test_scripts_are_read_one_by_one(spark):
     assert [(r.title, r.author) for r in rows] == [("H1", "Ann Lee")] * 3 + [("Saved", "Bob Kay")]
 
 
+ODD_PAGES = [
+    '<html><head><title>T</title></head><body><div class="post-title"><h2 class="title">Second &amp; head</h2></div><a rel="author" href="/u">Ann Lee<p>in the link</p><div>more</a></div><h1>One</h1></body></html>',
+    "<div class='byline'>by Bob Kay</div><ul class=tags><li><a href='/tag/x'>x</a><li><a href='/category/y'>y</a><li><a href='/tag/x'>x</a></ul></ul><h3 id=\"title\">third head</h3>",
+    '<footer><p><a href="https://creativecommons.org/licenses/by-sa/4.0/">terms</a></footer><aside class="sidebar"><p class="author">No One</p></aside><ADDRESS>Kim Poe</ADDRESS>',
+    'loose <a rel=license href="/l">CC BY</a> words<article><h1></h1><h1>Two</h1><p itemprop="author">Carl May</p></article><div class="comment-list"><a rel="author" href="/n">Not Me</a></div>',
+    "<script>var a = '<h1>no</h1>'</script><SELECT><h1>no</h1></select><!-- <h1>no</h1> --><h1>yes</h1><style>h1{}",
+    "</div></ul><header><header class=x></header><a href='/category/z'><ul class='meta'><li>Zed</ul></a><p>tail",
+    "",
+]
+
+
+def test_fields_of_a_page_are_those_of_its_exploded_rows(spark):
+    from pageloom.plans import page_meta as pm
+
+    df = pages(spark, *ODD_PAGES)
+    rows = prune.page_blocks(df, *pm.ROWS.bits).localCheckpoint()
+    want = df.select("page_id").join(metadata.heading_fields(rows).select("page_id", "n_h1", "first_h1", "first_h2", "classed"), "page_id", "left")
+    for part in (metadata.page_author(rows).withColumnRenamed("author", "found_author"), metadata.page_license(rows)):
+        want = want.join(part, "page_id", "left")
+    topics = metadata.cats_tags(rows).withColumnsRenamed({"categories": "found_cats", "tags": "found_tags"})
+    want = want.join(topics, "page_id", "left").na.fill(0, ["n_h1"])
+    got = pm.structure_fields(df, "page_id").select(want.columns).orderBy("page_id").collect()
+    assert got == want.orderBy("page_id").collect()
+    assert [r.n_h1 for r in got] == [1, 0, 0, 2, 1, 0, 0]
+    assert [r.found_author for r in got] == ["Ann Lee", "Bob Kay", "Kim Poe", "Carl May", None, None, None]
+
+
+def test_rows_that_no_field_reads_get_no_text(spark):
+    from pageloom.plans import page_meta as pm
+
+    plain = "".join(f"<p>words <b>{i}</b> <a href='/{i}'>a</a></p>" for i in range(40))
+    df = pages(spark, f"<h1>Head</h1><div><p class=byline>by Bob</p>{plain}</div><footer><p><a href='/f'>f</a></p></footer>")
+    steps = [("segs", pm.ROWS.segments("html")), ("rows", pm.ROWS.rows(pm.ROWS.context("segs"), only=metadata.STRUCTURE_ROWS))]
+    assert [r.text for r in inrow.staged(df, steps, {"rows": "rows"}).first().rows] == ["Head", "by Bob", "f"]
+
+
+def test_noise_is_taken_out_of_a_page_once(spark):
+    from pageloom.plans.page_meta import page_meta
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    plan = page_meta(pages(spark, "<p>x</p>"))._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("regexp_replace(regexp_replace(replace(") == 1
+
+
+@pytest.mark.parametrize("tag, want", [('<a x="1" href="a\'b">', "a'b"), ("<a HREF = 'c\"d'>", 'c"d'), ("<a href=e>", "e"), ('<a href="">', ""), ('<a href="f>', ""), ("<a href=''g>", ""), ("<a data-href=h>", ""), ('<a href=\n"\'i">', "'i"), ("<a>", ""), (None, None)])
+def test_attributes_of_a_raw_tag(spark, tag, want):
+    assert spark.createDataFrame([(tag,)], "tag string").selectExpr(f"{markup.sql_attr('tag', 'href')} AS v").first().v == want
+
+
 def test_hrefs_are_decoded(spark):
     html = '<html><head><link rel="canonical" href="https://a.example.org/x?a=1&amp;b=2"></head><body></body></html>'
     assert metadata.canonical_url(metadata.with_head(pages(spark, html))).first().canonical == "https://a.example.org/x?a=1&b=2"
