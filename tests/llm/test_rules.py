@@ -270,3 +270,40 @@ def test_the_fit_goes_through_its_texts_once():
     one = toxicity.calibrate(toxicity.train(texts, y), texts, y)
     other = toxicity.calibrate(toxicity.train(iter(texts), y), iter(texts), y)
     assert (one.embedding == other.embedding).all() and (one.thresholds == other.thresholds).all() and (one.scales == other.scales).all()
+
+
+def test_all_labelled_texts_are_learned_from_whole(spark, monkeypatch):
+    """Toxic words at the end of long texts, more shards than one, no text left out."""
+    rows = corpus(240, 5)
+    long = [(1000 + i, "plain words of no kind " * 3000 + "vexquor brambit", 1) for i in range(12)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows + long], "doc_id long, text string")
+    only_long = spark.createDataFrame([(i, y) for i, _, y in rows if not y] + [(i, 1) for i, _, _ in long], "doc_id long, toxic int")
+    network = toxicity.fit(docs, only_long)
+    assert network.constant is None
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, network).collect()}
+    assert all(found[i] for i, _, _ in long) and not any(found[i] for i, _, y in rows if not y)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    counted = []
+    monkeypatch.setattr(toxicity, "_added_up", lambda df, own=toxicity._added_up: counted.append(own(df)) or counted[-1])
+    one = toxicity.fit(docs, labels)
+    # all texts of all shards are counted, and the mean of the shards tells them apart as one shard does
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 8_000)
+    several = toxicity.fit(docs, labels)
+    first = [sums for _, sums in counted if len(sums) == 4 + 2 * (toxicity.BUCKETS + 1)]
+    assert counted[0][0] == 1 and counted[len(counted) // 2][0] > 1
+    assert [s[:4].sum() for s in first] == [240, 240] and first[0][[0, 2]].sum() == first[1][[0, 2]].sum()
+    for network in (one, several):
+        found = {r.doc_id: r.predicted for r in toxicity.score(docs, network).collect()}
+        assert sum(found[i] == y for i, _, y in rows) >= 0.95 * len(rows)
+
+
+def test_one_shard_is_learned_as_train_does(spark):
+    rows = corpus(120, 6)
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    draw = {r.doc_id: r.d for r in docs.select("doc_id", F.xxhash64(F.col("doc_id").cast("string")).alias("d")).collect()}
+    rows.sort(key=lambda r: (draw[r[0]], r[1].encode()))
+    texts, y, aside = [toxicity.words_of(t) for _, t, _ in rows], np.array([y for _, _, y in rows]), np.arange(len(rows)) % 4 == 3
+    plain = toxicity.calibrate(toxicity.train([t for t, a in zip(texts, aside) if not a], y[~aside]), [t for t, a in zip(texts, aside) if a], y[aside])
+    fitted = toxicity.fit(docs, labels)
+    for name in ("embedding", "filters", "bias", "out", "shift", "thresholds", "scales"):
+        assert np.allclose(getattr(plain, name), getattr(fitted, name), atol=1e-5)
