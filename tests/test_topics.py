@@ -143,3 +143,21 @@ def test_words_are_sorted_natively_and_analysed_once_for_stems(spark):
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "array_sort" not in plan(corpus.with_terms(docs))
     assert "regexp_extract_all" not in plan(corpus.stem_counts(docs))
+
+
+def test_rows_go_to_their_blocks_without_null_lists(spark):
+    """A batch with null lists takes time as the square of its rows on its way to Python."""
+    found = blocks.Blocks(spark.createDataFrame([(d, t, 1.0) for d in range(6) for t in range(5)], "doc long, id int, amount double"))
+    met = found.meet(spark.createDataFrame([(t, 1.0) for t in range(5)], "id int, f0 double"), 1, lambda held: ([0] * len(held.ids), held.ids, held.factors))
+    plan = met._jdf.queryExecution().analyzed().toString()
+    assert "cast(null as double)" in plan and "cast(null as array" not in plan
+    found.drop()
+
+
+def test_documents_of_like_size_are_fitted_together():
+    sizes = np.random.default_rng(3).integers(1, 9000, 700)
+    parts = variational._side_by_side(sizes)
+    assert sorted(np.concatenate(parts)) == list(range(700)) and len(parts) < 700
+    for part in parts:
+        assert len(part) == 1 or len(part) * sizes[part].max() <= variational.PLACES
+        assert sizes[part].max() <= max(sizes[part].min() * 4 / 3, sizes[part].min() + 8)
