@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from pageloom.operators.blocks import shuffles_dropped
+
 INDEX = "file string, bucket string, least string, greatest string, n long, bits binary, part string"
 ENTRY = "add array<string>, remove array<string>"
 #: Bits of the bitmap of a file; two of them are set for each digest.
@@ -89,13 +91,17 @@ class KeyedLog:
         part = uuid.uuid4().hex
         data = f"{self.path}/data/part={part}"
         dealt = rows.select(*self.schema.names).withColumn("bucket", self._bucket()).hint("rebalance", "bucket")
-        (
-            dealt.sortWithinPartitions("bucket", self.key)
-            .write.option("maxRecordsPerFile", self.file_rows)
-            .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
-            .partitionBy("bucket")
-            .parquet(data)
-        )
+        with shuffles_dropped(rows.sparkSession):
+            (
+                dealt.sortWithinPartitions("bucket", self.key)
+                .write.option("maxRecordsPerFile", self.file_rows)
+                .option("compression", "zstd")
+                .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+                # without it a filter takes 1 MiB, however few rows its file has
+                .option(f"parquet.bloom.filter.expected.ndv#{self.key}", str(self.file_rows))
+                .partitionBy("bucket")
+                .parquet(data)
+            )
         written = self.spark.read.schema(StructType([self.schema[self.key], StructField("bucket", StringType())])).parquet(data)
         bits = F.explode(F.array(*[F.expr(_bit("key", h)) for h in (0, 1)]))
         # positions count from 1 in the bitmap functions

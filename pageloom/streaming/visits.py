@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageloom.operators import routing
+from pageloom.operators.blocks import drop_written, shuffles_dropped, written
 from pageloom.plans.ingest import ingest_pages
 from pageloom.session import ensure_checkpoint_dir
 from pageloom.sources.archive import stored_digests, upsert_processed
@@ -60,21 +61,26 @@ def stream_extract(
 
     Pages that the store holds already are not extracted again, even under a new checkpoint. A batch that runs twice
     changes nothing: it finds its pages in the store, and overwrites its own quarantine folder. With an indexed archive
-    (``sources.archive.index_responses``) a batch opens the files that can hold its pages and no others.
+    (``sources.archive.index_responses``) a batch opens the files that can hold its pages and no others. What a batch
+    writes on its way is packed, and dropped at its end.
     """
-    ensure_checkpoint_dir(spark)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        done = ingest_pages(batch.drop("digest"), archive, transcripts, stored_digests(spark, store, batch)).checkpoint()
+        made: list[DataFrame] = []
+        done = written(ingest_pages(batch.drop("digest"), archive, transcripts, stored_digests(spark, store, batch), made=made), "records")
         good, bad = routing.split_results(done)
         if not good.isEmpty():
             upsert_processed(spark, good, store, "visit_date")
         rejected = bad.select("digest", "url", "visit_date", "visit_quality", "error", "error_stage")
         rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        for rows in (*made, done):
+            drop_written(rows)
 
-    return run_available(first_sight(visits), handle, checkpoint)
+    # the session of the query takes the setting over as it starts, so the shuffles of a batch go with it
+    with shuffles_dropped(spark):
+        return run_available(first_sight(visits), handle, checkpoint)
 
 
 SEEN_SCHEMA = "digest string"

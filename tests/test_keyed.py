@@ -1,10 +1,14 @@
 """The keyed log: pinned readers, appends during a compaction, look-ups that open few files, the seen set."""
 
+import glob
 import hashlib
+import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
-from pageloom.operators import routing
+from pageloom.operators import blocks, routing
+from pageloom.plans import catalog, ingest
 from pageloom.plans.ingest import ingest_pages
 from pageloom.sources import archive
 from pageloom.sources.keyed import KeyedLog
@@ -113,3 +117,25 @@ def test_the_seen_set_stays_flat_and_survives_a_new_checkpoint(spark, tmp_path):
     # the first line of each file counts as its header
     assert sorted(handed) == [f"https://a.example.org/{i}" for i in range(7)]
     assert max(runs) <= 4 and seen.read().count() == 7
+
+
+def test_filters_of_files_are_as_large_as_their_rows_need(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path / "log"), spark.createDataFrame([], "digest string, v int").schema)
+    log.append(spark.range(40).selectExpr("md5(cast(id as string)) AS digest", "cast(id as int) AS v"))
+    files = glob.glob(f"{tmp_path}/log/data/**/*.parquet", recursive=True)
+    assert files and max(map(os.path.getsize, files)) < 100_000
+    assert log.read().count() == 40
+
+
+def test_a_stream_leaves_store_and_quarantine_only(spark, monkeypatch):
+    """What a batch writes on its way is packed and goes with it; nothing is checkpointed."""
+    made = []
+    for module in (ingest, st):
+        monkeypatch.setattr(module, "written", lambda rows, name: made.append(blocks.written(rows, name)) or made[-1])
+    checkpointed = []
+    own = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a, **k: checkpointed.append(self) or own(self, *a, **k))
+    got = catalog.all_queries()["stream_extract"].run(spark, "/root/testdata/sf0.001")
+    folders = {f.removeprefix("file://").removeprefix("file:").rsplit("/", 1)[0] for m in made for f in m.inputFiles()}
+    assert got.count() > 0 and len(made) >= 2 and not checkpointed
+    assert not [f for f in folders if os.path.exists(f)]
