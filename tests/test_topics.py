@@ -167,13 +167,19 @@ def test_passes_over_terms_and_documents_give_the_same_weights(spark, monkeypatc
     """Shuffles of one part of the terms lie on the disks at a time; rows and dictionary go once the weights are made."""
     docs = planted(spark, 30).unionAll(spark.createDataFrame([(3, "sky twice here here"), (None, "seaaword without a key"), (None, "seaaword twice here")], "doc_id long, text string"))
     rounded = lambda df: sorted((r.doc_id is None, r.doc_id or 0, r.term, round(r.weight, 9)) for r in df.collect())
-    folders = lambda name: len(glob.glob(f"{shared_root(spark)}/{name}-*/_SUCCESS"))
     one, nmf = rounded(corpus.tfidf(docs)), topics.nmf_of_texts(docs, 2, 2, least_gain=0)[2]
-    before = folders("terms"), folders("dictionary")
     monkeypatch.setattr(corpus, "PASS_ROWS", 200)
     assert len(corpus.tfidf_parts(docs)[2]) > 2
-    assert (folders("terms"), folders("dictionary")) > before
-    before = folders("terms"), folders("dictionary")
+    made = {}
+
+    def kept(rows, name):
+        out = blocks.written(rows, name)
+        made[out.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")] = name
+        return out
+
+    monkeypatch.setattr(corpus, "written", kept)
     assert rounded(corpus.tfidf(docs)) == one
     assert np.allclose(topics.nmf_of_texts(docs, 2, 2, least_gain=0)[2], nmf)
-    assert (folders("terms"), folders("dictionary")) == before
+    assert {n for n in made.values()} == {"terms", "dictionary", "weights", "tfidf"}
+    left = [(f, n, glob.glob(f"{f}/*")) for f, n in made.items() if n != "tfidf" and glob.glob(f"{f}/*")]
+    assert not left, left
